@@ -35,16 +35,20 @@ def with_clv(df: DataFrame) -> DataFrame:
     return df.withColumn("clv", clv())
 
 
-def _value_at(threshold: float | Column) -> Column:
+def value_of(threshold: float | Column) -> Column:
+    """What flagging at ``threshold`` is worth for one customer."""
     flagged, churned = F.col("churn_probability") >= threshold, F.col("churn")
     saved = F.col("clv") * F.lit(OFFER_SUCCESS_RATE) - F.lit(OFFER_COST)
-    per_row = (
+    return (
         F.when(flagged & churned, saved)
         .when(flagged, F.lit(-OFFER_COST))
         .when(churned, -F.col("clv"))
         .otherwise(F.lit(Decimal(0)))
     )
-    return F.sum(per_row).cast("double")
+
+
+def _value_at(threshold: float | Column) -> Column:
+    return F.sum(value_of(threshold)).cast("double")
 
 
 def business_value(scored: DataFrame, thresholds: dict[str, float | Column]) -> DataFrame:

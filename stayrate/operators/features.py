@@ -6,6 +6,7 @@ from the training rows alone; fitting on all rows and applying to the same is on
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,19 +69,20 @@ def tenure_group() -> Column:
     return F.when(F.col("tenure_months").isNotNull(), tenure_bucket())
 
 
-def service_count() -> Column:
-    """Phone, internet and add-ons. An unknown internet service counts, an unknown add-on does not."""
-    parts = [
-        flag(F.col("phone_service")),
-        ~F.col("internet_service").eqNullSafe("No"),
-        *[flag(F.col(c) == "Yes") for c in SERVICE_ADD_ONS],
-    ]
+def count_true(conditions: Sequence[Column]) -> Column:
+    """How many of the conditions hold in a row; unknown ones do not."""
     count = F.lit(0)
-    for part in parts:
-        count = count + part.cast("int")
+    for condition in conditions:
+        count = count + flag(condition).cast("int")
     return count
 
 
+def service_count() -> Column:
+    """Phone, internet and add-ons. An unknown internet service counts, an unknown add-on does not."""
+    internet = ~F.col("internet_service").eqNullSafe("No")
+    return count_true([F.col("phone_service"), internet, *[F.col(c) == "Yes" for c in SERVICE_ADD_ONS]])
+
+
 def add_tenure_group(df: DataFrame) -> DataFrame:
     return df.withColumn("tenure_group", tenure_group())
 

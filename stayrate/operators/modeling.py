@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import keyword_only
+from pyspark import StorageLevel, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -174,7 +174,6 @@ def encoding_stages() -> list:
             inputCols=[f"i_{c}" for c in categories],
             outputCols=[f"h_{c}" for c in categories],
             dropLast=True,
-            handleInvalid="keep",
         ),
         PopulationScaler(columns=numbers),
         VectorAssembler(
@@ -217,23 +216,29 @@ def onehot_counts(matrix: DataFrame, encoder: PipelineModel) -> DataFrame:
 
 @dataclass(frozen=True)
 class Candidate:
-    """An estimator and how to draw its settings."""
+    """An estimator, how to draw its settings and how these become estimator parameters."""
 
     name: str
-    make: Callable[[], Estimator]
-    draw: Callable[[np.random.Generator, float], dict[str, object]]
+    make: Callable[..., Estimator]
+    draw: Callable[[np.random.Generator], dict[str, object]]
+    params: Callable[[dict[str, object], float], dict[str, object]] = lambda settings, weight_sum: settings
 
 
 def _log_uniform(rng: np.random.Generator, low: float, high: float) -> float:
     return float(np.exp(rng.uniform(np.log(low), np.log(high))))
 
 
-def _draw_logistic(rng: np.random.Generator, weight_sum: float) -> dict[str, object]:
-    # Inverse strength C against a summed loss is 1 / (C * sum of weights) against a mean loss.
-    return {"regParam": 1 / (_log_uniform(rng, 1e-3, 1e2) * weight_sum)}
+def _draw_logistic(rng: np.random.Generator) -> dict[str, object]:
+    return {"C": _log_uniform(rng, 1e-3, 1e2)}
+
 
+def _logistic_params(settings: dict[str, object], weight_sum: float) -> dict[str, object]:
+    """Inverse strength C against a summed loss is 1 / (C * sum of weights) against a mean loss."""
+    other = {k: v for k, v in settings.items() if k != "C"}
+    return {"regParam": 1 / (settings["C"] * weight_sum), **other}
 
-def _draw_forest(rng: np.random.Generator, weight_sum: float) -> dict[str, object]:
+
+def _draw_forest(rng: np.random.Generator) -> dict[str, object]:
     return {
         "numTrees": int(rng.integers(100, 400)),
         # 30, the deepest tree possible, stands for no limit.
@@ -243,7 +248,7 @@ def _draw_forest(rng: np.random.Generator, weight_sum: float) -> dict[str, objec
     }
 
 
-def _draw_boosted(rng: np.random.Generator, weight_sum: float) -> dict[str, object]:
+def _draw_boosted(rng: np.random.Generator) -> dict[str, object]:
     return {
         "maxIter": int(rng.integers(100, 400)),
         "maxDepth": int(rng.integers(3, 8)),
@@ -267,7 +272,7 @@ def boosted_trees(**settings: object) -> GBTClassifier:
 
 
 CANDIDATES = {
-    "logistic_regression": Candidate("logistic_regression", logistic_regression, _draw_logistic),
+    "logistic_regression": Candidate("logistic_regression", logistic_regression, _draw_logistic, _logistic_params),
     "random_forest": Candidate("random_forest", random_forest, _draw_forest),
     "boosted_trees": Candidate("boosted_trees", boosted_trees, _draw_boosted),
 }
@@ -289,11 +294,11 @@ def predict(model: PipelineModel, matrix: DataFrame, keep: Sequence[str] = ()) -
 
 
 def draw_settings(
-    candidate: Candidate, n: int, weight_sum: float, seed: int = SEED, fixed: dict[str, object] | None = None
+    candidate: Candidate, n: int, seed: int = SEED, fixed: dict[str, object] | None = None
 ) -> list[dict[str, object]]:
     """``n`` seeded random settings; ``fixed`` overrides what was drawn."""
     rng = np.random.default_rng(seed)
-    return [{**candidate.draw(rng, weight_sum), **(fixed or {})} for _ in range(n)]
+    return [{**candidate.draw(rng), **(fixed or {})} for _ in range(n)]
 
 
 @dataclass(frozen=True)
@@ -317,6 +322,47 @@ class Tuned:
         return df.sparkSession.createDataFrame(rows, schema)
 
 
+def _weight_sum(rows: DataFrame, column: str) -> float:
+    return float(rows.agg(F.sum(column)).first()[0])
+
+
+def cross_validate(
+    training: DataFrame,
+    candidate: Candidate,
+    settings: Sequence[dict[str, object]],
+    folds: int = 5,
+    seed: int = SEED,
+    parallelism: int = 4,
+) -> list[float]:
+    """Mean ROC-AUC of each setting over stratified folds.
+
+    The encoder is fitted once per fold on that fold's training rows and its output kept for all
+    settings, which are then fitted side by side.
+    """
+    weight = candidate.make().getWeightCol()
+    evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
+    folded = stratified_folds(training, folds, seed)
+    scores = np.zeros((folds, len(settings)))
+    for fold in range(folds):
+        fit_rows, held_rows = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        encoder = Pipeline(stages=encoding_stages()).fit(fit_rows)
+        fit_set, held_set = (
+            encoder.transform(rows).select("features", "label", weight).persist(StorageLevel.MEMORY_AND_DISK)
+            for rows in (fit_rows, held_rows)
+        )
+        weight_sum = _weight_sum(fit_set, weight)
+
+        def score(setting: dict[str, object]) -> float:
+            model = candidate.make(**candidate.params(setting, weight_sum)).fit(fit_set)
+            return evaluator.evaluate(model.transform(held_set))
+
+        with ThreadPool(parallelism) as pool:
+            scores[fold] = pool.map(inheritable_thread_target(training.sparkSession)(score), settings)
+        fit_set.unpersist()
+        held_set.unpersist()
+    return scores.mean(axis=0).tolist()
+
+
 def tune_model(
     training: DataFrame,
     candidate: Candidate,
@@ -326,25 +372,16 @@ def tune_model(
     parallelism: int = 4,
     fixed: dict[str, object] | None = None,
 ) -> Tuned:
-    """Random search over stratified folds by ROC-AUC; the best setting is refitted on all rows.
+    """Random search by cross-validated ROC-AUC; the best setting is refitted on all rows.
 
-    ``training`` is a weighted matrix; store it as a dataset or cache it first, since every fit
+    ``training`` is a weighted matrix; store it as a dataset or cache it first, since every fold
     reads it again.
     """
-    classifier = candidate.make()
-    pipeline = Pipeline(stages=[*encoding_stages(), classifier])
-    weight_sum = float(training.agg(F.sum(classifier.getWeightCol())).first()[0])
-    settings = draw_settings(candidate, n_iter, weight_sum, seed, fixed)
-    search = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=[{classifier.getParam(k): v for k, v in s.items()} for s in settings],
-        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    found: CrossValidatorModel = search.fit(stratified_folds(training, folds, seed))
-    return Tuned(found.bestModel, settings, list(found.avgMetrics))
+    settings = draw_settings(candidate, n_iter, seed, fixed)
+    scores = cross_validate(training, candidate, settings, folds, seed, parallelism)
+    best = settings[int(np.argmax(scores))]
+    weight_sum = _weight_sum(training, candidate.make().getWeightCol())
+    return Tuned(fit_model(training, candidate.make(**candidate.params(best, weight_sum))), settings, scores)
 
 
 def training_matrix(features: DataFrame) -> DataFrame:

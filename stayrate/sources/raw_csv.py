@@ -53,7 +53,9 @@ def load_and_coerce(raw: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header="true", escape='"').csv(path)
+    # By default the writer would trim texts.
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.mode("overwrite").options(header="true", escape='"', **kept).csv(path)
 
 
 def read_features_csv(spark: SparkSession, path: str) -> DataFrame:
