@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 # Leading hex digits of a tie key that name its block: 65,536 blocks of even size.
@@ -113,7 +113,8 @@ def cut_keys(
     """The tie key at each wanted ``(group, 1-based rank)`` of the groups' hash order.
 
     Rows are counted per hash block and only the blocks that hold a wanted rank are ordered,
-    each by its own task. The driver sees one row per wanted rank, never a group.
+    each by its own task and by distinct key, so copies of a row collapse before they meet. The
+    driver sees one row per wanted rank, never a group. Copies share a key and stay together.
     """
     if not ranks:
         return {}
@@ -138,23 +139,32 @@ def cut_keys(
         )
         .collect()
     )
-    places = {
-        (value, row["block"], rank - row["start"]): (value, rank)
-        for value, rank in ranks
-        for row in blocks
-        if row[by] == value and row["start"] < rank <= row["start"] + row["n"]
-    }
+    found = {}
+    if not blocks:
+        return found
 
-    def in_block(value: object, block: str) -> Column:
-        return group.eqNullSafe(F.lit(value)) & (F.col("block") == block)
+    def in_block(row: Row) -> Column:
+        return group.eqNullSafe(F.lit(row[by])) & (F.col("block") == row["block"])
 
-    found = (
-        tied.where(any_of([in_block(row[by], row["block"]) for row in blocks]))
-        .withColumn("place", F.row_number().over(Window.partitionBy(by, "block").orderBy("tie")))
-        .where(any_of([in_block(v, b) & (F.col("place") == place) for v, b, place in places]))
-        .collect()
+    keys = (
+        tied.where(any_of([in_block(row) for row in blocks]))
+        .groupBy(by, "block", "tie")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("start", _before([by, "block"], "tie", "n"))
     )
-    return {places[row[by], row["block"], row["place"]]: row["tie"] for row in found}
+    targets = [
+        (row, value, rank)
+        for row in blocks
+        for value, rank in ranks
+        if row[by] == value and row["start"] < rank <= row["start"] + row["n"]
+    ]
+    holds = [in_block(row) & (start < rank - row["start"]) & (F.lit(rank - row["start"]) <= end) for row, _, rank in targets]
+    for key in keys.where(any_of(holds)).collect():
+        for row, value, rank in targets:
+            same_block = row[by] == key[by] and row["block"] == key["block"]
+            if same_block and key["start"] < rank - row["start"] <= key["start"] + key["n"]:
+                found[value, rank] = key["tie"]
+    return found
 
 
 def tile_end(tile: Column, total: Column, tiles: int) -> Column:

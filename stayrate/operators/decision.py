@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayrate.operators.evaluation import classification_rates
+from stayrate.operators.evaluation import COUNTS, rates_of
 from stayrate.schema import (
     EXPECTED_MONTHS,
     GRID_FIRST,
@@ -61,14 +61,6 @@ def backtest(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.agg(_value_at(threshold).alias("business_value"))
 
 
-def reference_points(scored: DataFrame) -> DataFrame:
-    """Value at the usual 0.5, with nobody flagged, and at the best threshold."""
-    sweep = threshold_sweep(scored)
-    fixed = business_value(scored, {"default": 0.5, "no_program": NOBODY_FLAGGED})
-    best = best_threshold(sweep).select(F.lit("optimal").alias("strategy"), "business_value")
-    return fixed.unionByName(best)
-
-
 def _last_passed() -> Column:
     """The last grid number i whose i / 100 does not exceed the probability."""
     p = F.col("churn_probability")
@@ -81,39 +73,59 @@ def _last_passed() -> Column:
     return F.least(F.greatest(found, F.lit(GRID_FIRST - 1)), F.lit(GRID_LAST)).cast("int")
 
 
-def threshold_sweep(scored: DataFrame) -> DataFrame:
-    """Back-tested value at every candidate threshold, from one scan.
+def swept(scored: DataFrame) -> DataFrame:
+    """Confusion counts and back-tested value at every candidate threshold, from one scan.
 
     Rows are summed per last threshold they pass (92 groups at most); who is flagged at a
-    threshold is then the sum of the groups from it upward.
+    threshold is then the sum of the groups from it upward. ``no_program`` is the value of
+    flagging nobody.
     """
     churned = F.col("churn")
     groups = scored.groupBy(_last_passed().alias("step")).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count_if(churned).alias("pos"),
+        F.count_if(~churned).alias("neg"),
         F.coalesce(F.sum(F.when(churned, F.col("clv"))), F.lit(Decimal("0.00"))).alias("at_stake"),
     )
-    kinds = {field.name: field.dataType for field in groups.schema}
     grid = scored.sparkSession.range(GRID_FIRST, GRID_LAST + 1).select(
-        F.col("id").cast("int").alias("step"),
-        F.lit(0).cast(kinds["n"]).alias("n"),
-        F.lit(0).cast(kinds["at_stake"]).alias("at_stake"),
+        *[
+            (F.col("id") if f.name == "step" else F.lit(0)).cast(f.dataType).alias(f.name)
+            for f in groups.schema.fields
+        ]
     )
-    steps = groups.unionByName(grid).groupBy("step").agg(F.sum("n").alias("n"), F.sum("at_stake").alias("at_stake"))
+    amounts = ["pos", "neg", "at_stake"]
+    steps = groups.unionByName(grid).groupBy("step").agg(*[F.sum(c).alias(c) for c in amounts])
     upward = Window.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everyone = Window.orderBy(F.desc("step")).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
-    caught = F.sum("at_stake").over(upward).cast("decimal(28,2)")
-    lost = F.sum("at_stake").over(everyone).cast("decimal(28,2)") - caught
-    offers = F.sum("n").over(upward).cast("decimal(20,0)") * F.lit(OFFER_COST)
+    running = steps.select(
+        "step",
+        *[F.sum(c).over(upward).alias(c) for c in amounts],
+        *[F.sum(c).over(everyone).alias(f"all_{c}") for c in amounts],
+    )
+    caught = F.col("at_stake").cast("decimal(28,2)")
+    lost = F.col("all_at_stake").cast("decimal(28,2)") - caught
+    offers = (F.col("pos") + F.col("neg")).cast("decimal(20,0)") * F.lit(OFFER_COST)
     return (
-        steps.select("step", (caught * F.lit(OFFER_SUCCESS_RATE) - offers - lost).cast("double").alias("value"))
-        .where(F.col("step") >= GRID_FIRST)
-        .select((F.col("step").cast("double") / 100).alias("threshold"), F.col("value").alias("business_value"))
+        running.where(F.col("step") >= GRID_FIRST)
+        .select(
+            (F.col("step").cast("double") / 100).alias("threshold"),
+            (caught * F.lit(OFFER_SUCCESS_RATE) - offers - lost).cast("double").alias("business_value"),
+            (-F.col("all_at_stake")).cast("double").alias("no_program"),
+            (F.col("all_neg") - F.col("neg")).alias("tn"),
+            F.col("neg").alias("fp"),
+            (F.col("all_pos") - F.col("pos")).alias("fn"),
+            F.col("pos").alias("tp"),
+        )
         .orderBy("threshold")
     )
 
 
+def threshold_sweep(scored: DataFrame) -> DataFrame:
+    """Back-tested value at every candidate threshold."""
+    return swept(scored).select("threshold", "business_value")
+
+
 def best_threshold(sweep: DataFrame) -> DataFrame:
     """The row of the highest value, the lowest threshold among equals."""
     return sweep.orderBy(F.desc("business_value"), "threshold").limit(1)
@@ -124,11 +136,19 @@ def optimal_threshold(scored: DataFrame) -> Column:
     return best_threshold(threshold_sweep(scored)).select("threshold").scalar()
 
 
+def reference_points(scored: DataFrame) -> DataFrame:
+    """Value at the usual 0.5, with nobody flagged, and at the best threshold."""
+    points = swept(scored).agg(
+        F.max(F.when(F.col("threshold") == 0.5, F.col("business_value"))).alias("default"),
+        F.max("no_program").alias("no_program"),
+        F.max("business_value").alias("optimal"),
+    )
+    return points.unpivot([], ["default", "no_program", "optimal"], "strategy", "business_value")
+
+
 def rates_at_optimum(scored: DataFrame) -> DataFrame:
     """Precision, recall and confusion counts at the best threshold."""
-    best = optimal_threshold(scored)
-    rates = classification_rates(scored, best).withColumn("threshold", best)
-    return rates.select("threshold", "precision", "recall", "tn", "fp", "fn", "tp")
+    return rates_of(best_threshold(swept(scored))).select("threshold", "precision", "recall", *COUNTS)
 
 
 def score_active(scored: DataFrame) -> DataFrame:

@@ -132,7 +132,8 @@ def boxplots(df: DataFrame, columns: Sequence[str] = BOXED, by: str = "churn") -
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (number >= F.col("q1") - reach) & (number <= F.col("q3") + reach)
     return (
-        counts.join(boxes, ["column_name", by])
+        # One box per column and group, a handful of rows.
+        counts.join(F.broadcast(boxes), ["column_name", by])
         .groupBy("column_name", by, *QUARTILES)
         .agg(
             F.min(F.when(inside, number)).alias("low"),
@@ -165,7 +166,8 @@ def density(df: DataFrame, value: str = "monthly_charges", by: str = "churn", po
         F.count(F.lit(1)).alias("size"), F.stddev_samp(number).alias("sd")
     ).withColumn("bandwidth", F.col("sd") * F.pow("size", F.lit(-0.2)))
     spread = (
-        counts.join(shape, by)
+        # One shape per group, two rows.
+        counts.join(F.broadcast(shape), by)
         .withColumn("_span", span)
         .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     )

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from stayrate.functions.rates import ratio_or_zero
 
-# Scores are ordered in cells of 1/4096, and those in sub-cells of 1/4096 of a cell.
-CELLS = 4096
+# Scores are ordered in cells of 1/65,536, and those in parts of 1/65,536 of a cell.
+CELLS = 65536
 
 COUNTS = ["tn", "fp", "fn", "tp"]
 
@@ -50,16 +50,19 @@ def _fold(pieces: DataFrame, order: str, *by: str) -> DataFrame:
     return (
         pieces.withColumn("gain", F.col("area") + 2 * F.col("pos") * negatives_before.cast("decimal(19,0)"))
         .groupBy(*by)
-        .agg(*[F.sum(c).cast(t).alias(c) for c, t in
-               [("pos", "decimal(19,0)"), ("neg", "decimal(19,0)")]], F.sum("gain").alias("area"))
+        .agg(
+            F.sum("pos").cast("decimal(19,0)").alias("pos"),
+            F.sum("neg").cast("decimal(19,0)").alias("neg"),
+            F.sum("gain").alias("area"),
+        )
     )
 
 
 def roc_auc(scored: DataFrame, label: str = "churn", score: str = "churn_probability") -> DataFrame:
     """Exact area under the ROC curve, ties counting half; NULL with one class only.
 
-    Rows are reduced to counts per distinct score. Those are ordered within sub-cells, the
-    sub-cells within cells and the cells at last, so no task orders all the scores.
+    Rows are reduced to counts per distinct score. Those are ordered within parts, the
+    parts within cells and the cells at last, so no task orders all the scores.
     """
     number = F.col(score)
     per_score = scored.groupBy(number.alias("score")).agg(

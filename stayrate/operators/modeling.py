@@ -139,6 +139,7 @@ def with_weights(matrix: DataFrame, weights: ClassWeights) -> DataFrame:
 class PopulationScaler(Estimator):
     """Centre columns and divide by the population deviation (a constant column is only centred).
 
+    An unknown number lands on the mean, where a fit on missing numbers would otherwise stop.
     The fitted model is a SQLTransformer, so it saves and loads with its pipeline.
     """
 
@@ -153,7 +154,7 @@ class PopulationScaler(Estimator):
         measures += [F.stddev_pop(c).alias(f"sd_{c}") for c in self.columns]
         row = dataset.agg(*measures).first()
         terms = [
-            f"(`{c}` - {row[f'mean_{c}']!r}D) / {(row[f'sd_{c}'] or 1.0)!r}D AS `{self.prefix}{c}`"
+            f"coalesce((`{c}` - {row[f'mean_{c}']!r}D) / {(row[f'sd_{c}'] or 1.0)!r}D, 0D) AS `{self.prefix}{c}`"
             for c in self.columns
         ]
         return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")

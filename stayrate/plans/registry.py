@@ -288,8 +288,15 @@ def row_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scores(spark, sf_dir).select("customer_id", decision.value_of(0.5).alias("value")))
 
 
-def _feature(*names: str) -> Query:
-    return lambda spark, sf_dir: featured(spark, sf_dir).select("customer_id", *names)
+def _feature(name: str, add: Callable[..., DataFrame], fit: bool = False) -> Query:
+    """One feature on its own; cut points are fitted only where it needs them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = tidy(spark, sf_dir)
+        args = [features.fit_features(rows)] if fit else []
+        return add(rows, *args).select("customer_id", name)
+
+    return run
 
 
 def _of(relation: Query, operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
@@ -398,12 +405,12 @@ QUERIES: dict[str, Query] = {
     "e07_boxplots": lambda s, d: _rounded(eda.boxplots(tidy(s, d)), 6, "q1", "median", "q3"),
     "e08_density": lambda s, d: plain(eda.density(tidy(s, d)), {"grid_value": 6, "density": 8}),
     # features
-    "f01_tenure_group": _feature("tenure_group"),
-    "f02_service_count": _feature("service_count"),
-    "f03_high_value_customer": _feature("high_value_customer"),
-    "f04_premium_customer": _feature("premium_customer"),
-    "f05_autopay_customer": _feature("autopay_customer"),
-    "f06_revenue_category": _feature("revenue_category"),
+    "f01_tenure_group": _feature("tenure_group", features.add_tenure_group),
+    "f02_service_count": _feature("service_count", features.add_service_count),
+    "f03_high_value_customer": _feature("high_value_customer", features.add_high_value_customer, fit=True),
+    "f04_premium_customer": _feature("premium_customer", features.add_premium_customer),
+    "f05_autopay_customer": _feature("autopay_customer", features.add_autopay_customer),
+    "f06_revenue_category": _feature("revenue_category", features.add_revenue_category, fit=True),
     "f06_cut_points": cut_points,
     "f07_engineer_features": lambda s, d: plain(featured(s, d)),
     # models
@@ -439,13 +446,13 @@ QUERIES: dict[str, Query] = {
     "r07_model_actions": lambda s, d: plain(model_recommendations(s, d)),
     "r08_action_counts": _of(recommended, decision.action_counts),
     "r09_top_risk": _of(recommended, decision.top_risk),
-    # dashboard
+    # dashboard (page datasets of customer columns alone need not join the scores)
     "d01_customer_dashboard": lambda s, d: plain(dashboarded(s, d)),
     "d02_kpi_cards": lambda s, d: dashboard.kpi_cards(dashboarded(s, d), decision.optimal_threshold(scores(s, d))),
-    "d03_revenue_by_contract": _of(dashboarded, metrics.revenue_by_contract),
-    "d03_churn_by_tenure": _of(dashboarded, metrics.churn_by_tenure_bucket),
-    "d03_contract_mix": _of(dashboarded, dashboard.contract_mix),
-    "d04_breakdowns": _of(dashboarded, dashboard.churn_breakdowns, SLICERS),
+    "d03_revenue_by_contract": _of(customers, metrics.revenue_by_contract),
+    "d03_churn_by_tenure": _of(customers, metrics.churn_by_tenure_bucket),
+    "d03_contract_mix": _of(customers, dashboard.contract_mix),
+    "d04_breakdowns": _of(customers, dashboard.churn_breakdowns, SLICERS),
     "d05_worklist": _of(
         recommended, dashboard.worklist, {"recommended_action": ["Retain"]}, "expected_net_benefit", limit=WORKLIST_SIZE
     ),

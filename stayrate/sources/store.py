@@ -51,9 +51,28 @@ def full_refresh(customers: DataFrame, table: str, base_path: str) -> str:
     return folder
 
 
-def replace_recommendations(recommendations: DataFrame, table: str = "retention_recommendations") -> None:
-    """Replace the recommendations table."""
-    recommendations.select(*RECOMMENDATION_COLUMNS).write.mode("overwrite").saveAsTable(table)
+def save_bucketed(df: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Replace a table stored bucketed and sorted by customer_id.
+
+    Customers and recommendations saved with the same number of buckets join without a shuffle.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, "customer_id").sortBy("customer_id")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def replace_recommendations(
+    recommendations: DataFrame,
+    table: str = "retention_recommendations",
+    buckets: int | None = None,
+    path: str | None = None,
+) -> None:
+    """Replace the recommendations table, bucketed by customer_id if asked."""
+    rows = recommendations.select(*RECOMMENDATION_COLUMNS)
+    if buckets:
+        save_bucketed(rows, table, buckets, path)
+        return
+    writer = rows.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
