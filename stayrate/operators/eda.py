@@ -95,21 +95,19 @@ def group_mean(df: DataFrame, value: str, by: str = "churn") -> DataFrame:
 
 def correlations(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
     """Pearson correlation of every pair of columns, in long form; booleans count as 0 and 1."""
-    def number(c: str) -> Column:
-        x = F.col(c)
-        return (x.cast("int") if isinstance(df.schema[c].dataType, T.BooleanType) else x).cast("double")
 
-    pairs = list(combinations(columns, 2))
-    row = df.agg(*[F.corr(number(a), number(b)).alias(f"{a}|{b}") for a, b in pairs])
+    def number(c: str) -> str:
+        x = f"CAST({c} AS INT)" if isinstance(df.schema[c].dataType, T.BooleanType) else c
+        return f"CAST({x} AS DOUBLE)"
 
-    def cell(a: str, b: str, r: Column) -> Column:
-        return F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), r.alias("correlation"))
+    def cell(a: str, b: str, r: str) -> str:
+        return f"named_struct('column_a', '{a}', 'column_b', '{b}', 'correlation', {r})"
 
-    cells = [cell(c, c, F.lit(1.0)) for c in columns]
-    for a, b in pairs:
-        r = F.col(f"`{a}|{b}`")
-        cells += [cell(a, b, r), cell(b, a, r)]
-    return row.select(F.inline(F.array(*cells)))
+    pairs = list(combinations(columns, 2))
+    row = df.selectExpr(*[f"corr({number(a)}, {number(b)}) AS `{a}|{b}`" for a, b in pairs])
+    cells = [cell(c, c, "1D") for c in columns]
+    cells += [cell(*order, f"`{a}|{b}`") for a, b in pairs for order in ((a, b), (b, a))]
+    return row.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def churn_share(df: DataFrame, by: str) -> DataFrame:

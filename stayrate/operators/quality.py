@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,16 +30,16 @@ def _finding(df: DataFrame, check: str, column: Column, value: Column, n: Column
     )
 
 
-def _counts(df: DataFrame, conditions: dict[str, Column], name: str = "column_name") -> DataFrame:
-    """One scan that counts the rows meeting each named condition, one output row per name."""
-    row = df.agg(*[F.count_if(condition).alias(key) for key, condition in conditions.items()])
+def _counts(df: DataFrame, conditions: dict[str, str], name: str = "column_name") -> DataFrame:
+    """One scan that counts the rows meeting each named SQL condition, one output row per name."""
+    row = df.selectExpr(*[f"count_if({condition}) AS `{key}`" for key, condition in conditions.items()])
     return row.unpivot([], list(conditions), name, "n")
 
 
 def check_missing_values(df: DataFrame) -> DataFrame:
     """NULLs per column, for columns that have any."""
     columns = [c for c in CUSTOMER_COLUMNS if c in df.columns]
-    missing = _counts(df, {c: F.col(c).isNull() for c in columns}).where("n > 0")
+    missing = _counts(df, {c: f"{c} IS NULL" for c in columns}).where("n > 0")
     return _finding(missing, "missing_values", F.col("column_name"), F.lit(None), F.col("n"), F.lit(True))
 
 
@@ -54,16 +52,17 @@ def check_duplicate_ids(df: DataFrame) -> DataFrame:
 
 def check_blank_total_charges(df: DataFrame) -> DataFrame:
     """NULL total_charges, and those of them that a zero tenure does not explain."""
-    blank = F.col("total_charges").isNull()
+    blank = "total_charges IS NULL"
     found = _counts(
-        df, {"null total": blank, "null total, tenure not 0": blank & (F.col("tenure_months") != 0)}, "value"
+        df, {"null total": blank, "null total, tenure not 0": f"{blank} AND tenure_months != 0"}, "value"
     )
     bad = (F.col("value") == "null total, tenure not 0") & (F.col("n") > 0)
     return _finding(found, "blank_total_charges", F.lit("total_charges"), F.col("value"), F.col("n"), bad)
 
 
-def _outside_domain(column: str) -> Column:
-    return flag(~F.col(column).isin(DOMAINS[column]))
+def _outside_domain(column: str) -> str:
+    allowed = ", ".join(f"'{value}'" for value in DOMAINS[column])
+    return f"coalesce({column} NOT IN ({allowed}), false)"
 
 
 def check_categorical_values(df: DataFrame) -> DataFrame:
@@ -71,25 +70,27 @@ def check_categorical_values(df: DataFrame) -> DataFrame:
 
     Rows with nothing wrong are dropped by a plain filter before anything is unpivoted.
     """
-    outside = F.array_compact(
-        F.array(*[F.when(_outside_domain(c), F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"))) for c in DOMAINS])
-    )
+    cells = [
+        f"IF({_outside_domain(c)}, named_struct('column_name', '{c}', 'value', {c}), NULL)" for c in DOMAINS
+    ]
     found = (
-        df.where(reduce(Column.__or__, [_outside_domain(c) for c in DOMAINS]))
-        .select(F.inline(outside))
+        df.where(" OR ".join(_outside_domain(c) for c in DOMAINS))
+        .selectExpr(f"inline(array_compact(array({', '.join(cells)})))")
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    columns = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in DOMAINS])).alias("column_name"))
+    names = ", ".join(f"'{c}'" for c in DOMAINS)
+    columns = df.sparkSession.range(1).selectExpr(f"explode(array({names})) AS column_name")
     joined = columns.join(found, "column_name", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return _finding(joined, "categories", F.col("column_name"), F.col("value"), F.col("n"), F.col("n") > 0)
 
 
 def check_dtypes(raw: DataFrame) -> DataFrame:
     """Per number column of the raw text: non-blank cells that are not numbers."""
-    def unreadable(column: str) -> Column:
-        text = F.trim(F.col(column).cast("string"))
-        return (text != "") & text.try_cast(NUMBER_TYPES[column]).isNull()
+
+    def unreadable(column: str) -> str:
+        text = f"trim(CAST({column} AS STRING))"
+        return f"{text} != '' AND try_cast({text} AS {NUMBER_TYPES[column]}) IS NULL"
 
     found = _counts(raw, {c: unreadable(c) for c in NUMBER_COLUMNS})
     return _finding(found, "numeric_type", F.col("column_name"), F.lit(None), F.col("n"), F.col("n") > 0)
@@ -98,12 +99,12 @@ def check_dtypes(raw: DataFrame) -> DataFrame:
 # --- constraints -----------------------------------------------------------
 
 
-def row_constraints() -> dict[tuple[str, str], Column]:
-    """(kind, column) -> predicate that is true where a row breaks the constraint."""
-    broken = {("not_null", c): F.col(c).isNull() for c in REQUIRED_COLUMNS}
+def row_constraints() -> dict[tuple[str, str], str]:
+    """(kind, column) -> SQL predicate that is true where a row breaks the constraint."""
+    broken = {("not_null", c): f"{c} IS NULL" for c in REQUIRED_COLUMNS}
     broken |= {("domain", c): _outside_domain(c) for c in TEXT_COLUMNS}
-    broken |= {("non_negative", c): flag(F.col(c) < 0) for c in NON_NEGATIVE_COLUMNS}
-    broken |= {("max_length", c): flag(F.length(c) > size) for c, size in MAX_LENGTHS.items()}
+    broken |= {("non_negative", c): f"coalesce({c} < 0, false)" for c in NON_NEGATIVE_COLUMNS}
+    broken |= {("max_length", c): f"coalesce(length({c}) > {size}, false)" for c, size in MAX_LENGTHS.items()}
     return broken
 
 
@@ -135,12 +136,11 @@ def with_violations(df: DataFrame, order: str = "seq") -> DataFrame:
         .groupBy("customer_id")
         .agg(F.min(order).alias("_first"))
     )
-    reasons = [F.when(p, F.lit(f"{kind}:{column}")) for (kind, column), p in constraints.items()]
-    repeated = F.when(flag(F.col(order) > F.col("_first")), F.lit("unique:customer_id"))
+    reasons = [f"IF({p}, '{kind}:{column}', NULL)" for (kind, column), p in constraints.items()]
+    reasons.append(f"IF(coalesce({order} > _first, false), 'unique:customer_id', NULL)")
+    violations = F.expr(f"array_compact(array({', '.join(reasons)}))")
     joined = df.join(first, "customer_id", "left")
-    return joined.withColumn("violations", F.array_compact(F.array(*reasons, repeated))).select(
-        *df.columns, "violations"
-    )
+    return joined.withColumn("violations", violations).select(*df.columns, "violations")
 
 
 def split_valid(df: DataFrame, order: str = "seq") -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,10 @@ the two inputs, so that the same text serves Spark and a SQL oracle.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CUSTOMERS_SQL = """
 WITH o AS (
@@ -83,8 +86,15 @@ FROM r
 """
 
 
+@lru_cache(maxsize=256)
+def _table_schema(app: str, path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its footer is read once per session and not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_table_schema(spark.sparkContext.applicationId, path)).parquet(path)
 
 
 def derive_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

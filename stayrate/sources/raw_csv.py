@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayrate.schema import BILLED, COLUMN_MAP, FEATURES_SCHEMA, MONEY, NA_TEXTS, YES_NO_COLUMNS
@@ -34,17 +34,16 @@ def rename_columns(raw: DataFrame) -> DataFrame:
     return raw.withColumnsRenamed(COLUMN_MAP)
 
 
-def _yes_no(text: Column) -> Column:
-    return F.when(text == "Yes", True).when(text == "No", False)
-
-
 def coerce_types(renamed: DataFrame) -> DataFrame:
     """Texts to booleans and numbers; what cannot be read becomes NULL, for the constraints to find."""
-    number = {"tenure_months": "int", "monthly_charges": MONEY, "total_charges": BILLED}
-    typed = {c: F.col(c).try_cast(t) for c, t in number.items()}
-    typed["senior_citizen"] = F.col("senior_citizen").try_cast("int").cast("boolean")
-    typed |= {c: _yes_no(F.col(c)) for c in YES_NO_COLUMNS}
-    return renamed.select(*[typed.get(c, F.col(c)).alias(c) for c in renamed.columns])
+    typed = {
+        "tenure_months": "try_cast(tenure_months AS INT)",
+        "monthly_charges": f"try_cast(monthly_charges AS {MONEY.simpleString()})",
+        "total_charges": f"try_cast(total_charges AS {BILLED.simpleString()})",
+        "senior_citizen": "CAST(try_cast(senior_citizen AS INT) AS BOOLEAN)",
+    }
+    typed |= {c: f"CASE {c} WHEN 'Yes' THEN true WHEN 'No' THEN false END" for c in YES_NO_COLUMNS}
+    return renamed.selectExpr(*[f"{typed.get(c, c)} AS {c}" for c in renamed.columns])
 
 
 def load_and_coerce(raw: DataFrame) -> DataFrame:
