@@ -212,6 +212,13 @@ def onehot_counts(matrix: DataFrame, encoder: PipelineModel) -> DataFrame:
     )
 
 
+def encoded_slots(matrix: DataFrame, encoder: PipelineModel) -> DataFrame:
+    """The encoded vectors in long form: id, slot and value of every slot that is not zero."""
+    names = F.array(*[F.lit(name) for name in feature_names(encoder)])
+    slots = encoder.transform(matrix).select(ID, F.posexplode(vector_to_array("features")).alias("i", "value"))
+    return slots.where("value != 0").select(ID, F.get(names, F.col("i")).alias("slot"), "value")
+
+
 # --- candidate models ------------------------------------------------------
 
 

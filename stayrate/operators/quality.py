@@ -108,6 +108,28 @@ def row_constraints() -> dict[tuple[str, str], str]:
     return broken
 
 
+def row_is_sound() -> str:
+    """SQL predicate that is true where no row constraint is broken.
+
+    Shorter than the list of constraints: a value in its domain is neither NULL nor too long.
+    """
+    def known(test: str, column: str) -> str:
+        return f"coalesce({test}, {str(column not in REQUIRED_COLUMNS).lower()})"
+
+    tests = []
+    for column in CUSTOMER_COLUMNS:
+        if column in DOMAINS:
+            allowed = ", ".join(f"'{value}'" for value in DOMAINS[column])
+            tests.append(known(f"{column} IN ({allowed})", column))
+        elif column in NON_NEGATIVE_COLUMNS:
+            tests.append(known(f"{column} >= 0", column))
+        elif column in MAX_LENGTHS:
+            tests.append(known(f"length({column}) <= {MAX_LENGTHS[column]}", column))
+        else:
+            tests.append(f"{column} IS NOT NULL")
+    return " AND ".join(tests)
+
+
 def constraint_report(df: DataFrame) -> DataFrame:
     """Rows breaking each constraint: all row-wise ones in one scan, key uniqueness by count."""
     constraints = row_constraints()
@@ -124,27 +146,33 @@ def constraint_report(df: DataFrame) -> DataFrame:
     return rows.unionByName(unique).select("check_name", "column_name", F.col("n").cast("bigint"), status)
 
 
-def with_violations(df: DataFrame, order: str = "seq") -> DataFrame:
-    """Add ``violations``, the constraints a row breaks; repeats of an id break ``unique``.
+def _with_first(df: DataFrame, order: str) -> DataFrame:
+    """Add ``_first``, the first row of a repeated id (NULL for ids that occur once).
 
-    The first row of an id comes from a partial aggregate joined back on the id, so a much
-    repeated id is split by the skew-join rule instead of filling one window task.
+    Ids are counted by partial aggregation and only repeated ones are joined back. They are
+    normally few, so the join becomes a broadcast at run time and a much repeated id never fills
+    one task; where they are many, the skew-join rule splits it.
     """
-    constraints = row_constraints()
-    first = (
+    repeated = (
         df.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
-        .agg(F.min(order).alias("_first"))
+        .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .where("_n > 1")
+        .drop("_n")
     )
-    reasons = [f"IF({p}, '{kind}:{column}', NULL)" for (kind, column), p in constraints.items()]
-    reasons.append(f"IF(coalesce({order} > _first, false), 'unique:customer_id', NULL)")
-    violations = F.expr(f"array_compact(array({', '.join(reasons)}))")
-    joined = df.join(first, "customer_id", "left")
-    return joined.withColumn("violations", violations).select(*df.columns, "violations")
+    return df.join(repeated, "customer_id", "left")
 
 
 def split_valid(df: DataFrame, order: str = "seq") -> tuple[DataFrame, DataFrame]:
-    """(rows fit to load, quarantined rows with their violations)."""
-    checked = with_violations(df, order)
-    good = checked.where(F.size("violations") == 0).drop("violations")
-    return good, checked.where(F.size("violations") > 0)
+    """(rows fit to load, quarantined rows with their ``violations``).
+
+    Rows are told apart by a short predicate; only bad ones go on to the long list of reasons.
+    Repeats of an id beyond its first row break ``unique``.
+    """
+    broken = {f"{kind}:{column}": predicate for (kind, column), predicate in row_constraints().items()}
+    broken["unique:customer_id"] = f"coalesce({order} > _first, false)"
+    sound = f"{row_is_sound()} AND NOT {broken['unique:customer_id']}"
+    reasons = ", ".join(f"IF({predicate}, '{name}', NULL)" for name, predicate in broken.items())
+    violations = F.expr(f"array_compact(array({reasons}))").alias("violations")
+    placed = _with_first(df, order)
+    return placed.where(sound).select(*df.columns), placed.where(f"NOT ({sound})").select(*df.columns, violations)

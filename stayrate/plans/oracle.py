@@ -536,6 +536,20 @@ FROM (SELECT churn, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS whol
         + " FROM features",
         "features",
     ),
+    "m05_encoded_slots": query(
+        "SELECT * FROM ("
+        + " UNION ALL ".join(
+            [f"SELECT customer_id, '{c}=' || {c} AS slot, CAST(1 AS DOUBLE) AS value FROM features" for c in CATEGORICAL_FEATURES]
+            + [
+                f"SELECT customer_id, '{c}', round((CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) "
+                f"/ stddev_pop(CAST({c} AS DOUBLE)) OVER (), 8) FROM features"
+                for c in NUMERIC_FEATURES
+            ]
+            + [f"SELECT customer_id, '{c}', CAST({c} AS DOUBLE) FROM features" for c in BOOLEAN_FEATURES]
+        )
+        + ") WHERE value <> 0",
+        "features",
+    ),
     "m06_class_weights": query(
         """SELECT round(CAST(k + c AS DOUBLE) / (2 * k), 10) AS kept_weight, round(CAST(k + c AS DOUBLE) / (2 * c), 10) AS churned_weight,
   round(CAST(k AS DOUBLE) / c, 10) AS positive_weight

@@ -261,11 +261,10 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modeling.onehot_counts(rows, encoder).where("customers > 0")
 
 
-def encoded_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def encoded_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = matrix(spark, sf_dir)
     encoder = modeling.Pipeline(stages=modeling.encoding_stages()).fit(rows)
-    vector = modeling.vector_to_array("features").alias("features")
-    return encoder.transform(rows).select("customer_id", "label", vector)
+    return _rounded(modeling.encoded_slots(rows, encoder), 8, "value")
 
 
 def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,7 +417,7 @@ QUERIES: dict[str, Query] = {
     "m02_stratified_split": lambda s, d: modeling.stratified_split(customers(s, d)).select("customer_id", "churn", "split"),
     "m03_one_hot": one_hot,
     "m04_scaled_numbers": lambda s, d: _rounded(modeling.scaled_numbers(matrix(s, d)), 8, *modeling.NUMERIC_FEATURES),
-    "m05_encoded_vectors": encoded_vectors,
+    "m05_encoded_slots": encoded_slots,
     "m06_class_weights": weights,
     "m07_logistic_regression": lambda s, d: plain(test_scores(s, d, "logistic_regression")),
     "m08_random_forest": lambda s, d: plain(test_scores(s, d, "random_forest")),

@@ -16,6 +16,8 @@ def build_session(app: str = "stayrate", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # The JVM never compiles a generated method beyond this many bytes.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Recording the Python call site of every expression makes building plans slow.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
