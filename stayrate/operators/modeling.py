@@ -45,7 +45,7 @@ def _class_sizes(df: DataFrame, label: str) -> dict[object, int]:
     return {row[0]: row[1] for row in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def test_quotas(sizes: dict[object, int], fraction: float) -> dict[object, int]:
+def class_quotas(sizes: dict[object, int], fraction: float) -> dict[object, int]:
     """Test rows per class: ceil(fraction * all) shared out by largest remainder."""
     total = sum(sizes.values())
     wanted = -int(-fraction * total // 1)
@@ -65,7 +65,7 @@ def stratified_split(
     One boundary per class is searched for; every row is then placed by comparing its own hash
     with it, so the split needs no shuffle and a re-run of a lost task gives the same rows.
     """
-    quotas = test_quotas(_class_sizes(df, label), fraction)
+    quotas = class_quotas(_class_sizes(df, label), fraction)
     ranks = [(value, rank) for value, rank in quotas.items() if rank > 0]
     found = cut_keys(df, label, identifier, ranks, str(seed))
     tie = tie_key(F.col(identifier), str(seed))

@@ -147,7 +147,7 @@ def fitted(spark: SparkSession, sf_dir: str, name: str) -> PipelineModel:
     return _fitted(spark.sparkContext.applicationId, sf_dir, name)
 
 
-def test_scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def held_out_scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Held-out customers with a fitted model's probability and their value."""
     held = modeling.build_feature_matrix(split_features(spark, sf_dir, "test"))
     return decision.with_clv(modeling.predict(fitted(spark, sf_dir, name), held))
@@ -155,7 +155,7 @@ def test_scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def model_recommendations(spark: SparkSession, sf_dir: str, name: str = "boosted_trees") -> DataFrame:
     """Threshold from the held-out customers, actions for all active ones."""
-    best = decision.optimal_threshold(test_scores(spark, sf_dir, name))
+    best = decision.optimal_threshold(held_out_scores(spark, sf_dir, name))
     rows = store.read_dataset(spark, _split_path(spark.sparkContext.applicationId, sf_dir))
     scored = modeling.predict(fitted(spark, sf_dir, name), modeling.build_feature_matrix(rows))
     return decision.recommend(scored, best)
@@ -197,7 +197,7 @@ def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.compare_models({name: test_scores(spark, sf_dir, name) for name in modeling.CANDIDATES})
+    return evaluation.compare_models({name: held_out_scores(spark, sf_dir, name) for name in modeling.CANDIDATES})
 
 
 def top_risk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -419,9 +419,9 @@ QUERIES: dict[str, Query] = {
     "m04_scaled_numbers": lambda s, d: _rounded(modeling.scaled_numbers(matrix(s, d)), 8, *modeling.NUMERIC_FEATURES),
     "m05_encoded_slots": encoded_slots,
     "m06_class_weights": weights,
-    "m07_logistic_regression": lambda s, d: plain(test_scores(s, d, "logistic_regression")),
-    "m08_random_forest": lambda s, d: plain(test_scores(s, d, "random_forest")),
-    "m09_boosted_trees": lambda s, d: plain(test_scores(s, d, "boosted_trees")),
+    "m07_logistic_regression": lambda s, d: plain(held_out_scores(s, d, "logistic_regression")),
+    "m08_random_forest": lambda s, d: plain(held_out_scores(s, d, "random_forest")),
+    "m09_boosted_trees": lambda s, d: plain(held_out_scores(s, d, "boosted_trees")),
     "m10_stratified_folds": lambda s, d: modeling.stratified_folds(customers(s, d)).select("customer_id", "churn", "fold"),
     "m10_tune_model": tuned,
     "m11_roc_auc": _of(scores, evaluation.roc_auc),

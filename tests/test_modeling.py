@@ -39,7 +39,7 @@ def test_another_seed_gives_another_split(customers):
     [({True: 1869, False: 5174}, {True: 374, False: 1035}), ({True: 3, False: 7}, {True: 1, False: 1})],
 )
 def test_quotas_share_out_the_remainder(sizes, quotas):
-    assert modeling.test_quotas(sizes, 0.2) == quotas
+    assert modeling.class_quotas(sizes, 0.2) == quotas
 
 
 def test_folds_are_even_per_class(customers):
