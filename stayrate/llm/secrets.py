@@ -1,0 +1,216 @@
+"""Secrets in texts: patterns of known kinds, and stretches of high entropy. DataFrame functions only."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# --- fixed values: the patterns of the base kinds ---------------------------
+ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]+"
+HEX = r"[0-9a-f]+"
+ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
+# ----------------------------------------------------------------------------
+
+#: Runs that may be a random string.
+CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+KINDS = ["assign", "access", "hex", "entropy_hex", "entropy_base64"]
+
+
+@dataclass(frozen=True)
+class Entropy:
+    """When a candidate string counts as random.
+
+    A window of `width` characters slides over the candidate; a window is hot if its Shannon entropy
+    in bits a character reaches the bound of the candidate's class. Hexadecimal candidates can
+    reach 4 bits, others log2(width). Candidates without a digit or without a letter, and those
+    that an allow-list pattern matches (placeholders, counting sequences, UUIDs, paths), are none.
+    """
+
+    width: int = 20
+    hex_bits: float = 3.2
+    base64_bits: float = 3.9
+    allow: list[str] = field(
+        default_factory=lambda: [
+            r"(?i)example|sample|placeholder|changeme|dummy|xxxxxx",
+            r"(?i)0123456789|abcdefghij|qwertyuiop",
+            r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
+            r"/[^/]*/[^/]*/",
+        ]
+    )
+
+
+def _found(text: Column, pattern: str, keep, parts: Column | None = None) -> Column:
+    """Spans (start, end, match) of the leftmost non-overlapping matches that `keep` accepts.
+
+    The gaps around all matches, as split by the pattern, and the matches themselves have the
+    lengths from which the places follow. Patterns never match an empty string.
+    """
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = matches if parts is None else parts
+    pieces = F.arrays_zip(
+        F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)).alias("gap"), matches.alias("match"), parts.alias("part")
+    )
+    span = "struct<start:int,end:int,match:string>"
+
+    def add(so_far: Column, piece: Column) -> Column:
+        start = so_far["at"] + F.length(piece["gap"])
+        end = start + F.length(piece["match"])
+        one = F.array(F.struct(start.alias("start"), end.alias("end"), piece["match"].alias("match")).cast(span))
+        spans = F.when(keep(piece["part"]), F.concat(so_far["spans"], one)).otherwise(so_far["spans"])
+        return F.struct(end.cast("int").alias("at"), spans.alias("spans"))
+
+    nothing = F.array().cast(f"array<{span}>")
+    total = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), nothing.alias("spans")), add, lambda x: x["spans"])
+    return F.when(text.rlike(pattern), total).otherwise(nothing)
+
+
+def _entropy_bits(width: int) -> str:
+    """SQL for an array of c log2 c, for c from 0 to width."""
+    return f"transform(sequence(0, {width}), c -> if(c < 2, 0D, c * log2(c)))"
+
+
+def hot_stretch(match: Column, bits: Column, width: int) -> Column:
+    """(first, last): the 1-based end positions of the first and last hot window; 0 without one.
+
+    Counts per character and the sum of c log2 c over them are carried from window to window: the
+    character that comes in and the one that goes change two counts and four terms of the sum.
+    """
+    terms = F.expr(_entropy_bits(width))
+    start = F.struct(
+        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("first"), F.lit(0).alias("last")
+    )
+
+    def term(n: Column) -> Column:
+        return F.element_at(terms, n + 1)
+
+    def slide(so_far: Column, i: Column) -> Column:
+        comes = F.ascii(F.substring(match, i, F.lit(1)))
+        goes = F.when(i > width, F.ascii(F.substring(match, i - width, F.lit(1)))).otherwise(F.lit(-1))
+        n_in = F.element_at(so_far["counts"], comes + 1)
+        n_out = F.when(goes >= 0, F.element_at(so_far["counts"], F.greatest(goes, F.lit(0)) + 1)).otherwise(F.lit(1))
+        change = F.when(
+            comes != goes,
+            term(F.least(n_in + 1, F.lit(width))) - term(n_in) + term(F.greatest(n_out - 1, F.lit(0))) - term(n_out),
+        ).otherwise(F.lit(0.0))
+        counts = F.transform(
+            so_far["counts"], lambda c, k: c + F.when(k == comes, 1).otherwise(0) - F.when(k == goes, 1).otherwise(0)
+        )
+        total = so_far["sum"] + change
+        hot = (i >= width) & (F.log2(F.lit(float(width))) - total / width >= bits)
+        return F.struct(
+            counts.alias("counts"),
+            total.alias("sum"),
+            F.when(hot & (so_far["first"] == 0), i).otherwise(so_far["first"]).alias("first"),
+            F.when(hot, i).otherwise(so_far["last"]).alias("last"),
+        )
+
+    return F.aggregate(
+        F.sequence(F.lit(1), F.length(match)), start, slide, lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"))
+    )
+
+
+def secret_spans(documents: DataFrame, entropy: Entropy | None = None) -> DataFrame:
+    """Secrets in documents (doc_id, text) as spans in code points, end exclusive.
+
+    Returns per document doc_id, n_assign, n_access, n_hex, and spans, an array of (start, end,
+    kind) in order of start, then of kind as listed in KINDS. The first three kinds are
+    patterns, found leftmost and without overlap each for itself. The others are the hot stretches
+    of candidate strings (see Entropy), unless a pattern's span holds them already; the allow-list
+    never takes away a pattern's span.
+
+    Null and empty texts have no spans. Every row is handled by itself, repeated or not. Other
+    columns are not read.
+    """
+    entropy = entropy or Entropy()
+    text = F.col("text")
+    # In a run of these classes only the longest match from the first start can be long enough.
+    access = ACCESS.replace("+", f"{{{ACCESS_LENGTH - 4},}}")
+    hexadecimal = HEX.replace("+", f"{{{HEX_LENGTH},}}")
+    always = lambda part: F.lit(True)
+    secret = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
+
+    def random_looking(part: Column) -> Column:
+        keep = part.rlike("[0-9]") & part.rlike("[A-Za-z]")
+        for pattern in entropy.allow:
+            keep = keep & ~part.rlike(pattern)
+        return keep
+
+    base = documents.select(
+        F.col("doc_id"),
+        F.coalesce(text.cast("string"), F.lit("")).alias("text"),
+    ).select(
+        "doc_id",
+        _found(text, ASSIGN, lambda part: F.length(part) >= ASSIGN_LENGTH, secret).alias("assign"),
+        _found(text, access, always).alias("access"),
+        _found(text, hexadecimal, always).alias("hex"),
+        _found(text, CANDIDATE, random_looking).alias("candidates"),
+    )
+
+    def stretch(found: Column) -> Column:
+        is_hex = found["match"].rlike("^[0-9a-fA-F]+$")
+        bits = F.when(is_hex, F.lit(entropy.hex_bits)).otherwise(F.lit(entropy.base64_bits))
+        hot = hot_stretch(found["match"], bits, entropy.width)
+        return F.struct(
+            (found["start"] + hot["first"] - entropy.width).cast("int").alias("start"),
+            F.when(hot["last"] > 0, found["start"] + hot["last"]).otherwise(F.lit(-1)).cast("int").alias("end"),
+            F.when(is_hex, 3).otherwise(4).alias("kind"),
+        )
+
+    def labelled(column: str, kind: int) -> Column:
+        return F.transform(column, lambda x: F.struct(x["start"], x["end"], F.lit(kind).alias("kind")))
+
+    known = base.select(
+        "doc_id",
+        F.concat(labelled("assign", 0), labelled("access", 1), labelled("hex", 2)).alias("known"),
+        F.transform("candidates", stretch).alias("stretches"),
+    )
+    new = F.filter(
+        "stretches",
+        lambda x: (x["end"] >= 0)
+        & ~F.exists("known", lambda k: (k["start"] <= x["start"]) & (x["end"] <= k["end"])),
+    )
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    ordered = F.array_sort(
+        F.transform(F.concat("known", new), lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
+    )
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("known", lambda k: k["kind"] == kind)).cast("long")
+
+    return known.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.transform(
+            ordered, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.element_at(kinds, x["kind"] + 1).alias("kind"))
+        ).alias("spans"),
+    )
+
+
+def masked(documents: DataFrame, spans: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """Texts with every span of `secret_spans` replaced by a mark; overlapping spans get one mark.
+
+    Both sides are joined by doc_id, which must be unique in `spans`.
+    """
+    holds = spans.where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
+
+    def cut(so_far: Column, x: Column) -> Column:
+        gap = F.substring(F.col("text"), so_far["at"] + 1, F.greatest(x["start"] - so_far["at"], F.lit(0)))
+        fresh = (x["start"] >= so_far["at"]) | (so_far["at"] == 0)
+        return F.struct(
+            F.greatest(so_far["at"], x["end"]).alias("at"),
+            F.when(fresh, F.concat(so_far["text"], gap, F.lit(mark))).otherwise(so_far["text"]).alias("text"),
+        )
+
+    whole = F.aggregate(
+        "_spans",
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("text")),
+        cut,
+        lambda x: F.concat(x["text"], F.substring(F.col("text"), x["at"] + 1, F.length("text"))),
+    )
+    joined = documents.join(holds, documents["doc_id"].eqNullSafe(holds["_id"]), "left")
+    return joined.withColumn("text", F.when(F.col("_spans").isNotNull(), whole).otherwise(F.col("text"))).drop("_id", "_spans")
