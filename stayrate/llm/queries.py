@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from stayrate.llm import chat
 from stayrate.llm.decontaminate import benchmark_hits
-from stayrate.llm.secrets import secret_spans
+from stayrate.llm.fingerprints import compared_with_next
+from stayrate.llm.secret_scan import secret_spans
 from stayrate.llm.sharding import interleaved_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# --- 2: document fingerprints -----------------------------------------------
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared_with_next(table(spark, sf_dir, "documents"))
+
+
 # --- 3: chat formatting -----------------------------------------------------
 
 CHAT = (
@@ -107,6 +115,7 @@ def op10_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
     "op3_prefix_target": op3_prefix_target,
     "op4_interleaved_shards": op4_interleaved_shards,
     "op7_benchmark_windows": op7_benchmark_windows,
