@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stayrate.llm import chat
 from stayrate.llm.decontaminate import benchmark_hits
 from stayrate.llm.fingerprints import compared_with_next
+from stayrate.llm.main_text import extracted
 from stayrate.llm.secret_scan import secret_spans
 from stayrate.llm.sharding import interleaved_shards
 
@@ -97,6 +98,13 @@ def op7_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 8: HTML extraction -----------------------------------------------------
+
+
+def op8_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 # --- 10: secret scans -------------------------------------------------------
 
 
@@ -119,6 +127,7 @@ QUERIES: dict[str, Query] = {
     "op3_prefix_target": op3_prefix_target,
     "op4_interleaved_shards": op4_interleaved_shards,
     "op7_benchmark_windows": op7_benchmark_windows,
+    "op8_text_density": op8_text_density,
     "op10_secret_entropy": op10_secret_entropy,
 }
 
