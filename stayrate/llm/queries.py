@@ -13,6 +13,7 @@ from stayrate.llm import chat
 from stayrate.llm.decontaminate import benchmark_hits
 from stayrate.llm.fingerprints import compared_with_next
 from stayrate.llm.main_text import extracted
+from stayrate.llm.packing import packed_documents
 from stayrate.llm.secret_scan import secret_spans
 from stayrate.llm.sharding import interleaved_shards
 
@@ -23,6 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# --- 1: packing -------------------------------------------------------------
+
+
+def op1_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"), most=1024)
+
+
 # --- 2: document fingerprints -----------------------------------------------
 
 
@@ -123,6 +131,7 @@ def op10_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_histogram_packing": op1_histogram_packing,
     "op2_simhash": op2_simhash,
     "op3_prefix_target": op3_prefix_target,
     "op4_interleaved_shards": op4_interleaved_shards,
