@@ -13,6 +13,7 @@ from stayrate.llm import chat
 from stayrate.llm.decontaminate import benchmark_hits
 from stayrate.llm.fingerprints import compared_with_next
 from stayrate.llm.main_text import extracted
+from stayrate.llm.near_copies import near_copies
 from stayrate.llm.packing import packed_documents
 from stayrate.llm.secret_scan import secret_spans
 from stayrate.llm.sharding import interleaved_shards
@@ -94,6 +95,13 @@ def op4_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 5: near copies ---------------------------------------------------------
+
+
+def op5_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents"), width=2, least=0.8)
+
+
 # --- 7: benchmark decontamination -------------------------------------------
 
 
@@ -135,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_prefix_target": op3_prefix_target,
     "op4_interleaved_shards": op4_interleaved_shards,
+    "op5_tensored_minhash": op5_tensored_minhash,
     "op7_benchmark_windows": op7_benchmark_windows,
     "op8_text_density": op8_text_density,
     "op10_secret_entropy": op10_secret_entropy,
