@@ -15,6 +15,7 @@ from stayrate.llm.fingerprints import compared_with_next
 from stayrate.llm.main_text import extracted
 from stayrate.llm.near_copies import near_copies
 from stayrate.llm.packing import packed_documents
+from stayrate.llm.repeats import without_repeats
 from stayrate.llm.secret_scan import secret_spans
 from stayrate.llm.sharding import interleaved_shards
 
@@ -102,6 +103,14 @@ def op5_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"), width=2, least=0.8)
 
 
+# --- 6: repeated passages ---------------------------------------------------
+
+
+def op6_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = without_repeats(table(spark, sf_dir, "documents"), window=50)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # --- 7: benchmark decontamination -------------------------------------------
 
 
@@ -144,6 +153,7 @@ QUERIES: dict[str, Query] = {
     "op3_prefix_target": op3_prefix_target,
     "op4_interleaved_shards": op4_interleaved_shards,
     "op5_tensored_minhash": op5_tensored_minhash,
+    "op6_phrase_automata": op6_phrase_automata,
     "op7_benchmark_windows": op7_benchmark_windows,
     "op8_text_density": op8_text_density,
     "op10_secret_entropy": op10_secret_entropy,
