@@ -6,10 +6,10 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayrate.llm import chat
+from stayrate.llm import chat, toxicity
 from stayrate.llm.decontaminate import benchmark_hits
 from stayrate.llm.fingerprints import compared_with_next
 from stayrate.llm.main_text import extracted
@@ -130,6 +130,24 @@ def op8_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted(table(spark, sf_dir, "pages"))
 
 
+# --- 9: toxicity ------------------------------------------------------------
+
+
+def held_out() -> Column:
+    """One document in five, by its id, which nothing is learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def toxicity_model(spark: SparkSession, documents: DataFrame, sf_dir: str) -> toxicity.Model:
+    return toxicity.fitted(documents, table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out()))
+
+
+def op9_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scores = toxicity.scored(documents, toxicity_model(spark, documents, sf_dir))
+    return scores.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 # --- 10: secret scans -------------------------------------------------------
 
 
@@ -156,6 +174,7 @@ QUERIES: dict[str, Query] = {
     "op6_phrase_automata": op6_phrase_automata,
     "op7_benchmark_windows": op7_benchmark_windows,
     "op8_text_density": op8_text_density,
+    "op9_crf_toxicity": op9_crf_toxicity,
     "op10_secret_entropy": op10_secret_entropy,
 }
 
