@@ -112,19 +112,8 @@ def hot_stretch(match: Column, bits: Column, width: int) -> Column:
     )
 
 
-def secret_spans(documents: DataFrame, entropy: Entropy | None = None) -> DataFrame:
-    """Secrets in documents (doc_id, text) as spans in code points, end exclusive.
-
-    Returns per document doc_id, n_assign, n_access, n_hex, and spans, an array of (start, end,
-    kind) in order of start, then of kind as listed in KINDS. The first three kinds are
-    patterns, found leftmost and without overlap each for itself. The others are the hot stretches
-    of candidate strings (see Entropy), unless a pattern's span holds them already; the allow-list
-    never takes away a pattern's span.
-
-    Null and empty texts have no spans. Every row is handled by itself, repeated or not. Other
-    columns are not read.
-    """
-    entropy = entropy or Entropy()
+def _scanned(documents: DataFrame, entropy: Entropy) -> DataFrame:
+    """row (the document), known (spans of the patterns) and spans (all of them, in order)."""
     text = F.col("text")
     # In a run of these classes only the longest match from the first start can be long enough.
     access = ACCESS.replace("+", f"{{{ACCESS_LENGTH - 4},}}")
@@ -139,10 +128,10 @@ def secret_spans(documents: DataFrame, entropy: Entropy | None = None) -> DataFr
         return keep
 
     base = documents.select(
-        F.col("doc_id"),
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
         F.coalesce(text.cast("string"), F.lit("")).alias("text"),
     ).select(
-        "doc_id",
+        "row",
         _found(text, ASSIGN, lambda part: F.length(part) >= ASSIGN_LENGTH, secret).alias("assign"),
         _found(text, access, always).alias("access"),
         _found(text, hexadecimal, always).alias("hex"),
@@ -163,7 +152,7 @@ def secret_spans(documents: DataFrame, entropy: Entropy | None = None) -> DataFr
         return F.transform(column, lambda x: F.struct(x["start"], x["end"], F.lit(kind).alias("kind")))
 
     known = base.select(
-        "doc_id",
+        "row",
         F.concat(labelled("assign", 0), labelled("access", 1), labelled("hex", 2)).alias("known"),
         F.transform("candidates", stretch).alias("stretches"),
     )
@@ -177,29 +166,47 @@ def secret_spans(documents: DataFrame, entropy: Entropy | None = None) -> DataFr
         F.transform(F.concat("known", new), lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
     )
 
-    def count(kind: int) -> Column:
-        return F.size(F.filter("known", lambda k: k["kind"] == kind)).cast("long")
-
     return known.select(
-        "doc_id",
-        count(0).alias("n_assign"),
-        count(1).alias("n_access"),
-        count(2).alias("n_hex"),
+        "row",
+        "known",
         F.transform(
             ordered, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.element_at(kinds, x["kind"] + 1).alias("kind"))
         ).alias("spans"),
     )
 
 
-def masked(documents: DataFrame, spans: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """Texts with every span of `secret_spans` replaced by a mark; overlapping spans get one mark.
+def secret_spans(documents: DataFrame, entropy: Entropy | None = None) -> DataFrame:
+    """Secrets in documents (doc_id, text) as spans in code points, end exclusive.
+
+    Returns per document doc_id, n_assign, n_access, n_hex, and spans, an array of (start, end,
+    kind) in order of start, then of kind as listed in KINDS. The first three kinds are
+    patterns, found leftmost and without overlap each for itself. The others are the hot stretches
+    of candidate strings (see Entropy), unless a pattern's span holds them already; the allow-list
+    never takes away a pattern's span.
+
+    Null and empty texts have no spans. Every row is handled by itself, repeated or not. Other
+    columns are not read.
+    """
+    found = _scanned(documents.select("doc_id", "text"), entropy or Entropy())
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("known", lambda k: k["kind"] == kind)).cast("long")
+
+    return found.select(
+        "row.doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), "spans"
+    )
+
+
+def masked(documents: DataFrame, mark: str = "[secret]", entropy: Entropy | None = None) -> DataFrame:
+    """The documents with every secret in `text` replaced by a mark; overlapping secrets get one mark.
 
-    Both sides are joined by doc_id, which must be unique in `spans`.
+    All columns stay, whatever their names; a null text stays null. Rows are handled where they are.
     """
-    holds = spans.where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
+    found = _scanned(documents, entropy or Entropy())
+    text = F.col("row.text")
 
     def cut(so_far: Column, x: Column) -> Column:
-        gap = F.substring(F.col("text"), so_far["at"] + 1, F.greatest(x["start"] - so_far["at"], F.lit(0)))
+        gap = F.substring(text, so_far["at"] + 1, F.greatest(x["start"] - so_far["at"], F.lit(0)))
         fresh = (x["start"] >= so_far["at"]) | (so_far["at"] == 0)
         return F.struct(
             F.greatest(so_far["at"], x["end"]).alias("at"),
@@ -207,10 +214,10 @@ def masked(documents: DataFrame, spans: DataFrame, mark: str = "[secret]") -> Da
         )
 
     whole = F.aggregate(
-        "_spans",
+        "spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("text")),
         cut,
-        lambda x: F.concat(x["text"], F.substring(F.col("text"), x["at"] + 1, F.length("text"))),
+        lambda x: F.concat(x["text"], F.substring(text, x["at"] + 1, F.length(text))),
     )
-    joined = documents.join(holds, documents["doc_id"].eqNullSafe(holds["_id"]), "left")
-    return joined.withColumn("text", F.when(F.col("_spans").isNotNull(), whole).otherwise(F.col("text"))).drop("_id", "_spans")
+    clean = F.when(F.size("spans") > 0, whole).otherwise(text)
+    return found.select(*[clean.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in documents.columns])

@@ -262,6 +262,14 @@ def fitted(documents: DataFrame, labels: DataFrame, how: Training | None = None)
     return pickle.loads(made[0]["model"]) if made else Model(share)
 
 
+def _judged(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of the texts, and marginals of their words."""
+    if model.weights is None:
+        return np.full(len(words.first) - 1, model.prior), np.zeros(len(words.hashes))
+    chance = marginals(words, model)
+    return 1 / (1 + np.exp(-np.clip(_evidence(chance, words) @ model.document, -30, 30))), chance
+
+
 def scored(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """Documents (doc_id, text) with score, predicted (1 from `least` on) and spans.
 
@@ -276,11 +284,7 @@ def scored(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
             texts, ids = [plain(t) for t in batch["text"]], batch["doc_id"].to_numpy()
             for lo, hi in blocks(map(len, texts)):
                 words = Words(texts[lo:hi])
-                if model.weights is None:
-                    score, chance = np.full(hi - lo, model.prior), np.zeros(len(words.hashes))
-                else:
-                    chance = marginals(words, model)
-                    score = 1 / (1 + np.exp(-np.clip(_evidence(chance, words) @ model.document, -30, 30)))
+                score, chance = _judged(words, model)
                 spans = [_spans(words, chance, k, batch["text"].iloc[lo + k]) for k in range(hi - lo)]
                 yield pd.DataFrame(
                     {"doc_id": ids[lo:hi], "score": score, "predicted": (score >= least).astype(np.int32), "spans": spans}
@@ -290,6 +294,19 @@ def scored(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     return rows.mapInPandas(over, SCORED)
 
 
+def without_toxic(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The documents (text and any other columns) whose score stays below `least`, as they are."""
+
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            every = [plain(t) for t in batch]
+            parts = [_judged(Words(every[lo:hi]), model)[0] for lo, hi in blocks(map(len, every))]
+            yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
+
+    return documents.where(score(F.col("text").cast("string")) < least)
+
+
 def _spans(words: Words, chance: np.ndarray, text: int, original: str | None) -> list[dict]:
     """The toxic stretches of a text as code point offsets."""
     first, last = words.first[text], words.first[text + 1]
