@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage, and their SQL counterparts."""
+"""The registered queries of this subpackage; `stayrate.llm.oracle` has SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -177,5 +177,3 @@ QUERIES: dict[str, Query] = {
     "op9_crf_toxicity": op9_crf_toxicity,
     "op10_secret_entropy": op10_secret_entropy,
 }
-
-ORACLE: dict[str, str] = {}
