@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.functions.rates import money, percent
+from stayrate.operators.eda import histogram
 from stayrate.operators.metrics import charges, churn_rate, churn_rate_long, n_customers
 from stayrate.schema import CUSTOMER_COLUMNS, RECOMMENDATION_COLUMNS
 
@@ -28,13 +29,25 @@ def apply_slicers(df: DataFrame, filters: Mapping[str, Sequence[object]] | None)
     return df
 
 
+def _total(column: str) -> Column:
+    """The sum of a money column, to the cent; exact, so it does not depend on the order of rows."""
+    return F.round(F.sum(F.col(column).cast("decimal(24,8)")), 2).cast("double").alias(column)
+
+
+def sliced_histogram(
+    dashboard: DataFrame, value: str, bins: int, filters: Mapping[str, Sequence[object]] | None = None
+) -> DataFrame:
+    """The distribution of a charge or of tenure, by churn, under the slicers."""
+    return histogram(apply_slicers(dashboard, filters), value, bins)
+
+
 def kpi_cards(dashboard: DataFrame, threshold: float | Column) -> DataFrame:
     """Customers, churn rate, revenue, revenue at risk and customers at or above the threshold."""
     return dashboard.agg(
         n_customers().alias("total_customers"),
         churn_rate(),
         money(charges()).alias("monthly_revenue"),
-        F.round(F.sum("revenue_at_risk"), 2).alias("revenue_at_risk"),
+        _total("revenue_at_risk"),
         F.count_if(F.col("churn_probability") >= threshold).alias("high_risk_customers"),
     )
 
@@ -71,6 +84,6 @@ def worklist_totals(recommendations: DataFrame) -> DataFrame:
     flagged = F.col("recommended_action") != "No Action"
     return recommendations.where(flagged).agg(
         n_customers().alias("flagged_customers"),
-        F.round(F.sum("revenue_at_risk"), 2).alias("revenue_at_risk"),
-        F.round(F.sum("expected_net_benefit"), 2).alias("expected_net_benefit"),
+        _total("revenue_at_risk"),
+        _total("expected_net_benefit"),
     )

@@ -110,8 +110,8 @@ def swept(scored: DataFrame) -> DataFrame:
         running.where(F.col("step") >= GRID_FIRST)
         .select(
             (F.col("step").cast("double") / 100).alias("threshold"),
-            (caught * F.lit(OFFER_SUCCESS_RATE) - offers - lost).cast("double").alias("business_value"),
-            (-F.col("all_at_stake")).cast("double").alias("no_program"),
+            (caught * F.lit(OFFER_SUCCESS_RATE) - offers - lost).alias("business_value"),
+            (-F.col("all_at_stake")).alias("no_program"),
             (F.col("all_neg") - F.col("neg")).alias("tn"),
             F.col("neg").alias("fp"),
             (F.col("all_pos") - F.col("pos")).alias("fn"),
@@ -138,7 +138,12 @@ def optimal_threshold(scored: DataFrame) -> Column:
 
 def reference_points(scored: DataFrame) -> DataFrame:
     """Value at the usual 0.5, with nobody flagged, and at the best threshold."""
-    points = swept(scored).agg(
+    return points_of(swept(scored))
+
+
+def points_of(sweep: DataFrame) -> DataFrame:
+    """The reference points of a finished sweep."""
+    points = sweep.agg(
         F.max(F.when(F.col("threshold") == 0.5, F.col("business_value"))).alias("default"),
         F.max("no_program").alias("no_program"),
         F.max("business_value").alias("optimal"),
@@ -148,7 +153,12 @@ def reference_points(scored: DataFrame) -> DataFrame:
 
 def rates_at_optimum(scored: DataFrame) -> DataFrame:
     """Precision, recall and confusion counts at the best threshold."""
-    return rates_of(best_threshold(swept(scored))).select("threshold", "precision", "recall", *COUNTS)
+    return rates_at_best(swept(scored))
+
+
+def rates_at_best(sweep: DataFrame) -> DataFrame:
+    """The rates at the best threshold of a finished sweep."""
+    return rates_of(best_threshold(sweep)).select("threshold", "precision", "recall", *COUNTS)
 
 
 def score_active(scored: DataFrame) -> DataFrame:

@@ -37,6 +37,8 @@ def churn_counts(df: DataFrame) -> DataFrame:
 def _units(df: DataFrame, value: str) -> tuple[Column, int]:
     """The value as a whole number of its smallest unit, and units per 1."""
     kind = df.schema[value].dataType
+    if not isinstance(kind, (T.DecimalType, T.IntegralType)):
+        raise TypeError(f"{value} is {kind.simpleString()}; exact numbers only, cast it to a decimal first")
     per_one = 10**kind.scale if isinstance(kind, T.DecimalType) else 1
     return (F.col(value) * per_one).cast("bigint"), per_one
 
@@ -179,8 +181,9 @@ def density(df: DataFrame, value: str = "monthly_charges", by: str = "churn", po
     )
 
 
-def preview(df: DataFrame, rows: int = 5) -> DataFrame:
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 5, order: str | None = None) -> DataFrame:
+    """A few rows: any, or the first in an order."""
+    return (df if order is None else df.orderBy(order)).limit(rows)
 
 
 def shape(df: DataFrame) -> DataFrame:

@@ -21,6 +21,8 @@ from stayrate.schema import BOOLEAN_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEAT
 
 SEED = 42
 ID = "customer_id"
+#: Candidate cuts of a number in the tree models.
+MAX_BINS = 256
 
 # --- model input and split -------------------------------------------------
 
@@ -139,7 +141,8 @@ def with_weights(matrix: DataFrame, weights: ClassWeights) -> DataFrame:
 class PopulationScaler(Estimator):
     """Centre columns and divide by the population deviation (a constant column is only centred).
 
-    An unknown number lands on the mean, where a fit on missing numbers would otherwise stop.
+    An unknown number lands on the mean, where a fit on missing numbers would otherwise stop; a column
+    with nothing known is 0 throughout.
     The fitted model is a SQLTransformer, so it saves and loads with its pipeline.
     """
 
@@ -154,7 +157,7 @@ class PopulationScaler(Estimator):
         measures += [F.stddev_pop(c).alias(f"sd_{c}") for c in self.columns]
         row = dataset.agg(*measures).first()
         terms = [
-            f"coalesce((`{c}` - {row[f'mean_{c}']!r}D) / {(row[f'sd_{c}'] or 1.0)!r}D, 0D) AS `{self.prefix}{c}`"
+            f"coalesce((`{c}` - {(row[f'mean_{c}'] or 0.0)!r}D) / {(row[f'sd_{c}'] or 1.0)!r}D, 0D) AS `{self.prefix}{c}`"
             for c in self.columns
         ]
         return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
@@ -272,11 +275,11 @@ def logistic_regression(**settings: object) -> LogisticRegression:
 
 
 def random_forest(**settings: object) -> RandomForestClassifier:
-    return RandomForestClassifier(weightCol="balanced_weight", seed=SEED, **settings)
+    return RandomForestClassifier(weightCol="balanced_weight", seed=SEED, maxBins=MAX_BINS, **settings)
 
 
 def boosted_trees(**settings: object) -> GBTClassifier:
-    return GBTClassifier(weightCol="positive_weight", seed=SEED, **settings)
+    return GBTClassifier(weightCol="positive_weight", seed=SEED, maxBins=MAX_BINS, **settings)
 
 
 CANDIDATES = {

@@ -147,7 +147,7 @@ def constraint_report(df: DataFrame) -> DataFrame:
 
 
 def _with_first(df: DataFrame, order: str) -> DataFrame:
-    """Add ``_first``, the first row of a repeated id (NULL for ids that occur once).
+    """Add ``_first``, the first sound row of a repeated id (NULL for ids that occur once or are never sound).
 
     Ids are counted by partial aggregation and only repeated ones are joined back. They are
     normally few, so the join becomes a broadcast at run time and a much repeated id never fills
@@ -156,23 +156,33 @@ def _with_first(df: DataFrame, order: str) -> DataFrame:
     repeated = (
         df.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
-        .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .agg(F.min(F.when(F.expr(row_is_sound()), F.col(order))).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
         .drop("_n")
     )
     return df.join(repeated, "customer_id", "left")
 
 
-def split_valid(df: DataFrame, order: str = "seq") -> tuple[DataFrame, DataFrame]:
-    """(rows fit to load, quarantined rows with their ``violations``).
+def with_violations(df: DataFrame, order: str = "seq") -> DataFrame:
+    """Every row with ``violations``, the names of the constraints it breaks; none for rows fit to load.
 
-    Rows are told apart by a short predicate; only bad ones go on to the long list of reasons.
-    Repeats of an id beyond its first row break ``unique``.
+    Rows are told apart by a short predicate; only for bad ones is the long list of reasons looked at.
+    Of the sound rows of an id the first is kept; what comes after it breaks ``unique``. A spoilt row
+    never stands in the way of a sound one.
     """
     broken = {f"{kind}:{column}": predicate for (kind, column), predicate in row_constraints().items()}
     broken["unique:customer_id"] = f"coalesce({order} > _first, false)"
     sound = f"{row_is_sound()} AND NOT {broken['unique:customer_id']}"
     reasons = ", ".join(f"IF({predicate}, '{name}', NULL)" for name, predicate in broken.items())
-    violations = F.expr(f"array_compact(array({reasons}))").alias("violations")
-    placed = _with_first(df, order)
-    return placed.where(sound).select(*df.columns), placed.where(f"NOT ({sound})").select(*df.columns, violations)
+    violations = F.expr(f"IF({sound}, CAST(array() AS array<string>), array_compact(array({reasons})))")
+    return _with_first(df, order).select(*df.columns, violations.alias("violations"))
+
+
+def split_valid(df: DataFrame, order: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """(rows fit to load, quarantined rows with their ``violations``); see ``with_violations``.
+
+    Both sides compute the violations. To use both, write those once and read them twice.
+    """
+    placed = with_violations(df, order)
+    sound = F.size("violations") == 0
+    return placed.where(sound).drop("violations"), placed.where(~sound)

@@ -71,8 +71,11 @@ def ingest(spark: SparkSession, settings: Settings) -> None:
     store.write_dataset(raw_csv.load_and_coerce(raw), settings.path("customers_loaded"))
     rows = _read(spark, settings, "customers_loaded")
     if not settings.strict:
-        rows, bad = quality.split_valid(rows)
-        store.write_dataset(bad, settings.path("customers_quarantined"))
+        store.write_dataset(quality.with_violations(rows), settings.path("customers_checked"))
+        checked = _read(spark, settings, "customers_checked")
+        sound = F.size("violations") == 0
+        store.write_dataset(checked.where(~sound), settings.path("customers_quarantined"))
+        rows = checked.where(sound).drop("violations")
     store.full_refresh(rows, settings.table, settings.path("customers"))
 
 
@@ -140,18 +143,19 @@ def decide(spark: SparkSession, settings: Settings) -> None:
         ranked = _read(spark, settings, "model_comparison").orderBy(F.desc_nulls_last("roc_auc"), "model")
         name = ranked.first()["model"]
     scored = _read(spark, settings, f"test_scores/{name}")
-    store.write_dataset(decision.threshold_sweep(scored), settings.path("threshold_sweep"))
-    store.write_dataset(decision.rates_at_optimum(scored), settings.path("rates_at_optimum"))
-    store.write_dataset(decision.reference_points(scored), settings.path("reference_points"))
+    # One pass over the scores answers all that is asked of the thresholds.
+    store.write_dataset(decision.swept(scored), settings.path("swept"))
+    swept = _read(spark, settings, "swept")
+    store.write_dataset(swept.select("threshold", "business_value"), settings.path("threshold_sweep"))
+    store.write_dataset(decision.rates_at_best(swept), settings.path("rates_at_optimum"))
+    store.write_dataset(decision.points_of(swept), settings.path("reference_points"))
     best = decision.best_threshold(_read(spark, settings, "threshold_sweep")).first()["threshold"]
     model = store.load_model(settings.path(f"models/{name}"))
     active = _read(spark, settings, "customers_features").where(~F.col("churn"))
     predictions = modeling.predict(model, modeling.build_feature_matrix(active))
     store.write_dataset(decision.recommend(predictions, best), settings.path("recommendations"))
     rows = _read(spark, settings, "recommendations")
-    store.replace_recommendations(
-        rows, settings.recommendations_table, path=settings.path("recommendations_table")
-    )
+    store.replace_recommendations(rows, settings.recommendations_table, settings.path("recommendations_table"))
     store.write_dataset(decision.top_risk(rows), settings.path("top_risk"))
     store.write_dataset(decision.action_counts(rows), settings.path("action_counts"))
 

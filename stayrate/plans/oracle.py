@@ -62,7 +62,8 @@ BUCKET = """CASE WHEN tenure_months <= 12 THEN '0-12 months' WHEN tenure_months
   WHEN tenure_months <= 48 THEN '25-48 months' ELSE '49+ months' END"""
 SEGMENT = """CASE WHEN contract_type = 'Month-to-month' AND payment_method = 'Electronic check'
     THEN 'Month-to-month + Electronic check'
-  WHEN contract_type <> 'Month-to-month' AND payment_method LIKE '%(automatic)' THEN 'Annual+ contract + Autopay'
+  WHEN contract_type IN ('One year', 'Two year')
+    AND payment_method IN ('Bank transfer (automatic)', 'Credit card (automatic)') THEN 'Annual+ contract + Autopay'
   ELSE 'Other' END"""
 SERVICES = " + ".join(
     ["CAST(phone_service AS INT)", "CASE WHEN internet_service = 'No' THEN 0 ELSE 1 END"]
@@ -187,11 +188,14 @@ def finding(check: str, column: str, value: str, n: str, bad: str, source: str)
     )
 
 
-def histogram(column: str, units: int, bins: int) -> str:
+SLICED = "(SELECT * FROM tidy WHERE contract_type IN ('Month-to-month', 'One year') AND partner)"
+
+
+def histogram(column: str, units: int, bins: int, source: str = "tidy") -> str:
     low, span = "(SELECT low FROM ends)", "(SELECT high - low FROM ends)"
     edge = f"round(({low} + {span} * {{i}} / {bins}.0) / {units}.0, 6)"
     return f"""
-, u AS (SELECT churn, CAST({column} * {units} AS BIGINT) AS v FROM tidy),
+, u AS (SELECT churn, CAST({column} * {units} AS BIGINT) AS v FROM {source} t),
 ends AS (SELECT min(v) AS low, max(v) AS high FROM u),
 counted AS (SELECT least((v - {low}) * {bins} // {span}, {bins - 1}) + 1 AS bin, churn, count(*) AS n FROM u GROUP BY 1, 2)
 SELECT CAST(g.bin AS INT) AS bin, g.churn, {edge.format(i="(g.bin - 1)")} AS bin_start, {edge.format(i="g.bin")} AS bin_end,
@@ -255,9 +259,11 @@ def constraints() -> str:
 def quarantine() -> str:
     reasons = [f"CASE WHEN {broken} THEN '{kind}:{c}' END" for kind, c, broken in _BROKEN]
     reasons.append("CASE WHEN seq > first_seq THEN 'unique:customer_id' END")
+    sound = " AND ".join(f"({broken}) IS NOT TRUE" for _, _, broken in _BROKEN)
     return f"""SELECT seq, customer_id, violations FROM (
   SELECT seq, customer_id, concat_ws(',', {", ".join(reasons)}) AS violations
-  FROM (SELECT *, min(seq) OVER (PARTITION BY customer_id) AS first_seq FROM loaded)) WHERE violations <> ''"""
+  FROM (SELECT *, min(CASE WHEN {sound} THEN seq END) OVER (PARTITION BY customer_id) AS first_seq FROM loaded))
+WHERE violations <> ''"""
 
 
 def categories() -> str:
@@ -327,8 +333,12 @@ ORACLE: dict[str, str] = {
     ),
     "s08_recommendations_table": query("SELECT * FROM recommended", "recommended"),
     "s12_top_risk_report": query(
-        """SELECT * FROM (SELECT 'top' AS section, customer_id AS item, churn_probability AS amount
-  FROM recommended ORDER BY churn_probability DESC, customer_id LIMIT 20)
+        """SELECT * FROM (SELECT concat('top ', measure) AS section, concat(customer_id, ' ', recommended_action) AS item, amount FROM (
+  UNPIVOT (SELECT customer_id, recommended_action, CAST(churn_probability AS DOUBLE) AS churn_probability,
+      CAST(monthly_charges AS DOUBLE) AS monthly_charges, CAST(clv AS DOUBLE) AS clv,
+      CAST(revenue_at_risk AS DOUBLE) AS revenue_at_risk, CAST(expected_net_benefit AS DOUBLE) AS expected_net_benefit
+    FROM recommended ORDER BY churn_probability DESC, customer_id LIMIT 20)
+  ON churn_probability, monthly_charges, clv, revenue_at_risk, expected_net_benefit INTO NAME measure VALUE amount))
 UNION ALL SELECT 'action', recommended_action, CAST(count(*) AS DOUBLE) FROM recommended GROUP BY recommended_action
 UNION ALL SELECT 'value', strategy, business_value FROM ("""
         + value_at("default", "0.5")
@@ -386,6 +396,9 @@ UNION ALL SELECT 'value', strategy, business_value FROM ("""
     "c04_update_count": query(
         "SELECT count(*) AS updated_rows FROM loaded WHERE total_charges IS NULL AND tenure_months = 0", "loaded"
     ),
+    "c04_updated_table": query(
+        "SELECT customer_id, tenure_months, CAST(total_charges AS DOUBLE) AS total_charges FROM tidy", "tidy"
+    ),
     "c05_clean": query(
         f"""SELECT {CLEANED} FROM (SELECT * REPLACE ({_FILLED}) FROM loaded
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY seq) = 1)""",
@@ -464,6 +477,7 @@ FROM (SELECT *, ntile(4) OVER (ORDER BY monthly_charges, {TIE}) AS spend_quartil
     "t02_top_k": query(
         "SELECT customer_id, churn_probability FROM scores ORDER BY churn_probability DESC, customer_id LIMIT 20", "scores"
     ),
+    "t03_head": query(f"SELECT {doubles(CUSTOMER_COLUMNS)} FROM customers ORDER BY customer_id LIMIT 5"),
     "t03_shape": query("SELECT count(*) AS n_rows, 21 AS n_columns FROM customers"),
     "t04_arg_max": query("SELECT * FROM best", "best"),
     "u01_union_all": query(
@@ -613,8 +627,10 @@ FROM (SELECT contract_type, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT)
         ),
         "dashboard",
     ),
+    "d04_charge_histogram": query(histogram("monthly_charges", 100, 40, SLICED), "tidy"),
+    "d04_tenure_histogram": query(histogram("tenure_months", 1, 36, SLICED), "tidy"),
     "d05_worklist": query(
-        "SELECT * FROM recommended WHERE recommended_action = 'Retain' ORDER BY expected_net_benefit DESC, customer_id LIMIT 100",
+        "SELECT * FROM recommended WHERE recommended_action = 'Retain' ORDER BY expected_net_benefit DESC, customer_id",
         "recommended",
     ),
     "d05_totals": query(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -16,6 +18,9 @@ def build_session(app: str = "stayrate", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        # The coercions rely on try_cast beside strict casts.
+        .config("spark.sql.ansi.enabled", "true")
         # The JVM never compiles a generated method beyond this many bytes.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Recording the Python call site of every expression makes building plans slow.
@@ -23,6 +28,9 @@ def build_session(app: str = "stayrate", master: str | None = None, **conf: str)
     )
     if master:
         builder = builder.master(master)
+    else:
+        # Many small shuffle partitions, put together at run time to about the advisory size.
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "2000")
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -39,13 +47,20 @@ def local_session(cores: int = 8, app: str = "stayrate-local") -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for reliable checkpoints: the cluster's own, else a scratch one set here."""
+    """The folder for reliable checkpoints: the cluster's own, else, on one machine, a scratch one set here.
+
+    On several machines a local folder would be another one on each, so there it has to be configured.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="stayrate-checkpoint-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -74,7 +74,7 @@ SELECT seq, customer_id AS customerID, gender,
   multiple_lines AS MultipleLines,
   CASE WHEN key % 31 = 4 THEN concat(' ', internet_service, '  ') WHEN key % 71 = 9 THEN NULL ELSE internet_service END AS InternetService,
   online_security AS OnlineSecurity, online_backup AS OnlineBackup, device_protection AS DeviceProtection,
-  CASE WHEN key % 61 = 8 THEN 'Maybe' ELSE tech_support END AS TechSupport,
+  CASE WHEN key % 61 = 8 OR (key % 80 = 7 AND again = 0) THEN 'Maybe' ELSE tech_support END AS TechSupport,
   streaming_tv AS StreamingTV, streaming_movies AS StreamingMovies,
   CASE WHEN key % 83 = 2 THEN 'Weekly' ELSE contract_type END AS Contract,
   CASE WHEN paperless_billing THEN 'Yes' ELSE 'No' END AS PaperlessBilling,

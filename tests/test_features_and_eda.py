@@ -156,3 +156,13 @@ def test_long_form_equals_union_of_groups(spark, customers):
 
 def test_small_cells_are_hidden(spark, customers):
     assert metrics.churn_matrix(customers, 100).where("customers < 100").count() == 0
+
+
+def test_histogram_refuses_inexact_numbers(spark):
+    df = spark.createDataFrame([(0.1, True), (0.9, False)], "x double, churn boolean")
+    with pytest.raises(TypeError, match="x is double"):
+        eda.histogram(df, "x", 4)
+
+
+def test_preview_in_an_order(spark):
+    assert [r["id"] for r in eda.preview(spark.range(9, -1, -1), 3, "id").collect()] == [0, 1, 2]

@@ -140,3 +140,9 @@ def test_tuning_refits_the_best(spark, matrix):
     assert len(found.scores) == 2 and min(found.scores) > 0.5
     report = found.report(matrix, "logistic_regression").where("chosen").collect()
     assert [r["candidate"] for r in report] == [found.best]
+
+
+def test_a_column_with_nothing_known_scales_to_zero(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
+    rows = modeling.PopulationScaler(columns=["a", "b"]).fit(df).transform(df).collect()
+    assert [(r["z_a"], r["z_b"]) for r in rows] == [(0.0, -1.0), (0.0, 1.0)]

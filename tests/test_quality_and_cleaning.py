@@ -133,3 +133,15 @@ def test_one_id_in_a_third_of_the_rows(spark):
     assert kept.count() == 2001 and kept.where("customer_id = 'hot'").first()["seq"] == 0
     good, bad = quality.split_valid(rows)
     assert (good.count(), bad.count()) == (2001, 999)
+
+
+def test_a_spoilt_first_row_does_not_cost_the_sound_second(spark):
+    changes = [
+        {"customerID": "a", "gender": "?"}, {"customerID": "a"}, {"customerID": "a"},
+        {"customerID": "b", "gender": "?"}, {"customerID": "b", "gender": "!"}, {"customerID": "c"},
+    ]
+    good, bad = quality.split_valid(_load(spark, *changes))
+    assert sorted((r["customer_id"], r["seq"]) for r in good.collect()) == [("a", 1), ("c", 5)]
+    assert {r["seq"]: r["violations"] for r in bad.collect()} == {
+        0: ["domain:gender"], 2: ["unique:customer_id"], 3: ["domain:gender"], 4: ["domain:gender"]
+    }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,7 +51,8 @@ def test_refresh_replaces_rows_or_leaves_them(spark, customers, tmp_path):
 def test_bucketed_tables_join_without_a_shuffle(spark, customers, scores, tmp_path):
     store.save_bucketed(customers.select(*CUSTOMER_COLUMNS), "bucketed_customers", 4, str(tmp_path / "c"))
     rows = decision.recommend(scores, 0.2)
-    store.replace_recommendations(rows, "bucketed_recommendations", 4, str(tmp_path / "r"))
+    folder = store.replace_recommendations(rows, "bucketed_recommendations", str(tmp_path / "r"), 4)
+    assert len(list(Path(folder).glob("part-*"))) <= 4 and len(list((tmp_path / "c").glob("part-*"))) <= 4
     joined = spark.table("bucketed_customers").hint("merge").join(spark.table("bucketed_recommendations"), "customer_id", "left")
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
@@ -59,9 +62,13 @@ def test_bucketed_tables_join_without_a_shuffle(spark, customers, scores, tmp_pa
 
 
 def test_recommendations_are_replaced(spark, scores, tmp_path):
-    for threshold in (0.2, 0.5):
-        store.replace_recommendations(decision.recommend(scores, threshold), "recs", path=str(tmp_path / "recs"))
-    assert spark.table("recs").count() == scores.where("NOT churn").count()
+    for threshold in (0.2, 0.5, 0.7, 0.9):
+        rows = decision.recommend(scores, threshold)
+        store.replace_recommendations(rows, "recs", str(tmp_path / "recs"))
+        assert sorted(decision.action_counts(spark.table("recs")).collect()) == sorted(decision.action_counts(rows).collect())
+    assert len(list((tmp_path / "recs").glob("load-*"))) == 2
+    with pytest.raises(store.RejectedLoad, match="columns"):
+        store.replace_table(rows.withColumn("clv", F.lit(1)), "recs", str(tmp_path / "recs"))
     spark.sql("DROP TABLE recs")
 
 
@@ -78,8 +85,30 @@ def test_absent_settings_are_named():
         database.connection_options({**ENV, "POSTGRES_DB": "", "POSTGRES_PASSWORD": ""})
 
 
-def test_slices_cover_the_hash_range():
-    assert database.hash_slices("customer_id", 2) == [
-        "mod(abs(hashtext(customer_id)::bigint), 2) = 0",
-        "mod(abs(hashtext(customer_id)::bigint), 2) = 1",
-    ]
+def test_slices_cover_all_pages_whatever_the_keys():
+    assert database.block_slices(10, 2) == ["ctid >= '(0,0)'::tid AND ctid < '(5,0)'::tid", "ctid >= '(5,0)'::tid"]
+    assert database.block_slices(0, 8) == ["ctid >= '(0,0)'::tid"]
+    assert len(database.block_slices(3, 64)) == 3
+
+
+def test_a_load_is_staged_and_swapped_as_one_transaction():
+    statements = database.swap_statements("t", "t_load_1")
+    assert statements[0] == "BEGIN" and statements[-1] == "COMMIT"
+    assert statements.index("TRUNCATE t") < statements.index("INSERT INTO t SELECT * FROM t_load_1")
+    assert database.write_options({"url": "u"}, "t_load_1")["dbtable"] == "t_load_1"
+
+
+def test_no_local_checkpoints_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from stayrate.session import checkpoint_dir
+
+    def session(master, configured=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda folder: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: configured), sparkContext=context)
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            checkpoint_dir(session(master))
+        assert checkpoint_dir(session(master, "s3a://b/c")) == "s3a://b/c"
+    assert checkpoint_dir(session("local[2]"))
