@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayrate.llm.words import Words, blocks, mix, powers
+from stayrate.llm.words import Words, blocks, grams, mix, powers
 
 #: Lower-cases A-Z and makes every other ASCII character but digits and letters a space.
 _PLAIN = bytes(
@@ -28,7 +28,8 @@ class Training:
     most_toxic, most_clean: bounds on the labelled rows it is fitted on, drawn by a hash of their id; the only
     bounded sample here. length: words in a sequence; longer texts are several. buckets: hashed
     features. odds: how many times likelier a word or prefix must be in toxic texts for it to be
-    taken for a toxic token there, in natural log; seen: in how many toxic texts at least.
+    taken for a toxic token there, in natural log; evidence: how unlikely its counts must be if it had nothing
+    to do with the label, in natural log too, so that rare words don't qualify by chance.
     """
 
     most_toxic: int = 1500
@@ -36,7 +37,7 @@ class Training:
     length: int = 32
     buckets: int = 1 << 19
     odds: float = 3.0
-    seen: int = 3
+    evidence: float = 10.0
     epochs: int = 6
     batch: int = 4096
     rate: float = 0.5
@@ -155,18 +156,51 @@ def _evidence(chance: np.ndarray, words: Words) -> np.ndarray:
     return out
 
 
-def _toxic_tokens(found: np.ndarray, text: np.ndarray, toxic: np.ndarray, how: Training) -> np.ndarray:
+def _families(parts: list[Words], orders: int = 8) -> np.ndarray:
+    """A number for each text, the same for texts that share much: near copies have some least hash in common
+    among the runs of five words under a few orders."""
+    parent: list[int] = []
+    least: dict[tuple[int, int], int] = {}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for words in parts:
+        for k in range(len(words.first) - 1):
+            here = len(parent)
+            parent.append(here)
+            hashes = words.hashes[words.first[k] : words.first[k + 1]]
+            if len(hashes):
+                runs = grams(hashes, min(5, len(hashes)))
+                for order in range(orders):
+                    other = least.setdefault((order, int(mix(runs, order).min())), here)
+                    parent[root(here)] = root(other)
+    return np.unique([root(x) for x in range(len(parent))], return_inverse=True)[1]
+
+
+def _toxic_tokens(found: np.ndarray, text: np.ndarray, toxic: np.ndarray, family: np.ndarray, how: Training) -> np.ndarray:
     """Labels of tokens, from those of texts: a token of a toxic text whose word, or a prefix of it, is much
-    likelier in toxic texts than in clean ones."""
-    n_toxic, n_clean = toxic.sum(), len(toxic) - toxic.sum()
+    likelier in toxic texts than in clean ones. Near copies count once, or a much copied toxic text would
+    make all its words toxic."""
+    bad = np.zeros(family.max() + 1, dtype=bool)
+    bad[family[toxic]] = True
+    n_toxic, n_clean = bad.sum(), len(bad) - bad.sum()
     label = np.zeros(len(found), dtype=bool)
     for column in found[:, : 1 + len(PREFIXES)].T:
-        once = np.unique(column.astype(np.int64) * len(toxic) + text)
-        feature, of = once // len(toxic), once % len(toxic)
-        in_toxic = np.bincount(feature[toxic[of]], minlength=how.buckets)
-        in_clean = np.bincount(feature[~toxic[of]], minlength=how.buckets)
+        once = np.unique(column.astype(np.int64) * len(bad) + family[text])
+        feature, of = once // len(bad), once % len(bad)
+        in_toxic = np.bincount(feature[bad[of]], minlength=how.buckets)
+        in_clean = np.bincount(feature[~bad[of]], minlength=how.buckets)
         odds = np.log((in_toxic + 0.5) / (n_toxic + 1)) - np.log((in_clean + 0.5) / (n_clean + 1))
-        strong = (odds >= how.odds) & (in_toxic >= how.seen)
+        total = np.maximum(in_toxic + in_clean, 1)
+        rate, share = in_toxic / total, n_toxic / len(bad)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            surprise = total * (
+                np.where(rate > 0, rate * np.log(rate / share), 0.0) + np.where(rate < 1, (1 - rate) * np.log((1 - rate) / (1 - share)), 0.0)
+            )
+        strong = (odds >= how.odds) & (surprise >= how.evidence)
         strong[0] = False
         label |= strong[column]
     return label & toxic[text]
@@ -178,7 +212,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, share: float, how: Training) -> M
     parts = [Words(texts[lo:hi]) for lo, hi in blocks(map(len, texts))]
     found = np.concatenate([features(w, how.buckets) for w in parts])
     counts = np.concatenate([w.counts() for w in parts])
-    label = _toxic_tokens(found, np.repeat(np.arange(len(texts)), counts), toxic, how)
+    label = _toxic_tokens(found, np.repeat(np.arange(len(texts)), counts), toxic, _families(parts), how)
     row, column = sequences(counts, how.length)
     model = Model(share, np.zeros(how.buckets), -2.0, np.array([[0.0, -2.0], [0.0, -1.0]]), None, how.length)
     bounds = np.searchsorted(row, np.arange((row[-1] if len(row) else -1) + 2))

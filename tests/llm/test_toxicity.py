@@ -91,3 +91,19 @@ def test_labels_of_one_kind_or_of_no_document(spark, documents_of, labels, score
 
 def test_plain_keeps_byte_places():
     assert toxicity.plain("Ab-É1") == "ab É1".encode()
+
+
+def test_a_much_copied_toxic_text_does_not_make_its_words_toxic(spark, documents_of):
+    rows, labels = corpus(800, 3)
+    draw = random.Random(5)
+    words = [f"rare{draw.randrange(10**6)}x{i}" for i in range(60)]
+    for i in range(40):
+        text = list(words)
+        text[draw.randrange(60)] = "idiot"
+        text[draw.randrange(60)] = f"edit{i}"
+        rows.append((90_000 + i, " ".join(text)))
+        labels.append((90_000 + i, 1))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    model = fitted(frame, spark.createDataFrame(labels, "doc_id long, toxic int"), Training(buckets=1 << 16))
+    out = rows_by_id(scored(documents_of([(1, " ".join(words[:30])), (2, " ".join([*words[:30], "idiot"]))]), model))
+    assert (out[1]["predicted"], out[2]["predicted"]) == (0, 1)
