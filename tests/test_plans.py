@@ -12,7 +12,7 @@ from stayrate.sources.derived import derive_customers, derive_raw
 from stayrate.sources.raw_csv import load_and_coerce
 
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
-WRITERS = re.compile(r"^(s|m0[3-9]|m1|r07_model)")
+WRITERS = re.compile(r"^(s|c04_updated|m0[7-9]|m10_tune|m12|m15|r07_model)")
 
 
 def _plan(frame):
