@@ -5,17 +5,21 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayrate.llm.compact import compact, words_of
 from stayrate.llm.components import connected_components
 from stayrate.llm.scratch import written
 from stayrate.llm.words import Words, blocks, grams, mix
 
 SIGNED = "doc_id long, n_shingles long, set_id binary, left array<long>, right array<long>"
+#: In how many different orders the members of buckets are tried as hubs.
+ORDERS = 12
 
 
 @dataclass(frozen=True)
@@ -31,10 +35,19 @@ class Banding:
     rows: int = 3
     bands: int = 13
 
+    def sure_matches(self, similarity: float, risk: float = 1e-5) -> int:
+        """How many of all half keys two sets so similar share at least, but for a chance of `risk`."""
+        n, p = 2 * self.bands, similarity**self.rows
+        fewer, k = 0.0, 0
+        while fewer <= risk:
+            fewer += comb(n, k) * p**k * (1 - p) ** (n - k)
+            k += 1
+        return k - 1
 
-def shingles(text: str | None, width: int) -> np.ndarray:
+
+def shingles(text: bytes, width: int) -> np.ndarray:
     """The distinct runs of `width` words of a text, A-Z lower-cased, as sorted 64-bit hashes."""
-    hashes = Words([(text or "").encode("utf-8", "surrogatepass").lower()]).hashes
+    hashes = Words([text.lower()]).hashes
     return np.unique(grams(hashes, min(width, len(hashes)))) if len(hashes) else hashes
 
 
@@ -110,16 +123,18 @@ def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def candidates(vertices: DataFrame, banding: Banding) -> DataFrame:
     """Pairs (a, b, tables) of vertices that share the key of some table, and how many they were met in.
 
-    vertices: vertex, left, right. In each bucket, a vertex drawn by a hash of key and vertex
+    vertices: vertex, left, right. In each bucket, the first vertex in an order by hash
     is the hub and is paired with each of the others, so a bucket gives no more pairs than it has
-    members. Hubs differ from table to table, so two similar sets, which share many
-    buckets, are compared with each other or with the same third ones many times over.
+    members. Each table uses one of a few orders of the vertices, so hubs differ between
+    tables, and two similar sets, which share many buckets, are compared with each other or
+    with the same third ones many times over; but a large group has only a few hubs in all.
     """
     tables = F.flatten(
         F.transform("left", lambda x: F.transform("right", lambda y: F.xxhash64(x, y)))
     )
     dealt = vertices.select("vertex", F.explode(tables).alias("key")).repartition("key")
-    sorted_ = dealt.sortWithinPartitions("key", F.xxhash64("vertex", "key"))
+    order = F.xxhash64("vertex", F.pmod("key", F.lit(ORDERS)))
+    sorted_ = dealt.sortWithinPartitions("key", order)
     stars = sorted_.select("key", "vertex").mapInPandas(_stars, "a long, b long")
     return stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("tables"))
 
@@ -130,10 +145,10 @@ def _confirm(width: int, least: float):
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out, known, name = [], None, None
-            for a, b, x, y in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"]):
+            for a, b, x, y in zip(batch["a"], batch["b"], batch["data_a"], batch["data_b"]):
                 if name != a:
-                    known, name = shingles(x, width), a
-                other = shingles(y, width)
+                    known, name = shingles(words_of(x), width), a
+                other = shingles(words_of(y), width)
                 both = np.intersect1d(known, other, assume_unique=True).size
                 out.append(100 * both >= hundredths * (len(known) + len(other) - both))
             keep = np.array(out, dtype=bool)
@@ -143,9 +158,8 @@ def _confirm(width: int, least: float):
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets are at least `least` similar. texts: vertex, text."""
-    first = texts.select(F.col("vertex").alias("a"), F.col("text").alias("text_a"))
-    second = texts.select(F.col("vertex").alias("b"), F.col("text").alias("text_b"))
+    """The pairs (a, b) whose whole shingle sets are at least `least` similar. texts: vertex, data."""
+    first, second = texts.toDF("a", "data_a"), texts.toDF("b", "data_b")
     rows = pairs.select("a", "b").join(first, "a").join(second, "b")
     return rows.mapInPandas(_confirm(width, least), "a long, b long")
 
@@ -178,20 +192,23 @@ def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, bandin
         ).select("set_id", "vertex", "of.left", "of.right", "of.n_shingles"),
         "classes",
     )
-    sizes = classes.select("vertex", "n_shingles")
+    # A byte of each half key, by which the half keys that two vertices share are counted.
+    bytes_of = F.transform(F.concat("left", "right"), lambda x: x.bitwiseAND(127).cast("tinyint"))
+    sketches = classes.select("vertex", "n_shingles", bytes_of.alias("sketch"))
     met = candidates(classes.where("vertex is not null"), banding)
-    # Sets whose sizes differ too much can't be similar enough.
+    # Sets whose sizes differ too much, or that share too few half keys, can't be similar enough.
+    shared = F.size(F.filter(F.zip_with("sketch_a", "sketch_b", lambda x, y: x == y), lambda x: x))
     fit = (
-        met.join(sizes.toDF("a", "size_a"), "a")
-        .join(sizes.toDF("b", "size_b"), "b")
+        met.join(sketches.toDF("a", "size_a", "sketch_a"), "a")
+        .join(sketches.toDF("b", "size_b", "sketch_b"), "b")
         .where(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * round(100 * least))
+        .where(shared >= banding.sure_matches(least))
         .select("a", "b", "tables")
     )
     pairs = written(fit, "pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
-    texts = written(
-        rows.join(involved, rows["doc_id"] == involved["vertex"]).select("vertex", "text"), "texts"
-    )
+    texts = compact(rows).withColumnRenamed("doc_id", "vertex")
+    texts = written(texts.join(involved, "vertex").select("vertex", "data"), "texts")
     best = (
         pairs.select(F.explode(F.array("a", "b")).alias("vertex"), "a", "b", "tables")
         .groupBy("vertex")
