@@ -19,7 +19,9 @@ from stayrate.llm.words import Words, blocks, grams, mix
 
 SIGNED = "doc_id long, n_shingles long, set_id binary, left array<long>, right array<long>"
 #: In how many different orders the members of buckets are tried as hubs.
-ORDERS = 12
+ORDERS = 8
+#: Sides of the blocks in which the members of neighbouring groups are compared.
+HOSTS, GUESTS = 256, 512
 
 
 @dataclass(frozen=True)
@@ -164,6 +166,74 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> D
     return rows.mapInPandas(_confirm(width, least), "a long, b long")
 
 
+def _compare(width: int, least: float, matches: int):
+    """Rows of a block, guests first: the pairs of a guest and a host whose whole sets are similar enough."""
+    hundredths = round(100 * least)
+
+    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, names, sets, sketches, sizes = None, [], [], [], None
+        for batch in batches:
+            out = []
+            for key, host, vertex, data, sketch in zip(*(batch[c] for c in ("block", "is_host", "vertex", "data", "sketch"))):
+                if key != block:
+                    block, names, sets, sketches, sizes = key, [], [], [], None
+                own = shingles(words_of(data), width)
+                if not host:
+                    names.append(vertex)
+                    sets.append(own)
+                    sketches.append(np.asarray(sketch, dtype=np.int8))
+                    continue
+                if sizes is None:
+                    sizes = np.array([len(s) for s in sets])
+                    table = np.stack(sketches) if sketches else np.empty((0, len(sketch)), dtype=np.int8)
+                alike = (table == np.asarray(sketch, dtype=np.int8)).sum(axis=1) >= matches
+                alike &= 100 * np.minimum(sizes, len(own)) >= hundredths * np.maximum(sizes, len(own))
+                for k in np.flatnonzero(alike):
+                    both = np.intersect1d(own, sets[k], assume_unique=True).size
+                    if names[k] != vertex and 100 * both >= hundredths * (len(own) + len(sets[k]) - both):
+                        out.append((min(vertex, names[k]), max(vertex, names[k])))
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return over
+
+
+def between_neighbours(pairs: DataFrame, texts: DataFrame, parts: DataFrame, width: int, least: float, matches: int) -> DataFrame:
+    """Links (a, b) between groups that some candidate pair touches, though no link was found so far.
+
+    pairs: a, b; texts: vertex, data, sketch; parts: vertex, part. Of two groups that touch, the smaller is
+    the larger one's guest. All guests of a group are compared with its members and with each other,
+    in blocks of bounded size: members and guests are dealt to chunks by hash, each pair of chunks is a block,
+    and in a block only those with enough half keys in common are looked at.
+    """
+    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    touching = (
+        pairs.join(parts.toDF("a", "part_a"), "a").join(parts.toDF("b", "part_b"), "b")
+        .where("part_a <> part_b").select("part_a", "part_b").distinct()
+        .join(sizes.toDF("part_a", "n_a"), "part_a").join(sizes.toDF("part_b", "n_b"), "part_b")
+    )
+    sides = [F.struct(F.col(f"n_{s}").alias("n"), F.col(f"part_{s}").alias("part")) for s in "ab"]
+    visits = written(
+        touching.select(F.greatest(*sides).alias("host"), F.least(*sides).alias("guest")).select(
+            F.col("host.part").alias("host"), F.col("guest.part").alias("part"), F.col("host.n").alias("n_host"), F.col("guest.n").alias("n_guest")
+        ).distinct(),
+        "visits",
+    )
+    plans = visits.groupBy("host").agg(
+        F.ceil((F.max("n_host") + F.sum("n_guest")) / HOSTS).alias("host_chunks"), F.ceil(F.sum("n_guest") / GUESTS).alias("guest_chunks")
+    )
+    members = texts.join(parts, "vertex")
+    guests = members.join(visits.select("host", "part"), "part").join(plans, "host")
+    own = members.withColumnRenamed("part", "host").join(plans, "host")
+    hosts = own.unionByName(guests.drop("part"))
+    every = [F.sequence(F.lit(0).cast("long"), F.col(c) - 1) for c in ("host_chunks", "guest_chunks")]
+    chunk = [F.pmod(F.xxhash64("vertex"), F.col(c)) for c in ("host_chunks", "guest_chunks")]
+    as_guest = guests.select("host", F.lit(False).alias("is_host"), "vertex", "data", "sketch", F.explode(every[0]).alias("h"), chunk[1].alias("g"))
+    as_host = hosts.select("host", F.lit(True).alias("is_host"), "vertex", "data", "sketch", chunk[0].alias("h"), F.explode(every[1]).alias("g"))
+    rows = as_guest.unionByName(as_host).withColumn("block", F.xxhash64("host", "h", "g")).drop("host", "h", "g")
+    dealt = rows.repartition("block").sortWithinPartitions("block", "is_host")
+    return dealt.mapInPandas(_compare(width, least, matches), "a long, b long").distinct()
+
+
 def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, banding: Banding | None = None) -> DataFrame:
     """Groups of near copies among documents (doc_id, text).
 
@@ -174,8 +244,9 @@ def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, bandin
     can be reached over links, itself included) and kept (component_id is doc_id).
 
     Documents with equal sets form one vertex, so copies make neither keys nor pairs. Of the
-    candidates, each vertex's pair met in most tables is confirmed first. Pairs that these links
-    have joined already need no look; all others, which lead out of a group, are confirmed next.
+    candidates, each vertex's pair met in most tables is confirmed first. Pairs that these links have joined
+    already need no look. Where another pair leads from group to group, all members of the groups are compared
+    (see between_neighbours).
 
     Null texts and texts without words are linked with nothing. Rows with the same doc_id are the same
     document. A null doc_id keeps the component of its equal texts, if those have an id, and else is
@@ -208,7 +279,9 @@ def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, bandin
     pairs = written(fit, "pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
     texts = compact(rows).withColumnRenamed("doc_id", "vertex")
-    texts = written(texts.join(involved, "vertex").select("vertex", "data"), "texts")
+    # What is involved grows with the documents, so it is never broadcast.
+    texts = texts.join(involved.hint("merge"), "vertex").join(sketches.hint("merge"), "vertex")
+    texts = written(texts.select("vertex", "data", "sketch"), "texts")
     best = (
         pairs.select(F.explode(F.array("a", "b")).alias("vertex"), "a", "b", "tables")
         .groupBy("vertex")
@@ -216,16 +289,16 @@ def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, bandin
         .select("best.a", "best.b")
         .distinct()
     )
-    links = written(confirmed(best, texts, width, least), "links")
-    parts = written(connected_components(links), "parts")
-    left, right = parts.toDF("a", "part_a"), parts.toDF("b", "part_b")
-    open_pairs = (
-        pairs.join(left, "a", "left").join(right, "b", "left")
-        .where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b"))
-        .join(best, ["a", "b"], "left_anti")
-    )
-    links = links.unionByName(confirmed(open_pairs, texts, width, least))
-    found = connected_components(links).withColumnRenamed("component", "found")
+    links = written(confirmed(best, texts.select("vertex", "data"), width, least), "links")
+    found = connected_components(links)
+    parts = texts.select("vertex").join(found, "vertex", "left")
+    parts = written(parts.select("vertex", F.coalesce("component", "vertex").alias("part")), "parts")
+    more = between_neighbours(pairs, texts, parts, width, least, banding.sure_matches(least))
+    # Groups are joined by the links between them; what is in no such link stays as it is.
+    across = more.join(parts.toDF("a", "part_a"), "a").join(parts.toDF("b", "part_b"), "b").where("part_a <> part_b")
+    across = across.select(F.least("part_a", "part_b").alias("a"), F.greatest("part_a", "part_b").alias("b"))
+    merged = connected_components(across).toDF("part", "found")
+    found = parts.join(merged, "part", "left").select("vertex", F.coalesce("found", "part").alias("found"))
     groups = classes.select("set_id", "vertex").join(found, "vertex", "left").select(
         "set_id", F.coalesce("found", "vertex").alias("component")
     )
