@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -156,7 +156,7 @@ def _evidence(chance: np.ndarray, words: Words) -> np.ndarray:
     return out
 
 
-def _families(parts: list[Words], orders: int = 8) -> np.ndarray:
+def _families(parts: Iterable[Words], orders: int = 8) -> np.ndarray:
     """A number for each text, the same for texts that share much: near copies have some least hash in common
     among the runs of five words under a few orders."""
     parent: list[int] = []
@@ -209,11 +209,15 @@ def _toxic_tokens(found: np.ndarray, text: np.ndarray, toxic: np.ndarray, family
 def fit(texts: list[bytes], toxic: np.ndarray, share: float, how: Training) -> Model:
     """A model from plain texts and their labels, of which both kinds occur. share: how many of all labelled
     texts are toxic; the sample may have more."""
-    parts = [Words(texts[lo:hi]) for lo, hi in blocks(map(len, texts))]
-    found = np.concatenate([features(w, how.buckets) for w in parts])
-    counts = np.concatenate([w.counts() for w in parts])
-    label = _toxic_tokens(found, np.repeat(np.arange(len(texts)), counts), toxic, _families(parts), how)
-    row, column = sequences(counts, how.length)
+
+    def parts() -> Iterator[Words]:
+        """The texts, a block at a time, so that only the features of all words are held."""
+        return (Words(texts[lo:hi]) for lo, hi in blocks(map(len, texts)))
+
+    counts = np.concatenate([w.counts() for w in parts()])
+    found = np.concatenate([features(w, how.buckets) for w in parts()])
+    label = _toxic_tokens(found, np.repeat(np.arange(len(texts), dtype=np.int32), counts), toxic, _families(parts()), how)
+    row, column = (x.astype(np.int32) for x in sequences(counts, how.length))
     model = Model(share, np.zeros(how.buckets), -2.0, np.array([[0.0, -2.0], [0.0, -1.0]]), None, how.length)
     bounds = np.searchsorted(row, np.arange((row[-1] if len(row) else -1) + 2))
     squares = np.full(how.buckets, 1e-6)
@@ -245,7 +249,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, share: float, how: Training) -> M
             model.start += 0.1 * (truth[:, 0].mean() - chance[:, 0].mean())
     model.weights[0] = 0
     model.weights = model.weights.astype(np.float32)
-    evidence = np.concatenate([_evidence(marginals(w, model), w) for w in parts])
+    evidence = np.concatenate([_evidence(marginals(w, model), w) for w in parts()])
     model.document = _logistic(evidence, toxic, np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean())))
     return model
 

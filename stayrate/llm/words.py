@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
