@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayrate.llm.scratch import in_small_batches
+
 #: Bytes that part words: all of ASCII but letters and digits.
 _PARTING = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 _LOWER = bytes(range(0x41, 0x5B))
@@ -148,7 +150,7 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, width: int = 10,
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // most_bytes))
     runs = F.array().cast("array<struct<start:long,end:long>>").alias("runs")
-    out = documents.select("doc_id", "text", runs, F.array().cast("array<string>").alias("items"))
+    out = in_small_batches(documents).select("doc_id", "text", runs, F.array().cast("array<string>").alias("items"))
     for k in range(parts):
         part = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
         windows = windows_of([(r[0], r[1]) for r in part.collect()], width)

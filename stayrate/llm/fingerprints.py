@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayrate.llm.scratch import in_small_batches
 from stayrate.llm.words import Words, blocks, grams, mix
 
 LANES = 2
@@ -60,7 +61,7 @@ def fingerprinted(documents: DataFrame, gram: int = 2) -> DataFrame:
             texts = [None if t is None else t.encode("utf-8", "surrogatepass") for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fingerprint": fingerprints(texts, gram)})
 
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = in_small_batches(documents).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInPandas(over, "doc_id long, fingerprint string")
 
 
@@ -191,7 +192,7 @@ def compared_with_next(documents: DataFrame, gram: int = 2, rows_each: int = 500
     A null text is empty. Null ids come first; among equal ids, texts are in order. A single document is
     its own next. An empty table gives no rows. Other columns are not read.
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = in_small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ids = rows.select("doc_id")
     bounds = np.array(_bounds(ids, rows_each), dtype=np.int64)
 

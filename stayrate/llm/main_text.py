@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayrate.llm.scratch import in_small_batches
+
 # --- fixed values: what elements are for ------------------------------------
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
@@ -318,5 +320,5 @@ def extracted(pages: DataFrame) -> DataFrame:
                 {"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]}
             )
 
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
+    rows = in_small_batches(pages).select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     return rows.mapInPandas(over, "page_id long, url string, text string, n_chars long")

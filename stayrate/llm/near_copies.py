@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stayrate.llm.compact import compact, words_of
 from stayrate.llm.components import connected_components
-from stayrate.llm.scratch import written
+from stayrate.llm.scratch import in_small_batches, written
 from stayrate.llm.words import Words, blocks, grams, mix
 
 SIGNED = "doc_id long, n_shingles long, set_id binary, left array<long>, right array<long>"
@@ -253,7 +253,7 @@ def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, bandin
     its own (null, kept). An empty table gives no rows. Other columns are not read.
     """
     banding = banding or Banding()
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = in_small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = written(rows.mapInPandas(_sign(width, banding), SIGNED), "signed")
     filled = signed.where("n_shingles > 0")
     classes = written(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.llm.ranks import cells_for, hash_cell, numbered
-from stayrate.llm.scratch import written
+from stayrate.llm.scratch import in_small_batches, written
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = f"{PIECES}, sequence_id long, offset long"
@@ -63,7 +63,7 @@ def pieces(
     columns are not read.
     """
     schema = PIECES + (", ids array<int>" if with_ids else "")
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = in_small_batches(documents).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInPandas(_cut(vocabulary, most, end_id, with_ids), schema)
 
 

@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayrate.llm.scratch import written
+from stayrate.llm.scratch import in_small_batches, written
 from stayrate.llm.words import BLOCK_BYTES, Words, blocks, grams
 
 ANCHORED = "doc_id long, n_words long, text_id binary, anchors array<long>"
@@ -266,7 +266,7 @@ def without_repeats(documents: DataFrame, window: int = 50, block_bytes: int = 4
     another. An empty table gives no rows. Other columns are not read.
     """
     how = Anchors(window)
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = in_small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     anchored = written(rows.mapInPandas(_anchored(how), ANCHORED), "anchored")
     long = anchored.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
     firsts = long.groupBy("text_id").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")

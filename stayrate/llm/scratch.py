@@ -19,6 +19,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def in_small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """The same rows, with Arrow batches of so many rows where the session has Spark's default of 10,000.
+
+    Texts can be long, and a Python worker holds a batch several times over.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, str(rows))
+    return df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, read back from a Parquet table written in the shared folder.
 

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayrate.llm.scratch import in_small_batches
 from stayrate.llm.words import Words, blocks, grams, mix, powers
 
 #: Lower-cases A-Z and makes every other ASCII character but digits and letters a space.
@@ -285,7 +286,7 @@ def fitted(documents: DataFrame, labels: DataFrame, how: Training | None = None)
     ]
     # The sample's size is bounded by the parameters.
     sample = F.broadcast(drawn[0].unionByName(drawn[1]))
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
+    rows = in_small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         every = [b[["doc_id", "text", "toxic"]] for b in batches]
@@ -328,7 +329,7 @@ def scored(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
                     {"doc_id": ids[lo:hi], "score": score, "predicted": (score >= least).astype(np.int32), "spans": spans}
                 )
 
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = in_small_batches(documents).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInPandas(over, SCORED)
 
 
@@ -342,7 +343,7 @@ def without_toxic(documents: DataFrame, model: Model, least: float = 0.5) -> Dat
             parts = [_judged(Words(every[lo:hi]), model)[0] for lo, hi in blocks(map(len, every))]
             yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
-    return documents.where(score(F.col("text").cast("string")) < least)
+    return in_small_batches(documents).where(score(F.col("text").cast("string")) < least)
 
 
 def _spans(words: Words, chance: np.ndarray, text: int, original: str | None) -> list[dict]:
