@@ -106,7 +106,7 @@ def _sign(width: int, banding: Banding):
 
 
 def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (key, vertex) sorted by key: each row but a key's first gives a pair with that first."""
+    """Rows (key, vertex) sorted by key: each row but a key's first gives a pair (hub, vertex) with that first."""
     last_key, last_hub = None, None
     for batch in batches:
         key, vertex = batch["key"].to_numpy(), batch["vertex"].to_numpy()
@@ -119,11 +119,11 @@ def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             hub = np.where(begins < 0, last_hub, hub)
         last_key, last_hub = key[-1], hub[-1]
         other = ~new & (hub != vertex)
-        yield pd.DataFrame({"a": np.minimum(hub, vertex)[other], "b": np.maximum(hub, vertex)[other]})
+        yield pd.DataFrame({"hub": hub[other], "vertex": vertex[other]})
 
 
 def candidates(vertices: DataFrame, banding: Banding) -> DataFrame:
-    """Pairs (a, b, tables) of vertices that share the key of some table, and how many they were met in.
+    """Pairs (a, b, tables, a_hub, b_hub) of vertices that share the key of some table, how many they were met in, and which was a hub.
 
     vertices: vertex, left, right. In each bucket, the first vertex in an order by hash
     is the hub and is paired with each of the others, so a bucket gives no more pairs than it has
@@ -137,8 +137,10 @@ def candidates(vertices: DataFrame, banding: Banding) -> DataFrame:
     dealt = vertices.select("vertex", F.explode(tables).alias("key")).repartition("key")
     order = F.xxhash64("vertex", F.pmod("key", F.lit(ORDERS)))
     sorted_ = dealt.sortWithinPartitions("key", order)
-    stars = sorted_.select("key", "vertex").mapInPandas(_stars, "a long, b long")
-    return stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("tables"))
+    stars = sorted_.select("key", "vertex").mapInPandas(_stars, "hub long, vertex long")
+    pairs = stars.select(F.least("hub", "vertex").alias("a"), F.greatest("hub", "vertex").alias("b"), "hub")
+    is_hub = [F.max(F.col("hub") == F.col(c)).alias(f"{c}_hub") for c in "ab"]
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("tables"), *is_hub)
 
 
 def _confirm(width: int, least: float):
@@ -167,73 +169,81 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> D
 
 
 def _compare(width: int, least: float, matches: int):
-    """Rows of a block, guests first: the pairs of a guest and a host whose whole sets are similar enough."""
+    """Rows of a block, guests first: the pairs of a guest and a host of other parts whose whole sets are similar enough."""
     hundredths = round(100 * least)
 
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, names, sets, sketches, sizes = None, [], [], [], None
+        block, names, homes, sets, sketches, sizes = None, [], [], [], [], None
         for batch in batches:
             out = []
-            for key, host, vertex, data, sketch in zip(*(batch[c] for c in ("block", "is_host", "vertex", "data", "sketch"))):
+            for key, host, vertex, part, data, sketch in zip(*(batch[c] for c in ("block", "is_host", "vertex", "part", "data", "sketch"))):
                 if key != block:
-                    block, names, sets, sketches, sizes = key, [], [], [], None
+                    block, names, homes, sets, sketches, sizes = key, [], [], [], [], None
                 own = shingles(words_of(data), width)
                 if not host:
                     names.append(vertex)
+                    homes.append(part)
                     sets.append(own)
                     sketches.append(np.asarray(sketch, dtype=np.int8))
                     continue
                 if sizes is None:
-                    sizes = np.array([len(s) for s in sets])
+                    sizes, home = np.array([len(s) for s in sets]), np.array(homes)
                     table = np.stack(sketches) if sketches else np.empty((0, len(sketch)), dtype=np.int8)
                 alike = (table == np.asarray(sketch, dtype=np.int8)).sum(axis=1) >= matches
                 alike &= 100 * np.minimum(sizes, len(own)) >= hundredths * np.maximum(sizes, len(own))
+                alike &= home != part
                 for k in np.flatnonzero(alike):
                     both = np.intersect1d(own, sets[k], assume_unique=True).size
-                    if names[k] != vertex and 100 * both >= hundredths * (len(own) + len(sets[k]) - both):
+                    if 100 * both >= hundredths * (len(own) + len(sets[k]) - both):
                         out.append((min(vertex, names[k]), max(vertex, names[k])))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return over
 
 
-def between_neighbours(pairs: DataFrame, texts: DataFrame, parts: DataFrame, width: int, least: float, matches: int) -> DataFrame:
-    """Links (a, b) between groups that some candidate pair touches, though no link was found so far.
+def between_neighbours(met: DataFrame, texts: DataFrame, parts: DataFrame, width: int, least: float, matches: int) -> DataFrame:
+    """Links (a, b) between groups that meet in some table, though no link was found so far.
 
-    pairs: a, b; texts: vertex, data, sketch; parts: vertex, part. Of two groups that touch, the smaller is
-    the larger one's guest. All guests of a group are compared with its members and with each other,
-    in blocks of bounded size: members and guests are dealt to chunks by hash, each pair of chunks is a block,
-    and in a block only those with enough half keys in common are looked at.
+    met: a, b, a_hub, b_hub; texts: vertex, data, sketch; parts: vertex, part. Whoever meets a hub of another group is
+    a guest of the hub's group, whichever of the groups is larger. All guests of a group are compared with its members
+    and with each other, so of two vertices in one bucket no pair is left out: each is the hub, of its group or its
+    guest. This is done in blocks of bounded size: members and guests are dealt to chunks by hash, each pair of
+    chunks is a block, and in a block only those of other groups with enough half keys in common are looked at.
     """
-    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    touching = (
-        pairs.join(parts.toDF("a", "part_a"), "a").join(parts.toDF("b", "part_b"), "b")
-        .where("part_a <> part_b").select("part_a", "part_b").distinct()
-        .join(sizes.toDF("part_a", "n_a"), "part_a").join(sizes.toDF("part_b", "n_b"), "part_b")
-    )
-    sides = [F.struct(F.col(f"n_{s}").alias("n"), F.col(f"part_{s}").alias("part")) for s in "ab"]
-    visits = written(
-        touching.select(F.greatest(*sides).alias("host"), F.least(*sides).alias("guest")).select(
-            F.col("host.part").alias("host"), F.col("guest.part").alias("part"), F.col("host.n").alias("n_host"), F.col("guest.n").alias("n_guest")
-        ).distinct(),
-        "visits",
-    )
-    plans = visits.groupBy("host").agg(
-        F.ceil((F.max("n_host") + F.sum("n_guest")) / HOSTS).alias("host_chunks"), F.ceil(F.sum("n_guest") / GUESTS).alias("guest_chunks")
+    open_ = _across(met, parts, "a", "b", "a_hub", "b_hub")
+    side = [F.when(F.col(f"{h}_hub"), F.struct(F.col(f"part_{h}").alias("host"), F.col(g).alias("vertex"))) for h, g in ("ab", "ba")]
+    visits = written(open_.select(F.explode(F.array_compact(F.array(*side))).alias("of")).select("of.*").distinct(), "visits")
+    sizes = parts.groupBy(F.col("part").alias("host")).agg(F.count(F.lit(1)).alias("n"))
+    plans = visits.groupBy("host").agg(F.count(F.lit(1)).alias("n_guest")).join(sizes, "host").select(
+        "host", F.ceil((F.col("n") + F.col("n_guest")) / HOSTS).alias("host_chunks"), F.ceil(F.col("n_guest") / GUESTS).alias("guest_chunks")
     )
     members = texts.join(parts, "vertex")
-    guests = members.join(visits.select("host", "part"), "part").join(plans, "host")
-    own = members.withColumnRenamed("part", "host").join(plans, "host")
-    hosts = own.unionByName(guests.drop("part"))
+    guests = members.join(visits, "vertex").join(plans, "host")
+    own = members.withColumn("host", F.col("part")).join(plans, "host")
+    hosts = own.unionByName(guests)
     every = [F.sequence(F.lit(0).cast("long"), F.col(c) - 1) for c in ("host_chunks", "guest_chunks")]
     chunk = [F.pmod(F.xxhash64("vertex"), F.col(c)) for c in ("host_chunks", "guest_chunks")]
-    as_guest = guests.select("host", F.lit(False).alias("is_host"), "vertex", "data", "sketch", F.explode(every[0]).alias("h"), chunk[1].alias("g"))
-    as_host = hosts.select("host", F.lit(True).alias("is_host"), "vertex", "data", "sketch", chunk[0].alias("h"), F.explode(every[1]).alias("g"))
+    carried = ["vertex", "part", "data", "sketch"]
+    as_guest = guests.select("host", F.lit(False).alias("is_host"), *carried, F.explode(every[0]).alias("h"), chunk[1].alias("g"))
+    as_host = hosts.select("host", F.lit(True).alias("is_host"), *carried, chunk[0].alias("h"), F.explode(every[1]).alias("g"))
     rows = as_guest.unionByName(as_host).withColumn("block", F.xxhash64("host", "h", "g")).drop("host", "h", "g")
     dealt = rows.repartition("block").sortWithinPartitions("block", "is_host")
     return dealt.mapInPandas(_compare(width, least, matches), "a long, b long").distinct()
 
 
+def _across(pairs: DataFrame, parts: DataFrame, *columns: str) -> DataFrame:
+    """Of the pairs (a, b), those that lead from part to part: part_a, part_b and these columns. parts: vertex, part."""
+    both = pairs.join(parts.toDF("a", "part_a"), "a").join(parts.toDF("b", "part_b"), "b")
+    return both.where("part_a <> part_b").select("part_a", "part_b", *columns)
+
+
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The parts (vertex, part) after those between which there are links (a, b) became one; the others stay as they are."""
+    across = _across(links, parts).select(F.least("part_a", "part_b").alias("a"), F.greatest("part_a", "part_b").alias("b"))
+    merged = connected_components(across).toDF("part", "found")
+    return parts.join(merged, "part", "left").select("vertex", F.coalesce("found", "part").alias("part"))
+
+
 def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, banding: Banding | None = None) -> DataFrame:
     """Groups of near copies among documents (doc_id, text).
 
@@ -244,8 +254,8 @@ def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, bandin
     can be reached over links, itself included) and kept (component_id is doc_id).
 
     Documents with equal sets form one vertex, so copies make neither keys nor pairs. Of the
-    candidates, each vertex's pair met in most tables is confirmed first. Pairs that these links have joined
-    already need no look. Where another pair leads from group to group, all members of the groups are compared
+    candidates, each vertex's pair met in most tables is confirmed first, then each group's. Pairs that these links
+    have joined already need no look. Where a hub was met by other groups, these are compared with its own and with each other
     (see between_neighbours).
 
     Null texts and texts without words are linked with nothing. Rows with the same doc_id are the same
@@ -267,17 +277,20 @@ def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, bandin
     bytes_of = F.transform(F.concat("left", "right"), lambda x: x.bitwiseAND(127).cast("tinyint"))
     sketches = classes.select("vertex", "n_shingles", bytes_of.alias("sketch"))
     met = candidates(classes.where("vertex is not null"), banding)
-    # Sets whose sizes differ too much, or that share too few half keys, can't be similar enough.
+    # Sets whose sizes differ too much, or that share too few half keys, can't be similar enough. Such a pair
+    # is kept all the same: others that met the same hub may be similar.
     shared = F.size(F.filter(F.zip_with("sketch_a", "sketch_b", lambda x, y: x == y), lambda x: x))
-    fit = (
+    fits = (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * round(100 * least)) & (
+        shared >= banding.sure_matches(least)
+    )
+    met = written(
         met.join(sketches.toDF("a", "size_a", "sketch_a"), "a")
         .join(sketches.toDF("b", "size_b", "sketch_b"), "b")
-        .where(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * round(100 * least))
-        .where(shared >= banding.sure_matches(least))
-        .select("a", "b", "tables")
+        .select("a", "b", "tables", "a_hub", "b_hub", fits.alias("fits")),
+        "pairs",
     )
-    pairs = written(fit, "pairs")
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
+    pairs = met.where("fits")
+    involved = met.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
     texts = compact(rows).withColumnRenamed("doc_id", "vertex")
     # What is involved grows with the documents, so it is never broadcast.
     texts = texts.join(involved.hint("merge"), "vertex").join(sketches.hint("merge"), "vertex")
@@ -293,12 +306,15 @@ def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, bandin
     found = connected_components(links)
     parts = texts.select("vertex").join(found, "vertex", "left")
     parts = written(parts.select("vertex", F.coalesce("component", "vertex").alias("part")), "parts")
-    more = between_neighbours(pairs, texts, parts, width, least, banding.sure_matches(least))
-    # Groups are joined by the links between them; what is in no such link stays as it is.
-    across = more.join(parts.toDF("a", "part_a"), "a").join(parts.toDF("b", "part_b"), "b").where("part_a <> part_b")
-    across = across.select(F.least("part_a", "part_b").alias("a"), F.greatest("part_a", "part_b").alias("b"))
-    merged = connected_components(across).toDF("part", "found")
-    found = parts.join(merged, "part", "left").select("vertex", F.coalesce("found", "part").alias("found"))
+    # The pair met most often that leads out of a group is looked at next: one for each group, not all.
+    leading = _across(pairs, parts, "tables", "a", "b")
+    next_best = leading.select(F.explode(F.array("part_a", "part_b")).alias("part"), "tables", "a", "b").groupBy("part").agg(
+        F.max(F.struct("tables", "a", "b")).alias("best")
+    )
+    links = written(confirmed(next_best.select("best.a", "best.b").distinct(), texts.select("vertex", "data"), width, least), "links")
+    parts = written(_joined(parts, links), "parts")
+    found = _joined(parts, between_neighbours(met, texts, parts, width, least, banding.sure_matches(least)))
+    found = found.withColumnRenamed("part", "found")
     groups = classes.select("set_id", "vertex").join(found, "vertex", "left").select(
         "set_id", F.coalesce("found", "vertex").alias("component")
     )

@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from llm.conftest import rows_by_id
 
-from stayrate.llm.near_copies import Banding, half_keys, near_copies
+from stayrate.llm.compact import compact
+from stayrate.llm.near_copies import Banding, between_neighbours, half_keys, near_copies
 
 
 def brute(rows, width):
@@ -88,3 +89,25 @@ def test_similar_sets_miss_every_table_as_rarely_as_said():
     assert ((shared[0] > 0) & (shared[1] > 0)).all()
     similarity = 88 / 110
     assert abs(np.mean(shared) / banding.bands - similarity**banding.rows) < 0.03
+
+
+@pytest.mark.parametrize("sizes", [(1, 2, 2), (2, 1, 3), (3, 2, 1), (1, 1, 1)])
+def test_groups_that_met_only_a_hub_are_compared(spark, documents_of, sizes):
+    """A link between two groups, each of which met nothing but the hub of a third, whichever is larger."""
+    draw = random.Random(4)
+    words = lambda n: [f"x{draw.randrange(10**6)}" for _ in range(n)]
+    base, rows, parts = words(100), [], []
+    hub_part, left, right = sizes
+    texts = [[*base[:20], *words(80)]] + [words(100) for _ in range(hub_part - 1)]
+    texts += [base] + [words(100) for _ in range(left - 1)] + [[*base[:95], *words(5)]] + [words(100) for _ in range(right - 1)]
+    firsts = [0, hub_part, hub_part + left]
+    for k, text in enumerate(texts):
+        rows.append((k, " ".join(text)))
+        parts.append((k, max(f for f in firsts if f <= k)))
+    _, x, y = firsts
+    sketch = [1] * 26
+    given = compact(documents_of(rows).select("doc_id", "text")).toDF("vertex", "data")
+    given = given.selectExpr("vertex", "data", f"cast(array({', '.join(map(str, sketch))}) as array<tinyint>) sketch")
+    met = spark.createDataFrame([(0, x, True, False), (0, y, True, False)], "a long, b long, a_hub boolean, b_hub boolean")
+    found = between_neighbours(met, given, spark.createDataFrame(parts, "vertex long, part long"), 2, 0.8, 3)
+    assert [tuple(r) for r in found.collect()] == [(x, y)]
