@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from heapq import heappop, heappush
 
 import numpy as np
@@ -20,9 +21,20 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = f"{PIECES}, sequence_id long, offset long"
 
 
-@lru_cache(maxsize=2)
-def encoder(vocabulary: str):
-    """Text to ids of a byte-level BPE vocabulary, with special strings as ordinary text."""
+def added_tokens(vocabulary: str) -> dict[str, int]:
+    """The strings of a tokenizer file that have an id of their own, whatever stands around them."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{vocabulary} has added tokens that depend on what stands around them")
+    return {t["content"]: t["id"] for t in added}
+
+
+@lru_cache(maxsize=4)
+def encoder(vocabulary: str, added: bool = False):
+    """Text to ids of a byte-level BPE vocabulary; its added tokens are found in the text, or else are ordinary text."""
     import public_tokenizers
     import tiktoken
 
@@ -30,15 +42,15 @@ def encoder(vocabulary: str):
     with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
         for token, rank in map(bytes.split, lines):
             ranks[base64.b64decode(token)] = int(rank)
-    coding = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return coding.encode_ordinary
+    coding = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens(vocabulary) if added else {})
+    return partial(coding.encode, allowed_special="all") if added else coding.encode_ordinary
 
 
-def _cut(vocabulary: str, most: int, end_id: int, with_ids: bool):
+def _cut(vocabulary: str, most: int, end_id: int, with_ids: bool, added: bool):
     columns = [c.split()[0] for c in PIECES.split(", ")] + ["ids"] * with_ids
 
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, added)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -53,18 +65,19 @@ def _cut(vocabulary: str, most: int, end_id: int, with_ids: bool):
 
 
 def pieces(
-    documents: DataFrame, most: int = 1024, vocabulary: str = "byte_bpe_50k", end_id: int = 0, with_ids: bool = False
+    documents: DataFrame, most: int = 1024, vocabulary: str = "byte_bpe_50k", end_id: int = 0, with_ids: bool = False, added: bool = False
 ) -> DataFrame:
     """Documents (doc_id, text) as token ids, closed by `end_id` and cut every `most` ids.
 
     Returns doc_id, start (ids of the document before the piece), length, ids_crc32 (of the ids as
-    little-endian 32-bit numbers), doc_tokens (with the closing id) and, if wanted, ids. A null or
+    little-endian 32-bit numbers), doc_tokens (with the closing id) and, if wanted, ids. With `added`, the
+    vocabulary's added tokens get their ids, as `tokenizers` gives them; else they are ordinary text. A null or
     empty text is its closing id alone. Documents are cut one by one, repeated or not; other
     columns are not read.
     """
     schema = PIECES + (", ids array<int>" if with_ids else "")
     rows = in_small_batches(documents).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInPandas(_cut(vocabulary, most, end_id, with_ids), schema)
+    return rows.mapInPandas(_cut(vocabulary, most, end_id, with_ids, added), schema)
 
 
 def packing_patterns(histogram: dict[int, int], most: int) -> list[tuple[list[int], int]]:
@@ -163,8 +176,8 @@ def packed(cut: DataFrame, most: int = 1024) -> DataFrame:
 
 
 def packed_documents(documents: DataFrame, most: int = 1024, vocabulary: str = "byte_bpe_50k", end_id: int = 0) -> DataFrame:
-    """Documents (doc_id, text) cut into pieces and packed; see `pieces` and `packed`."""
-    return packed(written(pieces(documents, most, vocabulary, end_id), "pieces"), most)
+    """Documents (doc_id, text) cut into pieces, with the ids of added tokens, and packed; see `pieces` and `packed`."""
+    return packed(written(pieces(documents, most, vocabulary, end_id, added=True), "pieces"), most)
 
 
 def sequences(placed: DataFrame, most: int = 1024, pad_id: int = 0) -> DataFrame:

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from stayrate.llm.packing import encoder, packed, packing_patterns, pieces, sequences
+from stayrate.llm.packing import encoder, packed, packed_documents, packing_patterns, pieces, sequences
 from stayrate.llm.scratch import written
 
 TEXTS = [
@@ -79,3 +79,15 @@ def test_pieces_and_sequences_give_back_every_document(documents_of, reference):
 
 def test_no_documents_no_sequences(documents_of):
     assert packed(written(pieces(documents_of([])), "pieces")).count() == 0
+
+
+def test_queries_give_the_ids_of_the_unmodified_tokenizer(documents_of):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [*TEXTS, "hi <|endoftext|> there", "a  <|endoftext|>  \n<|endoftext|><|endoftext|>", "<|endoftext", "x<|endoftext|>'s"]
+    want = {i: [*plain.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert all([*encoder("byte_bpe_50k", added=True)(t), 0] == want[i] for i, t in enumerate(texts))
+    found = packed_documents(documents_of(list(enumerate(texts)))).collect()
+    assert {r["doc_id"] for r in found} == set(want)
+    for r in found:
+        part = np.array(want[r["doc_id"]][r["start"] : r["start"] + r["length"]], dtype="<u4")
+        assert (r["doc_tokens"], r["ids_crc32"]) == (len(want[r["doc_id"]]), zlib.crc32(part.tobytes()))
