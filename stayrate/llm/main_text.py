@@ -234,23 +234,16 @@ def _contents(nodes: list[Node]) -> list[Node]:
     """The subtrees that are the article.
 
     The node with the greatest sum of its children's densities is the heart of the page, and
-    the least density on the way from it up to the body is the threshold. If the heart lies in an
-    article or main element, that element is the article. Otherwise, from the body down, every node
-    that reaches the threshold gives its subtree with the greatest sum.
+    the least density on the way from it up to the body is the threshold. From the body down, every node
+    that reaches the threshold gives its subtree with the greatest sum. What was chosen inside an article
+    element is completed to that element, and if all of it lies in a main element, to that (see `_whole`).
     """
     living = [n for n in nodes if not n.dropped and n.chars]
     if not living:
         return []
     heart = max(living, key=lambda n: n.total)
-    article = _inside(heart, {"article"}) or _inside(heart, {"main"})
-    if article is None and heart.tag in ("html", "body", "main", "div", "section"):
-        # The heart may lie around the only article.
-        inner = [n for n in living if n.tag in ("article", "main") and not _inside(n.parent, {"article", "main"})]
-        article = max(inner, key=lambda n: n.chars, default=None)
-    if article is not None:
-        return [article]
     threshold, node = heart.density, heart
-    while node is not None:
+    while node is not None and node.tag != "html":
         threshold = min(threshold, node.density)
         node = node.parent
     best: dict[int, Node] = {}
@@ -263,7 +256,7 @@ def _contents(nodes: list[Node]) -> list[Node]:
             best[id(above)] = top
     chosen: set[int] = set()
     out: list[Node] = []
-    waiting = [nodes[0]]
+    waiting = [n for n in living if n.tag == "body"] or [nodes[0]]
     while waiting:
         n = waiting.pop()
         if n.dropped or not n.chars or n.density < threshold:
@@ -273,7 +266,34 @@ def _contents(nodes: list[Node]) -> list[Node]:
             chosen.add(id(top))
             out.append(top)
         waiting += [] if top is n else n.children
-    return out
+    return _whole(out or [heart])
+
+
+def _whole(tops: list[Node]) -> list[Node]:
+    """The chosen subtrees, each completed to the article around it, or all of them to the main element around all.
+
+    A subtree around an article is the article alone if all the rest of its text is named as furniture.
+    """
+    articles = [_inside(n, {"article"}) for n in tops]
+    mains = [_inside(n, {"main"}) for n in tops]
+    if not any(articles) and all(mains) and len(set(map(id, mains))) == 1:
+        return mains[:1]
+    return [article or _bare(n) for n, article in zip(tops, articles)]
+
+
+def _bare(top: Node) -> Node:
+    """The only article or main element in a subtree, if there is no other text but in named furniture; else the subtree."""
+    inner, waiting = [], [top]
+    while waiting:
+        n = waiting.pop()
+        if n.tag in ("article", "main"):
+            inner.append(n)
+        elif n is top or not n.names & NO_ARTICLE:
+            living = [c for c in n.children if not c.dropped and c.chars]
+            if n.chars > sum(c.chars for c in living):
+                return top
+            waiting += living
+    return inner[0] if len(inner) == 1 else top
 
 
 def main_text(html: str | None) -> str:

@@ -57,3 +57,19 @@ def test_nulls_and_no_pages(spark):
     assert sorted(tuple(r) for r in extracted(df).where("page_id is not null").collect()) == [(1, "u", "x", 1)]
     assert extracted(df).count() == 2
     assert extracted(df.limit(0)).count() == 0
+
+
+STORY = [f"Paragraph {i} of a story with many words in it, which goes on for a while and has no link at all." for i in range(8)]
+
+
+def test_teaser_article_beside_a_story_in_a_div():
+    paragraphs = "".join(f"<p>{p}</p>" for p in STORY)
+    teaser = '<article><h3><a href="/x">Another story</a></h3><p><a href="/x">Read it</a></p></article>'
+    for page in (f"<div>{paragraphs}</div>{teaser}", f"{teaser}<div><div>{paragraphs}</div></div>", f"<main><div>{paragraphs}</div></main>{teaser}"):
+        assert main_text(f"<html><body>{page}</body></html>") == " ".join(STORY)
+
+
+def test_article_in_several_parts():
+    first, second = ("".join(f"<p>{p}</p>" for p in part) for part in (STORY[:5], STORY[5:]))
+    for page in (f"<article>{first}</article><article>{second}</article>", f"<div><article>{first}</article></div><div><article>{second}</article></div>"):
+        assert main_text(f"<html><body><nav><a href=/>Home</a></nav>{page}</body></html>") == " ".join(STORY)
