@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
 import pytest
 
@@ -47,3 +49,17 @@ def test_one_row_for_each_row_of_the_table(spark, small_dir, name):
         assert n == 1 + queries.table(spark, small_dir, "conversations").select("conv_id").distinct().count()
     else:
         assert n == queries.table(spark, small_dir, "pages" if name.startswith("op8_") else "documents").count()
+
+
+def test_secrets_with_slashes_are_masked(spark):
+    draw = random.Random(2)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    strings = ["".join(draw.choice(letters) for _ in range(256)) for _ in range(20)]
+    strings = [x for x in strings if x.count("/") >= 3]
+    strings.append("com/services/T01ABCD23/B04EFGH56/aZ3kQ9xW7mP2vL8sT4bN6cRy")
+    paths = ["src/test/resources/test1/cases"]
+    rows = [(i, f"see {x} here", "en", "s", 0) for i, x in enumerate(strings + paths)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    text = {r["doc_id"]: r["text"] for r in corpus_pipeline.mask_secrets(spark, docs, "").collect()}
+    assert all("[secret]" in text[i] and x[-24:] not in text[i] for i, x in enumerate(strings))
+    assert all(x in text[len(strings) + i] for i, x in enumerate(paths))
