@@ -6,6 +6,7 @@ import re
 import string
 
 from stayrate.llm.chat import CLOSE, CONTROL, OPEN
+from stayrate.llm.hard_negatives import LARGEST, Mining
 from stayrate.llm.queries import PROBE
 from stayrate.llm.secret_scan import ACCESS, ACCESS_LENGTH, ASSIGN, ASSIGN_LENGTH, CANDIDATE, HEX, HEX_LENGTH, KINDS, Entropy
 
@@ -139,10 +140,91 @@ SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind =
   coalesce(string_agg(span, ',' ORDER BY start, kind), '') AS spans
 FROM d LEFT JOIN listed ON d.doc_id = listed.doc_id GROUP BY d.doc_id"""
 
+# --- 11 ---------------------------------------------------------------------
+
+#: Levels written out: enough for 8 ** 9 documents of a language, and 8 ** 3 languages.
+_LEVELS, _LANG_LEVELS = 9, 3
+_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _digest(text: str) -> str:
+    values = [f"CAST({text if c == 'text' else c} AS VARCHAR)" for c in _FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+#: The CRC-32 of a doc_id's decimal digits, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT)),
+    lambda crc, byte: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, byte)),
+    CAST(4294967295 AS BIGINT)))"""
+
+
+def _climb(name: str, levels: int) -> str:
+    """Levels above {name}0 (tree, pos, digest, n), and for every node the digests beside it in its run."""
+    beside = """coalesce(string_agg(digest, '' ORDER BY pos) OVER (PARTITION BY tree, pos // 8 ORDER BY pos ROWS BETWEEN {}), '')"""
+    steps = []
+    for k in range(levels):
+        steps.append(f"""{name}{k}s AS (SELECT tree, pos, {beside.format("UNBOUNDED PRECEDING AND 1 PRECEDING")} AS l,
+    {beside.format("1 FOLLOWING AND UNBOUNDED FOLLOWING")} AS r FROM {name}{k} WHERE n > 1)""")
+        steps.append(f"""{name}{k + 1} AS (SELECT tree, pos // 8 AS pos, sha256(string_agg(digest, '' ORDER BY pos)) AS digest,
+    (any_value(n) + 7) // 8 AS n FROM {name}{k} WHERE n > 1 GROUP BY tree, pos // 8)""")
+    tops = " UNION ALL ".join(f"SELECT tree, digest FROM {name}{k} WHERE n = 1" for k in range(levels + 1))
+    return ",\n".join([*steps, f"{name}_tops AS ({tops})"])
+
+
+def _fold(name: str, levels: int, before: str, tree: str, place: str) -> str:
+    """{name}w: the rows of `before` with sibs and folded carried up through the levels."""
+    steps, last = [], before
+    for k in range(levels):
+        at = f"{name}w" if k == levels - 1 else f"{name}w{k}"
+        steps.append(f"""{at} AS (SELECT w.* REPLACE (sibs || coalesce(s.l || s.r, '') AS sibs,
+    CASE WHEN s.tree IS NULL THEN folded ELSE sha256(s.l || folded || s.r) END AS folded)
+  FROM {last} w LEFT JOIN {name}{k}s s ON s.tree = w.{tree} AND s.pos = w.{place} // {8**k})""")
+        last = at
+    return ",\n".join(steps)
+
+
+MERKLE = f"""
+WITH d AS (SELECT *, {_digest("text")} AS leaf, {_digest("translate(text, '" + string.ascii_uppercase + "', '" + string.ascii_lowercase + "')")} AS lowered,
+  {_CRC} % 3 = 0 AS tampered, coalesce('+' || lang, '') AS tree FROM documents),
+placed AS (SELECT doc_id, leaf, tree, CASE WHEN tampered THEN lowered ELSE leaf END AS claimed,
+  row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d),
+a0 AS (SELECT tree, pos, leaf AS digest, n FROM placed),
+{_climb("a", _LEVELS)},
+b0 AS (SELECT '' AS tree, tree AS lang_tree, row_number() OVER (ORDER BY tree) - 1 AS pos, digest, count(*) OVER () AS n FROM a_tops),
+{_climb("b", _LANG_LEVELS)},
+start AS (SELECT p.doc_id, p.leaf, p.tree, p.pos, b0.digest AS subroot, '' AS whole, b0.pos AS lang_pos, '' AS sibs, claimed AS folded
+  FROM placed p JOIN b0 ON b0.lang_tree = p.tree),
+{_fold("a", _LEVELS, "start", "tree", "pos")},
+{_fold("b", _LANG_LEVELS, "aw", "whole", "lang_pos")}
+SELECT doc_id, leaf, subroot, digest AS root, sha256(sibs) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+FROM bw JOIN b_tops ON b_tops.tree = bw.whole"""
+
+# --- 12 ---------------------------------------------------------------------
+
+_M = Mining()
+NEGATIVES = f"""
+WITH e AS (SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(x) > {LARGEST // 256})) = 0),
+scored AS (SELECT a.row, a.vec_id AS anchor_id, o.row AS other, o.vec_id, a.label = o.label AS same,
+    CAST(coalesce(list_sum(list_transform(list_zip(a.vector, o.vector), lambda p: coalesce(p[1] * p[2], 0))), 0) AS BIGINT) AS score
+  FROM e a JOIN e o ON a.vec_id % 100 = 0 AND a.row <> o.row),
+positives AS (SELECT row, anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST, other) AS place
+  FROM scored WHERE same QUALIFY place <= {_M.positives}),
+negatives AS (SELECT p.row, p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.row, p.place ORDER BY s.score DESC, s.vec_id NULLS LAST) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON s.row = p.row AND NOT s.same
+    AND {_M.least} * positive_score <= 100 * s.score AND 100 * s.score <= {_M.most} * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= {_M.negatives}"""
+
 ORACLE = {
     "op3_prefix_target": CHAT,
     "op5_tensored_minhash": NEAR,
     "op6_phrase_automata": REPEATS,
     "op7_benchmark_windows": LEAKS,
     "op10_secret_entropy": SECRETS,
+    "op11_merkle_descent": MERKLE,
+    "op12_coordinate_pruning": NEGATIVES,
 }

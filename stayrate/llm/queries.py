@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from stayrate.llm import chat, toxicity
 from stayrate.llm.decontaminate import benchmark_hits
 from stayrate.llm.fingerprints import compared_with_next
+from stayrate.llm.hard_negatives import Mining, hard_negatives
 from stayrate.llm.main_text import extracted
+from stayrate.llm.merkle import lowered, verified
 from stayrate.llm.near_copies import near_copies
+from stayrate.llm.near_simhash import Grid, near_groups
 from stayrate.llm.packing import packed_documents
 from stayrate.llm.repeats import without_repeats
 from stayrate.llm.secret_scan import secret_spans
@@ -165,6 +168,30 @@ def op10_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 11: Merkle manifest ----------------------------------------------------
+
+
+def op11_merkle_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    claimed = F.when(tampered, lowered(F.col("text"))).otherwise(F.col("text"))
+    return verified(table(spark, sf_dir, "documents"), claimed)
+
+
+# --- 12: hard negatives -----------------------------------------------------
+
+
+def op12_coordinate_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), noisy, F.col("vec_id") % 100 == 0, Mining())
+
+
+# --- 13: near copies by SimHash ---------------------------------------------
+
+
+def op13_segment_popcounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"), width=3, grid=Grid(radius=3))
+
+
 QUERIES: dict[str, Query] = {
     "op1_histogram_packing": op1_histogram_packing,
     "op2_simhash": op2_simhash,
@@ -176,4 +203,7 @@ QUERIES: dict[str, Query] = {
     "op8_text_density": op8_text_density,
     "op9_crf_toxicity": op9_crf_toxicity,
     "op10_secret_entropy": op10_secret_entropy,
+    "op11_merkle_descent": op11_merkle_descent,
+    "op12_coordinate_pruning": op12_coordinate_pruning,
+    "op13_segment_popcounts": op13_segment_popcounts,
 }
