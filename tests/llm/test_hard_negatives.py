@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stayrate.llm.hard_negatives import Bucket, Mining, hard_negatives
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
-ANCHOR = F.col("vec_id") % 10 == 0
+ANCHOR = lambda: F.col("vec_id") % 10 == 0
 
 
 def frame(spark, rows):
@@ -56,7 +56,7 @@ def clustered(seed: int, n: int, width: int, labels: int):
 @pytest.mark.parametrize("how", [Mining(bucket_rows=16, block_anchors=4), Mining(positives=2, negatives=9, least=50, most=95)])
 def test_by_brute_force(spark, how):
     rows = clustered(1, 260, 12, 4)
-    found = sorted(map(tuple, hard_negatives(frame(spark, rows), F.col("label"), ANCHOR, how).collect()), key=str)
+    found = sorted(map(tuple, hard_negatives(frame(spark, rows), F.col("label"), ANCHOR(), how).collect()), key=str)
     assert found == brute(rows, how) and len(found) > 50
 
 
@@ -70,26 +70,27 @@ def test_odd_rows(spark):
     ]
     rows += [(200, [0.25] * 6, 0)] * 3 + [(210, [0.25] * 6, 1)] * 3 + [(draw.randrange(300, 400), [0.25] * 6, i % 2) for i in range(30)]
     how = Mining(bucket_rows=8, block_anchors=4)
-    found = sorted(map(tuple, hard_negatives(frame(spark, rows), F.col("label"), ANCHOR, how).collect()), key=str)
+    found = sorted(map(tuple, hard_negatives(frame(spark, rows), F.col("label"), ANCHOR(), how).collect()), key=str)
     assert found == brute(rows, how)
 
 
 def test_empty_and_single_label(spark):
-    assert hard_negatives(frame(spark, []), F.col("label"), ANCHOR).count() == 0
+    assert hard_negatives(frame(spark, []), F.col("label"), ANCHOR()).count() == 0
     one_label = [(v, x, 0) for v, x, _ in clustered(5, 20, 4, 2)]
-    assert hard_negatives(frame(spark, one_label), F.col("label"), ANCHOR).count() == 0
-    assert hard_negatives(frame(spark, [(0, [1.0], 0)]), F.col("label"), ANCHOR).count() == 0
+    assert hard_negatives(frame(spark, one_label), F.col("label"), ANCHOR()).count() == 0
+    assert hard_negatives(frame(spark, [(0, [1.0], 0)]), F.col("label"), ANCHOR()).count() == 0
 
 
 def test_feasible_ranges_lose_nothing_and_leave_out_much():
     draw = np.random.default_rng(7)
-    vectors = np.floor(256 * draw.normal(size=(3000, 16)) * draw.uniform(0.5, 1, size=(3000, 1))).astype(np.int64)
-    bucket = Bucket(vectors)
-    looked_at = 0
+    vectors = draw.normal(size=(3000, 16))
+    vectors = np.floor(256 * vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.int64)
+    bucket, looked_at = Bucket(vectors), {0.5: 0, 0.8: 0, 0.95: 0}
     for anchor in vectors[:40]:
         scores = vectors @ anchor
-        theta = np.sort(scores)[-20]
-        found = bucket.candidates(anchor, float(theta), 4)
-        assert set(np.flatnonzero(scores >= theta)) <= set(found.tolist())
-        looked_at += len(found)
-    assert looked_at < 40 * 3000 * 0.5
+        for share in looked_at:
+            theta = share * 256 * 256
+            found = bucket.candidates(anchor, theta, 4)
+            assert set(np.flatnonzero(scores >= theta)) <= set(found.tolist())
+            looked_at[share] += len(found)
+    assert looked_at[0.5] < 40 * 3000 and looked_at[0.8] < 40 * 3000 * 0.5 and looked_at[0.95] < 40 * 3000 * 0.1

@@ -100,7 +100,7 @@ def test_a_crowded_cell_gives_few_links(spark):
     low = {0}
     while len(low) < 400:
         low.add(sum(1 << (32 + b) for b in draw.sample(range(32), 2)))
-    rows = near_links(spark.createDataFrame([(p,) for p in sorted(low)], "print long"), Grid(segments=32))
+    rows = near_links(spark.createDataFrame([(signed(p),) for p in sorted(low)], "print long"), Grid(segments=32))
     assert rows.count() < 20 * len(low)
 
 
