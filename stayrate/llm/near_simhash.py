@@ -151,31 +151,30 @@ def _linked(grid: Grid):
     cells = (grid.width + 1) ** grid.axes()
 
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def links(members: pd.DataFrame) -> list[tuple[int, int]]:
-            cell, i, j = (int(members[c].iat[0]) for c in ("cell", "i", "j"))
-            prints, slot = members["print"].to_numpy().view(np.uint64), members["slot"].to_numpy()
-            own = members["own"].to_numpy(dtype=bool)
-            return _links_of(prints, cell // cells, own & (slot == i), slot == j, grid)
-
-        held: list[pd.DataFrame] = []
+        def links(cell: int, i: int, j: int, prints: np.ndarray, slot: np.ndarray, own: np.ndarray) -> list[tuple[int, int]]:
+            left, right = own & (slot == i), slot == j
+            if len(prints) == 2:
+                met = (left[0] and right[1]) or (left[1] and right[0])
+                return [(int(prints[0]), int(prints[1]))] if met and (int(prints[0]) ^ int(prints[1])).bit_count() <= grid.radius else []
+            return _links_of(prints, cell // cells, left, right, grid)
+
+        held: list[np.ndarray] = []
         for batch in batches:
-            batch = batch.reset_index(drop=True)
-            keys = batch[["cell", "i", "j"]].to_numpy()
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+            rows = [batch[c].to_numpy() for c in ("cell", "i", "j", "print", "slot", "own")]
+            # What is held back is the last task of the batch before, never more than a chunk or two.
+            rows = [np.concatenate(pair) for pair in zip(held, rows)] if held else rows
+            cell, i, j, prints, slot, own = rows
+            prints = prints.view(np.uint64)
+            change = (cell[1:] != cell[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
             found: list[tuple[int, int]] = []
             for lo, hi in zip(cuts, cuts[1:]):
-                some = batch.iloc[lo:hi]
-                if held and (held[0][["cell", "i", "j"]].iloc[0].to_numpy() != keys[lo]).any():
-                    found += links(pd.concat(held))
-                    held = []
-                if hi < len(batch):
-                    found += links(pd.concat([*held, some]))
-                    held = []
-                else:
-                    held.append(some)
+                found += links(int(cell[lo]), int(i[lo]), int(j[lo]), prints[lo:hi], slot[lo:hi], own[lo:hi])
+            held = [x[cuts[-1] :] for x in rows]
             yield _signed(found)
-        if held:
-            yield _signed(links(pd.concat(held)))
+        if held and len(held[0]):
+            cell, i, j, prints, slot, own = held
+            yield _signed(links(int(cell[0]), int(i[0]), int(j[0]), prints.view(np.uint64), slot, own))
 
     return over
 
@@ -223,7 +222,9 @@ def near_links(distinct: DataFrame, grid: Grid = Grid()) -> DataFrame:
         .withColumn("other", other)
         .select("cell", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "own", "print")
     )
-    dealt_out = tasks.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+    # Few bytes are much work here, so partitions are not to be joined by their size.
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt_out = tasks.repartition(parts, "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
     return dealt_out.mapInPandas(_linked(grid), "a long, b long")
 
 
