@@ -16,6 +16,8 @@ from stayrate.llm.scratch import in_small_batches, written
 
 BITS = 64
 SEED = 42
+#: A fingerprint with more than this share of all rows is joined apart; there are fewer than 1 / HOT of them.
+HOT = 1e-4
 #: Votes are counted so many hashes at a time.
 VOTES_AT_ONCE = 1 << 16
 
@@ -239,7 +241,7 @@ def near_groups(documents: DataFrame, width: int = 3, grid: Grid = Grid()) -> Da
     hashes counted in pieces. An empty table gives no rows. Other columns are not read.
     """
     prints = written(fingerprinted(documents, width), "simhash")
-    members = written(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    members = written(prints.groupBy("print").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("times")), "simhash-distinct")
     groups = written(
         connected_components(written(near_links(members.select("print"), grid), "simhash-links")).withColumnRenamed("vertex", "print"),
         "simhash-groups",
@@ -247,7 +249,11 @@ def near_groups(documents: DataFrame, width: int = 3, grid: Grid = Grid()) -> Da
     linked = groups.join(members, "print")
     least = linked.groupBy("component").agg(F.min("least").alias("least"))
     found = groups.join(least, "component").select("print", F.col("least").alias("joined"))
-    ids = members.join(found, "print", "left").select("print", F.coalesce("joined", "least").alias("component_id"))
-    return prints.join(ids, "print").select(
-        "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    ids = written(members.join(found, "print", "left").select("print", "times", F.coalesce("joined", "least").alias("component_id")), "simhash-ids")
+    rows = members.agg(F.sum("times")).first()[0] or 0
+    # Copies by the thousand stay where they are: their few fingerprints come to them.
+    often = F.col("times") > rows * HOT
+    copied = F.broadcast(ids.where(often).select("print", "component_id"))
+    rest = ids.where(~often).select("print", "component_id")
+    out = prints.join(copied, "print").unionByName(prints.join(copied, "print", "left_anti").join(rest, "print"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
