@@ -27,6 +27,7 @@ from stayrate.operators import (
     metrics,
     modeling,
     quality,
+    search,
 )
 from stayrate.schema import CUSTOMER_COLUMNS
 from stayrate.session import build_session
@@ -107,21 +108,26 @@ def engineer(spark: SparkSession, settings: Settings) -> None:
 
 
 def train(spark: SparkSession, settings: Settings) -> None:
-    """Tune every model on the training rows and save the refitted winners of each search."""
+    """Search all models' settings in one journal, refit each winner on the training rows and save it.
+
+    Started again after a loss, the search goes on where the journal ends.
+    """
     rows = _read(spark, settings, "customers_features").where("split = 'train'")
     store.write_dataset(modeling.training_matrix(rows), settings.path("training_matrix"))
     training = _read(spark, settings, "training_matrix")
-    for name in settings.models:
-        found = modeling.tune_model(
-            training,
-            modeling.CANDIDATES[name],
-            settings.n_iter,
-            settings.folds,
-            parallelism=settings.parallelism,
-            fixed=(settings.fixed or {}).get(name),
-        )
-        store.save_model(found.model, settings.path(f"models/{name}"))
-        store.write_dataset(found.report(training, name), settings.path(f"search/{name}"))
+    journal = search.journaled_search(
+        training,
+        settings.path("search_journal"),
+        settings.models,
+        settings.n_iter,
+        settings.folds,
+        parallelism=settings.parallelism,
+        fixed=settings.fixed,
+    )
+    scores = journal.scores().where(F.col("model").isin(*settings.models) & (F.col("candidate") < settings.n_iter))
+    store.write_dataset(search.report(scores), settings.path("search"))
+    for name, chosen in search.winners(scores).items():
+        store.save_model(search.refitted(training, modeling.CANDIDATES[name], chosen), settings.path(f"models/{name}"))
 
 
 def evaluate(spark: SparkSession, settings: Settings) -> None:

@@ -25,6 +25,7 @@ from stayrate.operators import (
     metrics,
     modeling,
     quality,
+    search,
 )
 from stayrate.schema import (
     BOOLEAN_FEATURES,
@@ -124,8 +125,12 @@ def split_features(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
     return rows.where(F.col("split") == split).drop("split")
 
 
-# One setting of each search range. The search over whole ranges, with folds, is modeling.tune_model; for the
-# linear model it is registered as m10_tune_model, and jobs.train runs it for all.
+#: The folder of the search journal. Set, every registered model is the winner of the whole search over all
+#: three models, which is run as far as the journal lacks it; unset, models have the settings below.
+JOURNAL_CONF = "spark.stayrate.search.path"
+
+# One setting of each search range. The linear model's whole search is registered in any case, as m10_tune_model and
+# m10_search_journal; jobs.train runs that of all models.
 SETTINGS = {
     "logistic_regression": {"C": 1.0},
     "random_forest": {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2, "featureSubsetStrategy": "0.5"},
@@ -135,19 +140,34 @@ SETTINGS = {
 }
 
 
+@lru_cache(maxsize=8)
+def _journal(app: str, sf_dir: str, path: str, models: tuple[str, ...]) -> search.SearchJournal:
+    training = modeling.training_matrix(split_features(SparkSession.active(), sf_dir, "train")).persist()
+    found = search.journaled_search(training, path, models)
+    training.unpersist()
+    return found
+
+
+def journal(spark: SparkSession, sf_dir: str) -> search.SearchJournal:
+    """The journal of the whole search: of all models where its folder is set, of the linear model where it isn't."""
+    app, path = spark.sparkContext.applicationId, spark.conf.get(JOURNAL_CONF, None)
+    if path:
+        return _journal(app, sf_dir, path, tuple(modeling.CANDIDATES))
+    return _journal(app, sf_dir, f"{checkpoint_dir(spark).rstrip('/')}/stayrate-search-{app}", ("logistic_regression",))
+
+
 @lru_cache(maxsize=24)
-def _fitted(app: str, sf_dir: str, name: str) -> PipelineModel:
+def _fitted(app: str, sf_dir: str, name: str, searched: str | None) -> PipelineModel:
     spark = SparkSession.active()
+    settings = search.winners(journal(spark, sf_dir).scores())[name] if searched else SETTINGS[name]
     training = modeling.training_matrix(split_features(spark, sf_dir, "train")).persist()
-    candidate = modeling.CANDIDATES[name]
-    weight_sum = training.agg(F.sum(candidate.make().getWeightCol())).first()[0]
-    model = modeling.fit_model(training, candidate.make(**candidate.params(SETTINGS[name], weight_sum)))
+    model = search.refitted(training, modeling.CANDIDATES[name], settings)
     training.unpersist()
     return model
 
 
 def fitted(spark: SparkSession, sf_dir: str, name: str) -> PipelineModel:
-    return _fitted(spark.sparkContext.applicationId, sf_dir, name)
+    return _fitted(spark.sparkContext.applicationId, sf_dir, name, spark.conf.get(JOURNAL_CONF, None))
 
 
 def held_out_scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -294,19 +314,14 @@ def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(frame, 10, *frame.columns)
 
 
-@lru_cache(maxsize=4)
-def _searched(app: str, sf_dir: str, name: str) -> modeling.Tuned:
-    training = modeling.training_matrix(split_features(SparkSession.active(), sf_dir, "train")).persist()
-    found = modeling.tune_model(training, modeling.CANDIDATES[name], n_iter=15, folds=5)
-    training.unpersist()
-    return found
+def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean score of every setting of the whole random search, and which of a model's settings is chosen."""
+    return search.report(journal(spark, sf_dir).scores())
 
 
-def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole random search of the linear model: 15 settings over 5 stratified folds."""
-    name = "logistic_regression"
-    found = _searched(spark.sparkContext.applicationId, sf_dir, name)
-    return found.report(split_features(spark, sf_dir, "train"), name)
+def search_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every setting on every fold."""
+    return journal(spark, sf_dir).scores()
 
 
 def row_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,6 +467,7 @@ QUERIES: dict[str, Query] = {
     "m09_boosted_trees": lambda s, d: plain(held_out_scores(s, d, "boosted_trees")),
     "m10_stratified_folds": lambda s, d: modeling.stratified_folds(customers(s, d)).select("customer_id", "churn", "fold"),
     "m10_tune_model": tuned,
+    "m10_search_journal": search_journal,
     "m11_roc_auc": _of(scores, evaluation.roc_auc),
     "m12_probabilities": lambda s, d: plain(model_recommendations(s, d)).select("customer_id", "churn_probability"),
     "m13_confusion": _of(scores, evaluation.confusion),
