@@ -2,7 +2,8 @@
 
 A global window would move every row into one task. Here rows are first reduced to
 counts per distinct value; only those counts are ordered, cell by cell, and the few
-rows that sit on a boundary are told apart by a uniform hash of their identifier.
+rows that sit on a boundary are told apart by a uniform hash of their identifier. Cells are cut at
+sampled values, so they hold about as many distinct values each, wherever these lie.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 
 # Leading hex digits of a tie key that name its block: 65,536 blocks of even size.
 BLOCK_DIGITS = 4
+# Values sampled to cut cells; a power of two less one, so that halving finds a cell.
+CUTS = 1023
 
 
 def tie_key(identifier: Column, seed: str = "") -> Column:
@@ -46,25 +49,48 @@ def _left(columns: Sequence[str]) -> list[Column]:
     return [F.col(f"l.{c}") for c in columns]
 
 
-def value_positions(df: DataFrame, value: str, by: Sequence[str] = (), width: float = 1) -> DataFrame:
-    """Per distinct value: its count ``n``, the rows ``start`` before it and the group's ``total``.
+def counted(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``n`` per distinct value of each group; the only step in which rows themselves are moved."""
+    return df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
-    The running count is taken over cells of ``width`` first and inside each cell second, so
-    no task orders more than the cells of a group or the distinct values of a cell.
+
+def with_cell(counts: DataFrame, value: str, cuts: int = CUTS) -> DataFrame:
+    """Add ``cell``, which never decreases with the value; NULL values have none.
+
+    Cells are cut at the values of the ``cuts`` rows with the smallest hash, an even sample of the distinct values of all
+    groups together. The same rows always give the same cells, however often and wherever they are computed. With fewer
+    distinct values every value is a cell.
+    """
+    # All columns and rows, also of unknown values, which the list leaves out: so the sample reads the very counts
+    # that are placed, and these are made once.
+    sample = counts.select(value, F.xxhash64(*counts.columns).alias("_hash")).orderBy("_hash", value).limit(cuts)
+    edges = sample.agg(F.array_sort(F.collect_list(value))).scalar()
+    steps = [1 << k for k in reversed(range(cuts.bit_length()))]
+
+    def further(at: Column, step: Column) -> Column:
+        """Past the next ``step`` edges, if the last of them is no larger than the value."""
+        return F.when(F.get(F.col("_edges"), at + step - 1) <= F.col(value), at + step).otherwise(at)
+
+    cell = F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), further)
+    placed = counts.withColumn("_edges", F.coalesce(edges, F.array().cast(counts.select(F.array(value)).schema[0].dataType)))
+    return placed.withColumn("cell", F.when(F.col(value).isNotNull(), cell)).drop("_edges")
+
+
+def rank_index(counts: DataFrame, value: str, by: Sequence[str] = (), cuts: int = CUTS) -> DataFrame:
+    """Per distinct value of ``counts``: ``n``, the rows ``start`` before it and the group's ``total``.
+
+    counts: a row for each group and value, with its number of rows ``n``. The running count is taken over cells
+    first and inside each cell second, so no task orders more than the cells of a group or the distinct values of a cell.
     """
     by = list(by)
-    counts = (
-        df.groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("cell", F.floor(F.col(value) / F.lit(width)))
-    )
+    placed = with_cell(counts, value, cuts)
     cells = (
-        counts.groupBy(*by, "cell")
+        placed.groupBy(*by, "cell")
         .agg(F.sum("n").alias("cell_n"))
         .withColumn("cell_start", _before(by, "cell", "cell_n"))
         .withColumn("total", F.sum("cell_n").over(Window.partitionBy(*by)))
     )
-    inside = counts.withColumn("inside", _before([*by, "cell"], value, "n"))
+    inside = placed.withColumn("inside", _before([*by, "cell"], value, "n"))
     return inside.alias("l").join(cells.alias("r"), _match([*by, "cell"])).select(
         *_left([*by, value]),
         "n",
@@ -73,11 +99,18 @@ def value_positions(df: DataFrame, value: str, by: Sequence[str] = (), width: fl
     )
 
 
-def quantiles(
-    df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = (), width: float = 1
-) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per named probability."""
-    positions = value_positions(df.where(F.col(value).isNotNull()), value, by, width)
+def value_positions(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """The rank index of the values of a column."""
+    return rank_index(counted(df, value, by), value, by)
+
+
+def quantiles_of(counts: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles of counted values with linear interpolation, one column per named probability.
+
+    Unknown values count as no rows; a group of nothing else has no row.
+    """
+    # Not a filter, which would be pushed below the counts and have them made once more.
+    positions = rank_index(counts.withColumn("n", F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)), value, by)
     number = F.col(value).cast("double")
 
     def at(rank: Column) -> Column:
@@ -93,7 +126,8 @@ def quantiles(
         ]
     return (
         positions.groupBy(*by)
-        .agg(*measures)
+        .agg(*measures, F.max("total").alias("_rows"))
+        .where(F.col("_rows") > 0 if by else F.lit(True))
         .select(
             *by,
             *[
@@ -107,6 +141,11 @@ def quantiles(
     )
 
 
+def quantiles(df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles of a column."""
+    return quantiles_of(counted(df, value, by), value, probabilities, by)
+
+
 def cut_keys(
     df: DataFrame, by: str, identifier: str, ranks: Sequence[tuple[object, int]], seed: str = ""
 ) -> dict[tuple[object, int], str]:
@@ -173,13 +212,11 @@ def tile_end(tile: Column, total: Column, tiles: int) -> Column:
     return tile * ((total - rest) / F.lit(tiles)).cast("bigint") + F.least(tile, rest)
 
 
-def tile_cuts(
-    df: DataFrame, tiles: int, value: str, identifier: str, width: float = 1
-) -> list[tuple[object, str]]:
+def tile_cuts(df: DataFrame, tiles: int, value: str, identifier: str) -> list[tuple[object, str]]:
     """The (value, tie key) of the last row of every tile but the final one."""
     keys = df.select(value, identifier)
     wanted = (
-        value_positions(keys, value, width=width)
+        value_positions(keys, value)
         .withColumn("cut", F.explode(F.sequence(F.lit(1), F.lit(tiles - 1))))
         .withColumn("rank", tile_end(F.col("cut"), F.col("total"), tiles) - F.col("start"))
         .where((F.col("rank") > 0) & (F.col("rank") <= F.col("n")))
@@ -192,9 +229,7 @@ def tile_cuts(
     return [(pair[0], found[pair]) for pair in ranks]
 
 
-def with_ntile(
-    df: DataFrame, tiles: int, value: str, identifier: str, output: str, width: float = 1
-) -> DataFrame:
+def with_ntile(df: DataFrame, tiles: int, value: str, identifier: str, output: str) -> DataFrame:
     """Add ``ntile(tiles)`` in the order of ``value``, ties in hash order of ``identifier``.
 
     Only the ``tiles - 1`` rows that end a tile are searched for; every row is then placed
@@ -202,7 +237,7 @@ def with_ntile(
     """
     order, tie = F.col(value), tie_key(F.col(identifier))
     tile = F.lit(1)
-    for last, last_tie in tile_cuts(df, tiles, value, identifier, width) if tiles > 1 else []:
+    for last, last_tie in tile_cuts(df, tiles, value, identifier) if tiles > 1 else []:
         end = F.lit(last)
         later = F.coalesce(order > end, order.isNull() & end.isNotNull())
         tile = tile + F.when(later | (order.eqNullSafe(end) & (tie > last_tie)), 1).otherwise(0)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayrate.functions.ranks import quantiles
+from stayrate.functions.ranks import counted, quantiles_of
 from stayrate.functions.rates import as_int, percent
 
 CORRELATED = [
@@ -84,11 +84,20 @@ def histogram(df: DataFrame, value: str, bins: int, by: str = "churn") -> DataFr
 
 
 def group_describe(df: DataFrame, value: str, by: str = "churn") -> DataFrame:
-    """Mean, median and sample standard deviation per group."""
-    number = F.col(value).cast("double")
-    moments = df.groupBy(by).agg(F.avg(number).alias("mean"), F.stddev_samp(number).alias("std"))
-    medians = quantiles(df, value, {"median": 0.5}, by=[by])
-    return moments.join(medians, by, "left").select(by, "mean", "median", "std").orderBy(by)
+    """Mean, median and sample standard deviation per group.
+
+    All three come from counts per distinct value, which are made once; the deviation is taken about the mean.
+    """
+    counts = counted(df, value, [by])
+    number, rows = F.col(value).cast("double"), F.sum(F.when(F.col(value).isNotNull(), F.col("n")))
+    means = counts.groupBy(by).agg((F.sum(number * F.col("n")) / rows).alias("mean"), rows.alias("rows"))
+    medians = quantiles_of(counts, value, {"median": 0.5}, by=[by])
+    # One mean a group.
+    apart = counts.alias("l").join(F.broadcast(means).alias("r"), F.col(f"l.{by}").eqNullSafe(F.col(f"r.{by}")))
+    squares = apart.groupBy(f"l.{by}", "mean", "rows").agg(F.sum(F.col("n") * F.pow(number - F.col("mean"), 2)).alias("squares"))
+    std = F.sqrt(F.when(F.col("rows") > 1, F.col("squares") / (F.col("rows") - 1)))
+    described = squares.alias("l").join(medians.alias("r"), F.col(f"l.{by}").eqNullSafe(F.col(f"r.{by}")), "left")
+    return described.select(f"l.{by}", "mean", "median", std.alias("std")).orderBy(by)
 
 
 def group_mean(df: DataFrame, value: str, by: str = "churn") -> DataFrame:
@@ -121,34 +130,38 @@ def churn_share(df: DataFrame, by: str) -> DataFrame:
 def boxplots(df: DataFrame, columns: Sequence[str] = BOXED, by: str = "churn") -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 quartile ranges) and outlier counts.
 
-    Rows are counted per distinct value once; all that follows works on those counts.
+    Rows are counted per distinct value once, which is the only exchange of rows; all that follows, the quartiles'
+    rank index too, works on those counts.
     """
-    long = df.select(by, *[F.col(c).cast("decimal(12,2)").alias(c) for c in columns]).unpivot(
-        [by], list(columns), "column_name", "value"
-    ).where("value IS NOT NULL")
-    counts = long.groupBy("column_name", by, "value").agg(F.count(F.lit(1)).alias("n"))
-    boxes = quantiles(long, "value", QUARTILES, by=["column_name", by])
+    known = df.where(F.col(by).isNotNull()).select(by, *[F.col(c).cast("decimal(12,2)").alias(c) for c in columns])
+    long = known.unpivot([by], list(columns), "column_name", "value").where("value IS NOT NULL")
+    counts = counted(long, "value", ["column_name", by])
+    boxes = quantiles_of(counts, "value", QUARTILES, by=["column_name", by])
     number = F.col("value").cast("double")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (number >= F.col("q1") - reach) & (number <= F.col("q3") + reach)
+    keys = ["column_name", by]
+    # Null-safe, so that no filter on keys is pushed below one use of the counts and not below the others.
+    same = F.col("l.column_name").eqNullSafe(F.col("r.column_name")) & F.col(f"l.{by}").eqNullSafe(F.col(f"r.{by}"))
     return (
         # One box per column and group, a handful of rows.
-        counts.join(F.broadcast(boxes), ["column_name", by])
-        .groupBy("column_name", by, *QUARTILES)
+        counts.alias("l")
+        .join(F.broadcast(boxes).alias("r"), same)
+        .select(*[F.col(f"l.{c}") for c in keys], *QUARTILES, "value", "n")
+        .groupBy(*keys, *QUARTILES)
         .agg(
             F.min(F.when(inside, number)).alias("low"),
             F.max(F.when(inside, number)).alias("high"),
             F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
         )
         .select(
-            "column_name",
-            by,
+            *keys,
             *QUARTILES,
             F.least("low", "q1").alias("whisker_low"),
             F.greatest("high", "q3").alias("whisker_high"),
             "outliers",
         )
-        .orderBy("column_name", by)
+        .orderBy(*keys)
     )
 
 

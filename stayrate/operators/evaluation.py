@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayrate.functions.ranks import with_cell
 from stayrate.functions.rates import ratio_or_zero
 
-# Scores are ordered in cells of 1/65,536, and those in parts of 1/65,536 of a cell.
-CELLS = 65536
-
 COUNTS = ["tn", "fp", "fn", "tp"]
 
 
@@ -61,20 +59,17 @@ def _fold(pieces: DataFrame, order: str, *by: str) -> DataFrame:
 def roc_auc(scored: DataFrame, label: str = "churn", score: str = "churn_probability") -> DataFrame:
     """Exact area under the ROC curve, ties counting half; NULL with one class only.
 
-    Rows are reduced to counts per distinct score. Those are ordered within parts, the
-    parts within cells and the cells at last, so no task orders all the scores.
+    Rows are reduced to counts per distinct score. Those are ordered within cells and the cells
+    at last, so no task orders all the scores. Cells are cut at sampled scores, so scores may lie as close to 0,
+    or to each other, as doubles can.
     """
     number = F.col(score)
     per_score = scored.groupBy(number.alias("score")).agg(
         F.count_if(F.col(label)).cast("decimal(19,0)").alias("pos"),
         F.count_if(~F.col(label)).cast("decimal(19,0)").alias("neg"),
     )
-    cell = F.floor(F.col("score") * CELLS)
-    part = F.floor((F.col("score") * CELLS - cell) * CELLS)
-    pieces = per_score.select(
-        cell.alias("cell"), part.alias("part"), "score", "pos", "neg", (F.col("pos") * F.col("neg")).alias("area")
-    )
-    whole = _fold(_fold(_fold(pieces, "score", "cell", "part"), "part", "cell"), "cell")
+    pieces = with_cell(per_score, "score").withColumn("area", F.col("pos") * F.col("neg"))
+    whole = _fold(_fold(pieces, "score", "cell"), "cell")
     pairs = (F.col("pos") * F.col("neg")).cast("double")
     return whole.select((F.col("area").cast("double") / F.nullif(2 * pairs, F.lit(0.0))).alias("roc_auc"))
 

@@ -135,3 +135,12 @@ def test_worklist_is_filtered_and_sorted(spark, scores):
 def test_slicers_narrow_the_breakdowns(spark, customers):
     rows = dashboard.churn_breakdowns(customers, {"gender": ["Male"]}).where("dimension = 'gender'").collect()
     assert [(r["value"], r["customers"]) for r in rows] == [("Male", customers.where("gender = 'Male'").count())]
+
+
+@pytest.mark.parametrize("scale", [1e-12, 1e-300, 1.0, 1e9])
+def test_auc_is_exact_at_any_scale_of_the_scores(spark, scale):
+    draw = np.random.default_rng(6)
+    scores = np.concatenate([draw.integers(1, 100, 400) * scale, [0.0, 5e-324, scale / 3]])
+    labels = draw.random(len(scores)) < 0.4
+    rows = spark.createDataFrame([(bool(y), float(s)) for y, s in zip(labels, scores, strict=True)], "churn boolean, churn_probability double")
+    assert evaluation.roc_auc(rows).first()["roc_auc"] == pytest.approx(_pairs(labels, scores), abs=1e-12)

@@ -26,6 +26,34 @@ def test_no_python_and_no_cross_join(spark, small_dir, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def _ran(frame):
+    """The operators of the plan as it ran, scalar subqueries included; what is reused is named once."""
+    frame.collect()
+    mode = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    kept, final = [], True
+    for line in frame._jdf.queryExecution().explainString(mode).split("\n"):
+        final = "Final Plan" in line or line.startswith("Subquery") or (final and "Initial Plan" not in line)
+        if final and (found := re.match(r"[\s:|+*-]*([A-Z][A-Za-z ]*?) +(?:parquet +)?\(\d+\)$", line)):
+            kept.append(found[1])
+    return kept
+
+
+@pytest.mark.parametrize(("name", "expands"), [("e03_describe_charges", 0), ("e07_boxplots", 1), ("f06_cut_points", 1)])
+def test_quantiles_move_rows_once(spark, small_dir, name, expands):
+    """Customers are scanned, unfolded and counted once; ranks, moments and whiskers come from the counts."""
+    from stayrate.operators import eda, features
+
+    rows = cleaning.fill_total_charges(derive_customers(spark, small_dir))
+    frame = {
+        "e03_describe_charges": lambda: eda.group_describe(rows, "monthly_charges"),
+        "e07_boxplots": lambda: eda.boxplots(rows),
+        "f06_cut_points": lambda: features.charge_points(rows),
+    }[name]()
+    ran = _ran(frame)
+    # Orders and customers.
+    assert ran.count("Scan") == 2 and ran.count("Expand") == expands
+
+
 def test_placing_rows_needs_no_shuffle(spark, small_dir):
     customers = derive_customers(spark, small_dir)
     before = _plan(customers).count("Exchange")

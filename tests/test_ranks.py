@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stayrate.functions.ranks import quantiles, tie_key, value_positions, with_ntile
+from stayrate.functions.ranks import counted, quantiles, rank_index, tie_key, value_positions, with_cell, with_ntile
 
 
 def _charges(spark, n=3000):
@@ -85,3 +85,32 @@ def test_quantiles_by_group(spark):
 def test_tie_key_is_md5_then_text(spark):
     key = spark.range(1).select(tie_key(F.lit("C1"), "42").alias("k")).first()["k"]
     assert key == hashlib.md5(b"42|C1").hexdigest() + "C1"
+
+
+def test_cells_follow_the_values_and_are_even(spark):
+    """Distinct values in [0, 1), a third of the rows on one of them, and values of other sizes beside them."""
+    values = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0.25)).when(F.col("id") % 7 == 0, F.col("id") * 1e6).otherwise(F.col("id") / 6e4).alias("v")
+    )
+    cells = with_cell(counted(values, "v"), "v")
+    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("cell").collect()
+    assert len(sizes) > 900 and max(r["n"] for r in sizes) < 40 * 40_000 / 1024
+    assert all(a["high"] < b["low"] for a, b in zip(sizes, sizes[1:]))
+    assert len([r for r in sizes if r["high"] < 1]) > 700
+
+
+def test_few_cells_many_groups_and_unknown_values(spark):
+    rows = [(g, v) for g in "abc" for v in (None, 1e-12, 2e-12, 3.0, 3.0, float("inf"), -5.5, float("nan"))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for row in rank_index(counted(df, "v", ["g"]), "v", ["g"], cuts=3).collect():
+        order = [-5.5, 1e-12, 2e-12, 3.0, 3.0, float("inf"), "nan", None]
+        place = order.index("nan" if row["v"] != row["v"] else row["v"])
+        assert (row["start"], row["total"]) == (place, 8)
+    none = spark.createDataFrame([(None,)], "v double")
+    assert [tuple(r) for r in value_positions(none, "v").collect()] == [(None, 1, 0, 1)]
+
+
+def test_cells_are_the_same_however_rows_lie(spark):
+    counts = counted(_charges(spark, 5000), "v")
+    one, two = with_cell(counts, "v", cuts=31), with_cell(counts.repartition(7, "n").orderBy("n"), "v", cuts=31)
+    assert one.exceptAll(two).count() == 0
