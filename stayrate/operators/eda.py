@@ -133,14 +133,15 @@ def boxplots(df: DataFrame, columns: Sequence[str] = BOXED, by: str = "churn") -
     Rows are counted per distinct value once, which is the only exchange of rows; all that follows, the quartiles'
     rank index too, works on those counts.
     """
-    known = df.where(F.col(by).isNotNull()).select(by, *[F.col(c).cast("decimal(12,2)").alias(c) for c in columns])
-    long = known.unpivot([by], list(columns), "column_name", "value").where("value IS NOT NULL")
-    counts = counted(long, "value", ["column_name", by])
-    boxes = quantiles_of(counts, "value", QUARTILES, by=["column_name", by])
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("decimal(12,2)").alias("value")) for c in columns]
+    # Unfolded by inline: what an unpivot passes through has other names in each use, so its counts would be made twice.
+    long = df.where(F.col(by).isNotNull()).select(by, F.inline(F.array(*cells)).alias("column_name", "value")).where("value IS NOT NULL")
+    keys = ["column_name", by]
+    counts = counted(long, "value", keys)
+    boxes = quantiles_of(counts, "value", QUARTILES, by=keys)
     number = F.col("value").cast("double")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (number >= F.col("q1") - reach) & (number <= F.col("q3") + reach)
-    keys = ["column_name", by]
     # Null-safe, so that no filter on keys is pushed below one use of the counts and not below the others.
     same = F.col("l.column_name").eqNullSafe(F.col("r.column_name")) & F.col(f"l.{by}").eqNullSafe(F.col(f"r.{by}"))
     return (
