@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayrate.functions.measures import charges, churn_rate, n_customers
 from stayrate.functions.rates import money, percent
 from stayrate.operators.eda import histogram
-from stayrate.operators.metrics import charges, churn_rate, churn_rate_long, n_customers
+from stayrate.operators.metrics import churn_rate_long
 from stayrate.schema import CUSTOMER_COLUMNS, RECOMMENDATION_COLUMNS
 
 SCORE_COLUMNS = [c for c in RECOMMENDATION_COLUMNS if c not in ("customer_id", "monthly_charges")]
@@ -44,9 +45,9 @@ def sliced_histogram(
 def kpi_cards(dashboard: DataFrame, threshold: float | Column) -> DataFrame:
     """Customers, churn rate, revenue, revenue at risk and customers at or above the threshold."""
     return dashboard.agg(
-        n_customers().alias("total_customers"),
-        churn_rate(),
-        money(charges()).alias("monthly_revenue"),
+        n_customers(dashboard).alias("total_customers"),
+        churn_rate(dashboard),
+        money(charges(dashboard)).alias("monthly_revenue"),
         _total("revenue_at_risk"),
         F.count_if(F.col("churn_probability") >= threshold).alias("high_risk_customers"),
     )
@@ -54,7 +55,7 @@ def kpi_cards(dashboard: DataFrame, threshold: float | Column) -> DataFrame:
 
 def contract_mix(dashboard: DataFrame) -> DataFrame:
     """Customers per contract type and their share of all."""
-    counts = dashboard.groupBy("contract_type").agg(n_customers().alias("customers"))
+    counts = dashboard.groupBy("contract_type").agg(n_customers(dashboard).alias("customers"))
     whole = counts.agg(F.sum("customers")).scalar()
     return counts.withColumn("share_pct", percent(F.col("customers"), whole)).orderBy(
         F.desc("customers"), "contract_type"
@@ -83,7 +84,7 @@ def worklist_totals(recommendations: DataFrame) -> DataFrame:
     """Customers flagged, their revenue at risk and the expected net benefit of offers to them."""
     flagged = F.col("recommended_action") != "No Action"
     return recommendations.where(flagged).agg(
-        n_customers().alias("flagged_customers"),
+        n_customers(recommendations).alias("flagged_customers"),
         _total("revenue_at_risk"),
         _total("expected_net_benefit"),
     )

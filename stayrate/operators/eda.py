@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 from math import pi, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stayrate.functions.measures import churned, known_of, n_customers, total_of
 from stayrate.functions.ranks import counted, quantiles_of
-from stayrate.functions.rates import as_int, percent
+from stayrate.functions.rates import percent
+from stayrate.operators.joint import correlation, moments
 
 CORRELATED = [
     "tenure_months",
@@ -29,7 +30,7 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 def churn_counts(df: DataFrame) -> DataFrame:
     """Customers per churn value with their share of all, most frequent first."""
-    counts = df.groupBy("churn").agg(F.count(F.lit(1)).alias("customers"))
+    counts = df.groupBy("churn").agg(n_customers(df).alias("customers"))
     whole = counts.agg(F.sum("customers")).scalar()
     return counts.withColumn("share_pct", percent(F.col("customers"), whole)).orderBy(F.desc("customers"))
 
@@ -58,9 +59,9 @@ def histogram(df: DataFrame, value: str, bins: int, by: str = "churn") -> DataFr
     counts = (
         df.where(F.col(value).isNotNull())
         .withColumn("_span", span)
-        .select(position.alias("bin"), by)
+        .withColumn("bin", position)
         .groupBy("bin", by)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(n_customers(df).alias("n"))
     )
     one = df.sparkSession.range(1).select(span.alias("_span"), F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     grid = one.select("_span", "bin", F.explode(F.array(F.lit(False), F.lit(True))).alias(by))
@@ -101,29 +102,28 @@ def group_describe(df: DataFrame, value: str, by: str = "churn") -> DataFrame:
 
 
 def group_mean(df: DataFrame, value: str, by: str = "churn") -> DataFrame:
-    return df.groupBy(by).agg(F.avg(F.col(value).cast("double")).alias("mean")).orderBy(by)
+    mean = total_of(df, value).cast("double") / F.nullif(known_of(df, value), F.lit(0))
+    return df.groupBy(by).agg(mean.alias("mean")).orderBy(by)
 
 
 def correlations(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
-    """Pearson correlation of every pair of columns, in long form; booleans count as 0 and 1."""
+    """Pearson correlation of every pair of columns, in long form; booleans count as 0 and 1.
 
-    def number(c: str) -> str:
-        x = f"CAST({c} AS INT)" if isinstance(df.schema[c].dataType, T.BooleanType) else c
-        return f"CAST({x} AS DOUBLE)"
+    A pair is taken over the rows in which both are known, from one matrix of moments.
+    """
+    found = moments(df, columns).withColumn("r", correlation())
 
-    def cell(a: str, b: str, r: str) -> str:
-        return f"named_struct('column_a', '{a}', 'column_b', '{b}', 'correlation', {r})"
+    def cell(a: Column, b: Column) -> Column:
+        return F.struct(a.alias("column_a"), b.alias("column_b"), F.col("r").alias("correlation"))
 
-    pairs = list(combinations(columns, 2))
-    row = df.selectExpr(*[f"corr({number(a)}, {number(b)}) AS `{a}|{b}`" for a, b in pairs])
-    cells = [cell(c, c, "1D") for c in columns]
-    cells += [cell(*order, f"`{a}|{b}`") for a, b in pairs for order in ((a, b), (b, a))]
-    return row.selectExpr(f"inline(array({', '.join(cells)}))")
+    one, other = F.col("column_a"), F.col("column_b")
+    own = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], "column_a string, column_b string, correlation double")
+    return found.select(F.inline(F.array(cell(one, other), cell(other, one)))).unionByName(own)
 
 
 def churn_share(df: DataFrame, by: str) -> DataFrame:
     """Unrounded churn percentage per category, highest first."""
-    share = F.avg(as_int(F.col("churn"))) * 100
+    share = churned(df) * 100.0 / n_customers(df)
     return df.groupBy(by).agg(share.alias("churn_pct")).orderBy(F.desc("churn_pct"))
 
 
@@ -174,10 +174,13 @@ def density(df: DataFrame, value: str = "monthly_charges", by: str = "churn", po
     """
     number = F.col(value).cast("double")
     known = df.where(F.col(value).isNotNull())
-    counts = known.groupBy(by, number.alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    counts = known.groupBy(by, number.alias("x")).agg(n_customers(df).alias("n"))
     span = counts.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high"))).scalar()
-    shape = known.groupBy(by).agg(
-        F.count(F.lit(1)).alias("size"), F.stddev_samp(number).alias("sd")
+    means = counts.groupBy(by).agg(F.sum("n").alias("size"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"))
+    # One mean a group.
+    squares = F.sum(F.col("n") * F.pow(F.col("x") - F.col("mean"), 2))
+    shape = counts.join(F.broadcast(means), by).groupBy(by, "size").agg(
+        F.sqrt(F.when(F.col("size") > 1, squares / (F.col("size") - 1))).alias("sd")
     ).withColumn("bandwidth", F.col("sd") * F.pow("size", F.lit(-0.2)))
     spread = (
         # One shape per group, two rows.

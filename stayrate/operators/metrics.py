@@ -2,7 +2,8 @@
 
 Every answer is one partial-and-final hash aggregate over a pruned scan. Questions that ask
 for several dimensions at once aggregate over all of them together first, which leaves a few
-hundred rows, and only those are unfolded into long form.
+hundred rows, and only those are unfolded into long form. A question can be put to customers or to their stored joint
+aggregate (`operators.joint`); only the spend quartiles need the customers.
 """
 
 from __future__ import annotations
@@ -12,8 +13,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayrate.functions.measures import (
+    avg_charges,
+    avg_tenure,
+    charges,
+    charges_where,
+    churn_rate,
+    churned,
+    n_customers,
+    revenue,
+)
 from stayrate.functions.ranks import with_ntile
-from stayrate.functions.rates import as_int, mean, money, percent
+from stayrate.functions.rates import money, percent
 from stayrate.schema import (
     ANNUAL_CONTRACTS,
     AUTOPAY_METHODS,
@@ -22,49 +33,22 @@ from stayrate.schema import (
     TENURE_TOP,
 )
 
-def n_customers() -> Column:
-    return F.count(F.lit(1))
-
-
-def churned() -> Column:
-    return F.sum(as_int(F.col("churn")))
-
-
-def charges() -> Column:
-    return F.sum("monthly_charges")
-
-
-def churn_rate() -> Column:
-    return percent(churned(), n_customers()).alias("churn_rate_pct")
-
-
-def revenue() -> Column:
-    return money(charges()).alias("total_monthly_revenue")
-
-
-def avg_charges() -> Column:
-    return mean(charges(), F.count("monthly_charges")).alias("avg_monthly_charges")
-
-
-def avg_tenure() -> Column:
-    return mean(F.sum("tenure_months"), F.count("tenure_months"), 1).alias("avg_tenure_months")
-
 
 def summarise(df: DataFrame, dims: Sequence[str | Column], *measures: Column, min_customers: int = 0) -> DataFrame:
     """Customers and further measures per group, for groups of at least ``min_customers``."""
-    result = df.groupBy(*dims).agg(n_customers().alias("customers"), *measures)
+    result = df.groupBy(*dims).agg(n_customers(df).alias("customers"), *measures)
     return result.where(F.col("customers") >= min_customers) if min_customers else result
 
 
 def churn_rate_by(df: DataFrame, *dims: str | Column, measures: Sequence[Column] = (), min_customers: int = 0) -> DataFrame:
     """Customers and churn rate per group, highest rate first."""
-    result = summarise(df, dims, *measures, churn_rate(), min_customers=min_customers)
+    result = summarise(df, dims, *measures, churn_rate(df), min_customers=min_customers)
     return result.orderBy(F.col("churn_rate_pct").desc_nulls_first())
 
 
 def churn_rate_long(df: DataFrame, columns: Sequence[str], name: str, value: str) -> DataFrame:
     """Churn rate per value of each of several low-cardinality columns, in long form, in one scan."""
-    counts = df.groupBy(*columns).agg(n_customers().alias("n"), churned().alias("churned"))
+    counts = df.groupBy(*columns).agg(n_customers(df).alias("n"), churned(df).alias("churned"))
     texts = counts.select(*[F.col(c).cast("string").alias(c) for c in columns], "n", "churned")
     return (
         texts.unpivot(["n", "churned"], list(columns), name, value)
@@ -79,7 +63,7 @@ def churn_rate_long(df: DataFrame, columns: Sequence[str], name: str, value: str
 
 def overall_churn(df: DataFrame) -> DataFrame:
     return df.agg(
-        n_customers().alias("total_customers"), churned().alias("churned_customers"), churn_rate()
+        n_customers(df).alias("total_customers"), churned(df).alias("churned_customers"), churn_rate(df)
     )
 
 
@@ -88,49 +72,46 @@ def churn_by_demographics(df: DataFrame) -> DataFrame:
 
 
 def tenure_by_churn(df: DataFrame) -> DataFrame:
-    return summarise(df, ["churn"], avg_tenure()).orderBy("churn")
+    return summarise(df, ["churn"], avg_tenure(df)).orderBy("churn")
 
 
 # --- revenue ---------------------------------------------------------------
 
 
 def revenue_totals(df: DataFrame) -> DataFrame:
-    return df.agg(revenue(), avg_charges())
+    return df.agg(revenue(df), avg_charges(df))
 
 
 def revenue_lost(df: DataFrame) -> DataFrame:
-    def charges_where(condition: Column) -> Column:
-        return F.sum(F.when(condition, F.col("monthly_charges")).otherwise(0))
-
-    gone, kept = charges_where(F.col("churn")), charges_where(~F.col("churn"))
+    gone, kept = charges_where(df, F.col("churn")), charges_where(df, ~F.col("churn"))
     return df.agg(
         money(gone).alias("churned_monthly_revenue"),
         money(kept).alias("retained_monthly_revenue"),
-        percent(gone, charges()).alias("pct_revenue_from_churned"),
+        percent(gone, charges(df)).alias("pct_revenue_from_churned"),
     )
 
 
 def revenue_by_contract(df: DataFrame) -> DataFrame:
-    return summarise(df, ["contract_type"], revenue(), avg_charges()).orderBy(F.desc("total_monthly_revenue"))
+    return summarise(df, ["contract_type"], revenue(df), avg_charges(df)).orderBy(F.desc("total_monthly_revenue"))
 
 
 # --- contract and payment --------------------------------------------------
 
 
 def churn_by_contract(df: DataFrame) -> DataFrame:
-    return churn_rate_by(df, "contract_type", measures=[churned().alias("churned")])
+    return churn_rate_by(df, "contract_type", measures=[churned(df).alias("churned")])
 
 
 def tenure_by_contract(df: DataFrame) -> DataFrame:
-    return df.groupBy("contract_type").agg(avg_tenure()).orderBy(F.desc("avg_tenure_months"))
+    return df.groupBy("contract_type").agg(avg_tenure(df)).orderBy(F.desc("avg_tenure_months"))
 
 
 def churn_by_payment(df: DataFrame) -> DataFrame:
-    return churn_rate_by(df, "payment_method", measures=[churned().alias("churned")])
+    return churn_rate_by(df, "payment_method", measures=[churned(df).alias("churned")])
 
 
 def churn_by_paperless(df: DataFrame) -> DataFrame:
-    return summarise(df, ["paperless_billing"], churn_rate())
+    return summarise(df, ["paperless_billing"], churn_rate(df))
 
 
 def risk_segment() -> Column:
@@ -151,7 +132,7 @@ def churn_by_risk_segment(df: DataFrame) -> DataFrame:
 
 
 def churn_by_internet(df: DataFrame) -> DataFrame:
-    return churn_rate_by(df, "internet_service", measures=[avg_charges()])
+    return churn_rate_by(df, "internet_service", measures=[avg_charges(df)])
 
 
 def churn_by_add_on(df: DataFrame) -> DataFrame:
@@ -174,7 +155,7 @@ def tenure_bucket() -> Column:
 
 def churn_by_tenure_bucket(df: DataFrame) -> DataFrame:
     rows = summarise(
-        df, [tenure_bucket().alias("tenure_bucket")], churn_rate(), F.min("tenure_months").alias("_from")
+        df, [tenure_bucket().alias("tenure_bucket")], churn_rate(df), F.min("tenure_months").alias("_from")
     )
     return rows.orderBy(F.col("_from").asc_nulls_last()).drop("_from")
 
@@ -186,12 +167,13 @@ def spend_quartiles(df: DataFrame) -> DataFrame:
 
 
 def churn_by_spend_quartile(df: DataFrame) -> DataFrame:
+    rows = spend_quartiles(df)
     return summarise(
-        spend_quartiles(df),
+        rows,
         ["spend_quartile"],
         money(F.min("monthly_charges")).alias("min_monthly_charges"),
         money(F.max("monthly_charges")).alias("max_monthly_charges"),
-        churn_rate(),
+        churn_rate(rows),
     ).orderBy("spend_quartile")
 
 

@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayrate.functions.ranks import rank_index
 from stayrate.operators import decision, evaluation, modeling
 from stayrate.plans import registry
 from stayrate.plans.oracle import TESTED, query
@@ -56,16 +57,17 @@ def comparison_adds_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in modeling.CANDIDATES:
         scored = registry.held_out_scores(spark, sf_dir, name)
         row = evaluation.evaluate_model(name, scored)
-        # Twice the pairs in which the churner has the higher score, once those with equal scores.
-        one = scored.where("churn").groupBy(F.col("churn_probability").alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        other = scored.where("NOT churn").groupBy(F.col("churn_probability").alias("q")).agg(F.count(F.lit(1)).alias("m"))
-        won = F.when(F.col("p") > F.col("q"), 2).when(F.col("p") == F.col("q"), 1).otherwise(0)
-        area = one.join(F.broadcast(other)).agg((F.sum(F.col("n") * F.col("m") * won) / (2 * F.sum(F.col("n") * F.col("m")))).alias("area"))
+        # Ranks, with the mean rank for equal scores: the churners' rank sum less its least value counts the pairs they win.
+        per_score = scored.groupBy("churn_probability").agg(F.count(F.lit(1)).alias("n"), F.count_if("churn").alias("ones"))
+        ranked = rank_index(per_score, "churn_probability").join(per_score.drop("n"), "churn_probability")
+        ones, rank = F.sum("ones"), F.col("start") + (F.col("n") + 1) / 2
+        won = F.sum(F.col("ones") * rank) - ones * (ones + 1) / 2
+        area = ranked.agg((won / (ones * (F.sum("n") - ones))).alias("area"))
         close = lambda a, b: F.abs(a - b) < 1e-9
         tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
         zero = F.lit(0.0)
         parts.append(
-            row.crossJoin(area).select(
+            row.withColumn("area", area.scalar()).select(
                 "model",
                 (tn + fp).alias("kept"),
                 (fn + tp).alias("churned"),

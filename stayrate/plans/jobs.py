@@ -24,6 +24,7 @@ from stayrate.operators import (
     eda,
     evaluation,
     features,
+    joint,
     metrics,
     modeling,
     quality,
@@ -166,42 +167,55 @@ def decide(spark: SparkSession, settings: Settings) -> None:
     store.write_dataset(decision.action_counts(rows), settings.path("action_counts"))
 
 
+#: Questions whose answers are sums and counts over categories and tenure.
+ROLLED_UP = [
+    metrics.overall_churn,
+    metrics.churn_by_demographics,
+    metrics.tenure_by_churn,
+    metrics.revenue_totals,
+    metrics.revenue_lost,
+    metrics.revenue_by_contract,
+    metrics.churn_by_contract,
+    metrics.tenure_by_contract,
+    metrics.churn_by_payment,
+    metrics.churn_by_paperless,
+    metrics.churn_by_risk_segment,
+    metrics.churn_by_internet,
+    metrics.churn_by_add_on,
+    metrics.churn_by_tenure_bucket,
+    metrics.churn_matrix,
+    eda.churn_counts,
+]
+#: Questions that need each customer's amounts.
+BY_CUSTOMER = [metrics.churn_by_spend_quartile, eda.correlations, eda.boxplots]
+AMOUNTS = ["customer_id", *eda.CORRELATED]
+
+
 def report(spark: SparkSession, settings: Settings) -> None:
-    """Business answers, chart numbers and dashboard datasets."""
+    """Business answers, chart numbers and dashboard datasets.
+
+    The cleaned customers are read three times: for the joint aggregate, for the narrow table of amounts, and for the
+    dashboard's own rows. Answers are rolled up from the first or computed on the second.
+    """
     customers = _read(spark, settings, "customers_clean")
     recommendations = _read(spark, settings, "recommendations")
     best = decision.best_threshold(_read(spark, settings, "threshold_sweep")).first()["threshold"]
+    store.write_dataset(joint.joint_aggregate(customers), settings.path("joint_aggregate"))
+    store.write_dataset(customers.select(*AMOUNTS), settings.path("amounts"))
+    cells, amounts = _read(spark, settings, "joint_aggregate"), _read(spark, settings, "amounts")
+    store.write_dataset(joint.counted_customers(amounts, ["churn", "monthly_charges"]), settings.path("charge_counts"))
+    charge_counts = _read(spark, settings, "charge_counts")
     pages = {
         "dashboard/customers": dashboard.customer_dashboard(customers, recommendations),
-        "dashboard/contract_mix": dashboard.contract_mix(customers),
-        "dashboard/breakdowns": dashboard.churn_breakdowns(customers),
+        "dashboard/contract_mix": dashboard.contract_mix(cells),
+        "dashboard/breakdowns": dashboard.churn_breakdowns(cells),
         "dashboard/worklist_totals": dashboard.worklist_totals(recommendations),
     }
-    answers = [
-        metrics.overall_churn,
-        metrics.churn_by_demographics,
-        metrics.tenure_by_churn,
-        metrics.revenue_totals,
-        metrics.revenue_lost,
-        metrics.revenue_by_contract,
-        metrics.churn_by_contract,
-        metrics.tenure_by_contract,
-        metrics.churn_by_payment,
-        metrics.churn_by_paperless,
-        metrics.churn_by_risk_segment,
-        metrics.churn_by_internet,
-        metrics.churn_by_add_on,
-        metrics.churn_by_tenure_bucket,
-        metrics.churn_by_spend_quartile,
-        metrics.churn_matrix,
-        eda.churn_counts,
-        eda.correlations,
-        eda.boxplots,
-        eda.density,
-    ]
-    pages |= {f"answers/{answer.__name__}": answer(customers) for answer in answers}
-    pages["answers/charge_histogram"] = eda.histogram(customers, "monthly_charges", 40)
-    pages["answers/tenure_histogram"] = eda.histogram(customers, "tenure_months", 36)
+    pages |= {f"answers/{answer.__name__}": answer(cells) for answer in ROLLED_UP}
+    pages |= {f"answers/{answer.__name__}": answer(amounts) for answer in BY_CUSTOMER}
+    pages["answers/density"] = eda.density(charge_counts)
+    pages["answers/charge_histogram"] = eda.histogram(charge_counts, "monthly_charges", 40)
+    pages["answers/tenure_histogram"] = eda.histogram(cells, "tenure_months", 36)
     for name, page in pages.items():
         store.write_dataset(page, settings.path(name))
     cards = dashboard.kpi_cards(_read(spark, settings, "dashboard/customers"), best)

@@ -7,6 +7,7 @@ rounding exactly; unrounded measures are rounded to a stated number of digits on
 from __future__ import annotations
 
 from stayrate.operators.eda import BOXED, CORRELATED
+from stayrate.operators.joint import DIMENSIONS
 from stayrate.schema import (
     BOOLEAN_FEATURES,
     CATEGORICAL_FEATURES,
@@ -468,6 +469,10 @@ FROM (SELECT {CENTS} AS whole, sum(CASE WHEN churn THEN CAST(monthly_charges * 1
 FROM (SELECT *, ntile(4) OVER (ORDER BY monthly_charges, {TIE}) AS spend_quartile FROM customers) GROUP BY spend_quartile"""
     ),
     "q16_churn_matrix": query(by("contract_type, payment_method", N, RATE, tail="HAVING count(*) >= 20")),
+    "q00_joint_aggregate": query(
+        f"""SELECT {", ".join(DIMENSIONS)}, count(*) AS customers, count(monthly_charges) AS charged_customers,
+  CAST(sum(monthly_charges) AS DOUBLE) AS charges FROM customers GROUP BY ALL"""
+    ),
     "j01_left_join": query(f"SELECT {doubles(CUSTOMER_COLUMNS)}, recommended_action FROM dashboard", "dashboard"),
     "w01_ntile": query(
         f"""SELECT customer_id, CAST(monthly_charges AS DOUBLE) AS monthly_charges, churn,

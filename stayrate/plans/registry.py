@@ -22,6 +22,7 @@ from stayrate.operators import (
     eda,
     evaluation,
     features,
+    joint,
     metrics,
     modeling,
     quality,
@@ -273,6 +274,11 @@ def churn_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), 6, "churn_pct")
 
 
+def joint_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = joint.joint_aggregate(customers(spark, sf_dir))
+    return cells.withColumnsRenamed({"_customers": "customers", "_charged": "charged_customers", "_charges": "charges"})
+
+
 def union_of_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = customers(spark, sf_dir)
 
@@ -425,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "q14_churn_by_tenure_bucket": _of(customers, metrics.churn_by_tenure_bucket),
     "q15_churn_by_spend_quartile": _of(customers, metrics.churn_by_spend_quartile),
     "q16_churn_matrix": _of(customers, metrics.churn_matrix),
+    "q00_joint_aggregate": lambda s, d: plain(joint_cells(s, d)),
     # join, window, sort, set operators
     "j01_left_join": _on(dashboarded, *CUSTOMER_COLUMNS, "recommended_action"),
     "w01_ntile": _of(customers, metrics.spend_quartiles),

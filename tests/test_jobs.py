@@ -9,7 +9,15 @@ from stayrate.sources import raw_csv, store
 from stayrate.sources.derived import derive_raw
 
 
-def test_job_end_to_end(spark, sf_dir, tmp_path):
+def _reads(frame, name):
+    """How often a plan reads a dataset."""
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    files = [x for x in map(leaves.apply, range(leaves.size())) if x.getClass().getSimpleName() == "LogicalRelation"]
+    paths = [x.relation().location().rootPaths().mkString(",") for x in files]
+    return sum(path.endswith(f"/{name}") for path in paths)
+
+
+def test_job_end_to_end(spark, sf_dir, tmp_path, monkeypatch):
     raw_csv.write_csv(derive_raw(spark, sf_dir).drop("seq"), str(tmp_path / "raw"))
     settings = jobs.Settings(
         work=str(tmp_path / "work"),
@@ -36,6 +44,11 @@ def test_job_end_to_end(spark, sf_dir, tmp_path):
     assert rows("top_risk").count() == 20
     assert rows("dashboard/customers").count() == rows("customers_clean").count()
     assert rows("answers/churn_by_contract").count() == 3
+    # The report reads the cleaned customers three times, however many answers it gives.
+    read, write = [], store.write_dataset
+    monkeypatch.setattr(store, "write_dataset", lambda df, path: (read.append(_reads(df, "customers_clean")), write(df, path)))
+    jobs.report(spark, settings)
+    assert len(read) > 25 and sum(read) == 3
     spark.sql("DROP TABLE job_customers")
     spark.sql("DROP TABLE job_recommendations")
 
