@@ -44,7 +44,10 @@ class Settings:
     work: str
     raw: str | None = None
     table: str = "customers"
+    clean_table: str = "customers_clean"
     recommendations_table: str = "retention_recommendations"
+    # Both tables are stored in so many buckets by customer_id, which the dashboard joins without a shuffle.
+    buckets: int = 16
     strict: bool = True
     fit_on: str = "train"
     exact_quantiles: bool = True
@@ -96,12 +99,12 @@ def validate(spark: SparkSession, settings: Settings) -> None:
 
 def clean(spark: SparkSession, settings: Settings) -> None:
     cleaned = cleaning.clean(spark.table(settings.table)).select(*CUSTOMER_COLUMNS)
-    store.write_dataset(cleaned, settings.path("customers_clean"))
+    store.replace_table(cleaned, settings.clean_table, settings.path("customers_clean"), buckets=settings.buckets)
 
 
 def engineer(spark: SparkSession, settings: Settings) -> None:
     """Split, cut points from the training rows (or from all), features."""
-    split = modeling.stratified_split(_read(spark, settings, "customers_clean"))
+    split = modeling.stratified_split(spark.table(settings.clean_table))
     fit_rows = split.where("split = 'train'") if settings.fit_on == "train" else split
     cuts = features.fit_features(fit_rows, settings.exact_quantiles)
     store.write_dataset(cuts.to_frame(spark), settings.path("feature_cuts"))
@@ -162,7 +165,9 @@ def decide(spark: SparkSession, settings: Settings) -> None:
     predictions = modeling.predict(model, modeling.build_feature_matrix(active))
     store.write_dataset(decision.recommend(predictions, best), settings.path("recommendations"))
     rows = _read(spark, settings, "recommendations")
-    store.replace_recommendations(rows, settings.recommendations_table, settings.path("recommendations_table"))
+    store.replace_recommendations(
+        rows, settings.recommendations_table, settings.path("recommendations_table"), settings.buckets
+    )
     store.write_dataset(decision.top_risk(rows), settings.path("top_risk"))
     store.write_dataset(decision.action_counts(rows), settings.path("action_counts"))
 
@@ -197,8 +202,8 @@ def report(spark: SparkSession, settings: Settings) -> None:
     The cleaned customers are read three times: for the joint aggregate, for the narrow table of amounts, and for the
     dashboard's own rows. Answers are rolled up from the first or computed on the second.
     """
-    customers = _read(spark, settings, "customers_clean")
-    recommendations = _read(spark, settings, "recommendations")
+    customers = spark.table(settings.clean_table)
+    recommendations = spark.table(settings.recommendations_table)
     best = decision.best_threshold(_read(spark, settings, "threshold_sweep")).first()["threshold"]
     store.write_dataset(joint.joint_aggregate(customers), settings.path("joint_aggregate"))
     store.write_dataset(customers.select(*AMOUNTS), settings.path("amounts"))
@@ -240,6 +245,7 @@ def main() -> None:
     parser.add_argument("--approximate-quantiles", action="store_true")
     parser.add_argument("--n-iter", type=int, default=15)
     parser.add_argument("--folds", type=int, default=5)
+    parser.add_argument("--buckets", type=int, default=16, help="buckets of the customers and recommendations tables")
     parser.add_argument("--model", choices=list(modeling.CANDIDATES), help="decide with this model")
     args = parser.parse_args()
     settings = Settings(
@@ -250,6 +256,7 @@ def main() -> None:
         exact_quantiles=not args.approximate_quantiles,
         n_iter=args.n_iter,
         folds=args.folds,
+        buckets=args.buckets,
         chosen_model=args.model,
     )
     run(build_session(), settings, args.stages)

@@ -474,6 +474,7 @@ FROM (SELECT *, ntile(4) OVER (ORDER BY monthly_charges, {TIE}) AS spend_quartil
   CAST(sum(monthly_charges) AS DOUBLE) AS charges FROM customers GROUP BY ALL"""
     ),
     "j01_left_join": query(f"SELECT {doubles(CUSTOMER_COLUMNS)}, recommended_action FROM dashboard", "dashboard"),
+    "j01_bucketed_join": query(f"SELECT {doubles(CUSTOMER_COLUMNS)}, recommended_action FROM dashboard", "dashboard"),
     "w01_ntile": query(
         f"""SELECT customer_id, CAST(monthly_charges AS DOUBLE) AS monthly_charges, churn,
   CAST(ntile(4) OVER (ORDER BY monthly_charges, {TIE}) AS INT) AS spend_quartile FROM customers"""

@@ -218,6 +218,14 @@ def recommendations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and recommendations stored in the same buckets and joined there, without moving a row."""
+    names = [f"{kind}_{uuid.uuid4().hex[:8]}" for kind in ("customers", "recommendations")]
+    store.replace_table(customers(spark, sf_dir).select(*CUSTOMER_COLUMNS), names[0], scratch(spark), buckets=8)
+    store.replace_recommendations(recommended(spark, sf_dir), names[1], scratch(spark), buckets=8)
+    return dashboard.customer_dashboard(spark.table(names[0]), spark.table(names[1]))
+
+
 def features_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark)
     raw_csv.write_csv(featured(spark, sf_dir), path)
@@ -434,6 +442,7 @@ QUERIES: dict[str, Query] = {
     "q00_joint_aggregate": lambda s, d: plain(joint_cells(s, d)),
     # join, window, sort, set operators
     "j01_left_join": _on(dashboarded, *CUSTOMER_COLUMNS, "recommended_action"),
+    "j01_bucketed_join": _on(bucketed_join, *CUSTOMER_COLUMNS, "recommended_action"),
     "w01_ntile": _of(customers, metrics.spend_quartiles),
     "t01_order_by": lambda s, d: metrics.summarise(customers(s, d), ["internet_service"]).orderBy(F.desc("customers")),
     "t02_top_k": lambda s, d: decision.top_risk(scores(s, d)).select("customer_id", "churn_probability"),

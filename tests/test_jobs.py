@@ -9,12 +9,11 @@ from stayrate.sources import raw_csv, store
 from stayrate.sources.derived import derive_raw
 
 
-def _reads(frame, name):
-    """How often a plan reads a dataset."""
+def _reads(frame, table):
+    """How often a plan reads a table."""
     leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
     files = [x for x in map(leaves.apply, range(leaves.size())) if x.getClass().getSimpleName() == "LogicalRelation"]
-    paths = [x.relation().location().rootPaths().mkString(",") for x in files]
-    return sum(path.endswith(f"/{name}") for path in paths)
+    return sum(x.catalogTable().isDefined() and x.catalogTable().get().identifier().table() == table for x in files)
 
 
 def test_job_end_to_end(spark, sf_dir, tmp_path, monkeypatch):
@@ -23,7 +22,9 @@ def test_job_end_to_end(spark, sf_dir, tmp_path, monkeypatch):
         work=str(tmp_path / "work"),
         raw=str(tmp_path / "raw"),
         table="job_customers",
+        clean_table="job_customers_clean",
         recommendations_table="job_recommendations",
+        buckets=4,
         strict=False,
         models=("logistic_regression", "boosted_trees"),
         n_iter=1,
@@ -35,22 +36,23 @@ def test_job_end_to_end(spark, sf_dir, tmp_path, monkeypatch):
     def rows(name):
         return store.read_dataset(spark, settings.path(name))
 
+    cleaned = spark.table("job_customers_clean")
     loaded, bad = rows("customers_loaded").count(), rows("customers_quarantined").count()
-    assert loaded == rows("customers_clean").count() + bad and bad > 0
+    assert loaded == cleaned.count() + bad and bad > 0
     assert {r["model"] for r in rows("model_comparison").collect()} == set(settings.models)
     assert rows("threshold_sweep").count() == 91
-    active = rows("customers_clean").where("NOT churn").count()
+    active = cleaned.where("NOT churn").count()
     assert rows("recommendations").count() == active == spark.table("job_recommendations").count()
     assert rows("top_risk").count() == 20
-    assert rows("dashboard/customers").count() == rows("customers_clean").count()
+    assert rows("dashboard/customers").count() == cleaned.count()
     assert rows("answers/churn_by_contract").count() == 3
     # The report reads the cleaned customers three times, however many answers it gives.
     read, write = [], store.write_dataset
-    monkeypatch.setattr(store, "write_dataset", lambda df, path: (read.append(_reads(df, "customers_clean")), write(df, path)))
+    monkeypatch.setattr(store, "write_dataset", lambda df, path: (read.append(_reads(df, "job_customers_clean")), write(df, path)))
     jobs.report(spark, settings)
     assert len(read) > 25 and sum(read) == 3
-    spark.sql("DROP TABLE job_customers")
-    spark.sql("DROP TABLE job_recommendations")
+    for table in ("job_customers", "job_customers_clean", "job_recommendations"):
+        spark.sql(f"DROP TABLE {table}")
 
 
 def test_strict_ingest_stops_on_bad_rows(spark, small_dir, tmp_path):

@@ -81,3 +81,15 @@ def test_scans_are_pruned(spark, small_dir):
 def test_long_form_reads_its_input_once(spark, small_dir):
     for name in ("q02_churn_by_demographics", "q13_churn_by_add_on", "r03_threshold_sweep"):
         assert _plan(QUERIES[name](spark, small_dir)).count("FileScan") == 2  # orders and customer
+
+
+def test_tables_in_the_same_buckets_join_where_they_are(spark, small_dir):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        plan = _plan(QUERIES["j01_bucketed_join"](spark, small_dir))
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert plan.count("Bucketed: true") == 2
+    finally:
+        spark.conf.set(threshold, before)
