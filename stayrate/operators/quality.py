@@ -12,14 +12,12 @@ from stayrate.schema import (
     MAX_LENGTHS,
     NON_NEGATIVE_COLUMNS,
     NUMBER_COLUMNS,
+    NUMBER_TYPES,
     REQUIRED_COLUMNS,
     TEXT_COLUMNS,
 )
 
 # What a number column of the raw text must parse as.
-NUMBER_TYPES = {"tenure_months": "int", "monthly_charges": "decimal(8,2)", "total_charges": "decimal(10,2)"}
-
-
 def _finding(df: DataFrame, check: str, column: Column, value: Column, n: Column, bad: Column) -> DataFrame:
     return df.select(
         F.lit(check).alias("check_name"),
@@ -85,14 +83,20 @@ def check_categorical_values(df: DataFrame) -> DataFrame:
     return _finding(joined, "categories", F.col("column_name"), F.col("value"), F.col("n"), F.col("n") > 0)
 
 
-def check_dtypes(raw: DataFrame) -> DataFrame:
-    """Per number column of the raw text: non-blank cells that are not numbers."""
+def check_dtypes(rows: DataFrame) -> DataFrame:
+    """Per number column: non-blank cells of the raw text that are not numbers.
+
+    Rows are raw texts, or loaded rows whose column `unreadable` says which of their texts were lost.
+    """
+    flagged = "unreadable" in rows.columns
 
     def unreadable(column: str) -> str:
+        if flagged:
+            return f"array_contains(unreadable, '{column}')"
         text = f"trim(CAST({column} AS STRING))"
         return f"{text} != '' AND try_cast({text} AS {NUMBER_TYPES[column]}) IS NULL"
 
-    found = _counts(raw, {c: unreadable(c) for c in NUMBER_COLUMNS})
+    found = _counts(rows, {c: unreadable(c) for c in NUMBER_COLUMNS})
     return _finding(found, "numeric_type", F.col("column_name"), F.lit(None), F.col("n"), F.col("n") > 0)
 
 

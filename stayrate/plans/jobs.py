@@ -49,6 +49,8 @@ class Settings:
     # Both tables are stored in so many buckets by customer_id, which the dashboard joins without a shuffle.
     buckets: int = 16
     strict: bool = True
+    # Cells may hold line breaks; a file is then one task.
+    multi_line: bool = True
     fit_on: str = "train"
     exact_quantiles: bool = True
     n_iter: int = 15
@@ -70,11 +72,15 @@ def ingest(spark: SparkSession, settings: Settings) -> None:
     """Type the raw rows and replace the customers table; bad rows stop it or go to quarantine."""
     if settings.raw is None:
         raise ValueError("ingest needs the path of the raw CSV")
-    raw = raw_csv.read_raw_csv(spark, settings.raw)
-    store.write_dataset(quality.check_dtypes(raw_csv.rename_columns(raw)), settings.path("type_report"))
-    # One materialised copy: the file-position order of rows is fixed here for all later stages.
-    store.write_dataset(raw_csv.load_and_coerce(raw), settings.path("customers_loaded"))
-    rows = _read(spark, settings, "customers_loaded")
+    # One materialised copy: the file-position order of rows is fixed here for all later stages, and the CSV is read once.
+    records = raw_csv.read_raw_records(spark, settings.raw, settings.multi_line)
+    store.write_dataset(raw_csv.load_and_flag(records), settings.path("customers_loaded"))
+    loaded = _read(spark, settings, "customers_loaded")
+    store.write_dataset(quality.check_dtypes(loaded), settings.path("type_report"))
+    store.write_dataset(raw_csv.quarantined_records(loaded), settings.path("malformed_records"))
+    if settings.strict and (n := _read(spark, settings, "malformed_records").count()):
+        raise store.RejectedLoad(f"{n} record(s) don't fit the header, see {settings.path('malformed_records')}")
+    rows = loaded.where("malformed IS NULL").drop("malformed", "unreadable")
     if not settings.strict:
         store.write_dataset(quality.with_violations(rows), settings.path("customers_checked"))
         checked = _read(spark, settings, "customers_checked")
@@ -245,6 +251,7 @@ def main() -> None:
     parser.add_argument("--approximate-quantiles", action="store_true")
     parser.add_argument("--n-iter", type=int, default=15)
     parser.add_argument("--folds", type=int, default=5)
+    parser.add_argument("--one-line-records", action="store_true", help="no line breaks in cells: files can be cut")
     parser.add_argument("--buckets", type=int, default=16, help="buckets of the customers and recommendations tables")
     parser.add_argument("--model", choices=list(modeling.CANDIDATES), help="decide with this model")
     args = parser.parse_args()
@@ -257,6 +264,7 @@ def main() -> None:
         n_iter=args.n_iter,
         folds=args.folds,
         buckets=args.buckets,
+        multi_line=not args.one_line_records,
         chosen_model=args.model,
     )
     run(build_session(), settings, args.stages)

@@ -321,6 +321,14 @@ ADD_ON_PARTS = PROTECTIVE_ADD_ONS
 ORACLE: dict[str, str] = {
     # sources
     "s01_csv_scan": query(f"SELECT {doubles(CUSTOMER_COLUMNS)} FROM loaded", "loaded"),
+    "s01_line_breaks": query(
+        "SELECT "
+        + doubles(CUSTOMER_COLUMNS).replace(
+            "contract_type", "CASE WHEN seq % 10 = 4 THEN contract_type || chr(10) || ', \"two\" lines' ELSE contract_type END AS contract_type"
+        )
+        + " FROM loaded",
+        "loaded",
+    ),
     "s02_rename": query(
         "SELECT seq, " + ", ".join(f"{raw} AS {name}" for raw, name in COLUMN_MAP.items()) + " FROM raw", "raw"
     ),

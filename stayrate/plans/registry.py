@@ -194,6 +194,23 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_csv.load_and_coerce(raw_csv.read_raw_csv(spark, path)).drop("seq")
 
 
+#: What is planted in a cell: a line break, quotes and a separator.
+BROKEN = '\n, "two" lines'
+
+
+def line_break_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export in which every tenth contract holds a line break, quotes and a comma, read back whole."""
+    path = scratch(spark)
+    odd = F.when(F.col("seq") % 10 == 4, F.concat("Contract", F.lit(BROKEN))).otherwise(F.col("Contract"))
+    raw_csv.write_csv(derive_raw(spark, sf_dir).withColumn("Contract", odd).drop("seq"), path)
+    return raw_csv.load_and_coerce(raw_csv.read_raw_csv(spark, path)).drop("seq")
+
+
+def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded rows that say which of their numbers could not be read."""
+    return raw_csv.load_and_flag(derive_raw(spark, sf_dir))
+
+
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers loaded twice into a table, and read through it."""
     table, base = f"customers_{uuid.uuid4().hex[:8]}", scratch(spark)
@@ -364,6 +381,7 @@ def _on(relation: Query, *columns) -> Query:
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "s01_csv_scan": lambda s, d: plain(csv_scan(s, d)),
+    "s01_line_breaks": lambda s, d: plain(line_break_scan(s, d)),
     "s02_rename": lambda s, d: raw_csv.rename_columns(derive_raw(s, d)),
     "s03_type_coercion": _on(loaded, "seq", *CUSTOMER_COLUMNS),
     "s04_full_refresh": lambda s, d: plain(full_refresh(s, d)),
@@ -378,7 +396,7 @@ QUERIES: dict[str, Query] = {
     "v02_duplicate_ids": _of(loaded, quality.check_duplicate_ids),
     "v03_blank_total_charges": _of(loaded, quality.check_blank_total_charges),
     "v04_categorical_values": _of(loaded, quality.check_categorical_values),
-    "v05_dtypes": lambda s, d: quality.check_dtypes(raw_csv.rename_columns(derive_raw(s, d))),
+    "v05_dtypes": _of(flagged, quality.check_dtypes),
     "v06_constraints": _of(loaded, quality.constraint_report),
     "v06_quarantine": quarantine,
     # cleaning

@@ -92,7 +92,8 @@ REQUIRED_COLUMNS = [
     "churn",
 ]
 NON_NEGATIVE_COLUMNS = ["tenure_months", "monthly_charges", "total_charges"]
-NUMBER_COLUMNS = ["tenure_months", "monthly_charges", "total_charges"]
+NUMBER_TYPES = {"tenure_months": "int", "monthly_charges": "decimal(8,2)", "total_charges": "decimal(10,2)"}
+NUMBER_COLUMNS = list(NUMBER_TYPES)
 
 # Add-on services counted by service_count, and the four whose churn effect is reported.
 SERVICE_ADD_ONS = [

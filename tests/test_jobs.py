@@ -55,6 +55,21 @@ def test_job_end_to_end(spark, sf_dir, tmp_path, monkeypatch):
         spark.sql(f"DROP TABLE {table}")
 
 
+def test_malformed_records_go_to_quarantine_or_stop_a_strict_ingest(spark, small_dir, tmp_path):
+    raw_csv.write_csv(derive_raw(spark, small_dir).drop("seq").coalesce(1), str(tmp_path / "raw"))
+    (part,) = (tmp_path / "raw").glob("part-*.csv")
+    (tmp_path / "raw" / f".{part.name}.crc").unlink()
+    part.write_text(part.read_text() + "short,record\n")
+    settings = jobs.Settings(work=str(tmp_path / "work"), raw=str(tmp_path / "raw"), table="malformed_customers", strict=False)
+    jobs.ingest(spark, settings)
+    (bad,) = store.read_dataset(spark, settings.path("malformed_records")).collect()
+    assert bad["record"] == "short,record" and bad["file"].endswith(part.name)
+    assert spark.table("malformed_customers").where("customer_id = 'short'").count() == 0
+    spark.sql("DROP TABLE malformed_customers")
+    with pytest.raises(store.RejectedLoad, match="1 record"):
+        jobs.ingest(spark, jobs.Settings(work=str(tmp_path / "strict"), raw=str(tmp_path / "raw"), table="malformed_customers"))
+
+
 def test_strict_ingest_stops_on_bad_rows(spark, small_dir, tmp_path):
     raw_csv.write_csv(derive_raw(spark, small_dir).drop("seq"), str(tmp_path / "raw"))
     settings = jobs.Settings(work=str(tmp_path / "work"), raw=str(tmp_path / "raw"), table="strict_customers")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stayrate.operators import decision
 from stayrate.schema import COLUMN_MAP, CUSTOMER_COLUMNS
+from stayrate.operators import quality
 from stayrate.sources import database, raw_csv, store
 from stayrate.sources.derived import derive_raw
 
@@ -36,6 +37,36 @@ def test_csv_round_trip_keeps_padding_and_quotes(spark, small_dir, tmp_path):
     assert raw.select(*again.columns).exceptAll(again).count() == 0
 
 
+def _csv(folder, lines):
+    folder.mkdir()
+    (folder / "a.csv").write_text("\n".join([",".join(COLUMN_MAP), *lines]))
+    return str(folder)
+
+
+def test_line_breaks_in_cells_and_malformed_records(spark, tmp_path):
+    whole = lambda i, **odd: ",".join(odd.get(c, i if c == "customerID" else "Yes") for c in COLUMN_MAP)
+    path = _csv(
+        tmp_path / "in",
+        [whole("1"), whole("2", Contract='"Two\nyear, ""old"""'), "3,Male", whole("4") + ",more", whole("5", tenure="ten", TotalCharges="x"), '6,"never closed'],
+    )
+    store.write_dataset(raw_csv.load_and_flag(raw_csv.read_raw_records(spark, path)), str(tmp_path / "loaded"))
+    records = store.read_dataset(spark, str(tmp_path / "loaded"))
+    rows = {r["customer_id"]: r for r in records.collect()}
+    assert rows["2"]["contract_type"] == 'Two\nyear, "old"' and rows["2"]["malformed"] is None
+    assert rows["1"]["unreadable"] == ["tenure_months", "monthly_charges", "total_charges"]
+    bad = raw_csv.quarantined_records(records).orderBy("position").collect()
+    assert [r["record"].split(",")[0] for r in bad] == ["3", "4", "6"]
+    assert all(r["file"].endswith("a.csv") and r["reason"] for r in bad)
+    cut = raw_csv.read_raw_csv(spark, path, multi_line=False)
+    assert cut.count() == 7 and "malformed" not in cut.columns
+
+
+def test_flags_are_counted_from_loaded_rows(spark, small_dir):
+    raw = derive_raw(spark, small_dir)
+    flagged = quality.check_dtypes(raw_csv.load_and_flag(raw))
+    assert flagged.exceptAll(quality.check_dtypes(raw_csv.rename_columns(raw))).count() == 0
+
+
 def test_refresh_replaces_rows_or_leaves_them(spark, customers, tmp_path):
     base = str(tmp_path / "customers")
     store.full_refresh(customers, "refreshed", base)
