@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayrate.functions.measures import charges, churn_rate, n_customers
@@ -80,6 +80,57 @@ def worklist(
     return rows if limit is None else rows.limit(limit)
 
 
+PAGE_ROWS = 50
+#: The low bits of monotonically_increasing_id count rows within a partition.
+_ROW_BITS = 33
+
+
+def write_pages(
+    recommendations: DataFrame,
+    path: str,
+    filters: Mapping[str, Sequence[object]] | None = None,
+    sort_by: str = "churn_probability",
+    descending: bool = True,
+    page_rows: int = PAGE_ROWS,
+) -> None:
+    """Store the worklist in its order with ``rank``, from 1, and ``page``, from 0, so that a page is read by its key.
+
+    Rows are sorted by ranges, each range by its own task, and counts per range say at which rank it begins. A file
+    holds neighbouring pages, so a reader skips all files and row groups but those of its page. Rows that agree in
+    the sorting column and in customer_id may stand in either order.
+    """
+    spark = recommendations.sparkSession
+    key = F.col(sort_by).desc_nulls_last() if descending else F.col(sort_by).asc_nulls_last()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = apply_slicers(recommendations, filters)
+    ranged = (
+        rows.repartitionByRange(parts, key, "customer_id")
+        .sortWithinPartitions(key, "customer_id")
+        .withColumn("_place", F.monotonically_increasing_id())
+    )
+    # Written before it is counted, so that ranges can't be cut anew in between.
+    ranged.write.mode("overwrite").parquet(f"{path}/ranges")
+    placed = spark.read.schema(ranged.schema).parquet(f"{path}/ranges").withColumn("_range", F.shiftright("_place", _ROW_BITS))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a range; there are no more ranges than partitions.
+    starts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+    )
+    rank = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + F.col("_before") + 1
+    paged = (
+        placed.join(F.broadcast(starts), "_range")
+        .withColumn("rank", rank)
+        .withColumn("page", F.floor((F.col("rank") - 1) / page_rows))
+        .select(*rows.columns, "rank", "page")
+    )
+    paged.sortWithinPartitions("rank").write.mode("overwrite").parquet(f"{path}/pages")
+
+
+def read_page(spark: SparkSession, path: str, page: int) -> DataFrame:
+    """One page of a stored worklist, in order; a page beyond the last is empty."""
+    return spark.read.parquet(f"{path}/pages").where(F.col("page") == page).orderBy("rank")
+
+
 def worklist_totals(recommendations: DataFrame) -> DataFrame:
     """Customers flagged, their revenue at risk and the expected net benefit of offers to them."""
     flagged = F.col("recommended_action") != "No Action"

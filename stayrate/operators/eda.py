@@ -166,25 +166,21 @@ def boxplots(df: DataFrame, columns: Sequence[str] = BOXED, by: str = "churn") -
     )
 
 
-def density(df: DataFrame, value: str = "monthly_charges", by: str = "churn", points: int = 200) -> DataFrame:
-    """Gaussian kernel density per group on an even grid over the whole range (Scott bandwidth).
-
-    The kernel is summed over distinct values weighted by their counts, so the work grows with
-    the number of different charges and not with the number of customers.
-    """
-    number = F.col(value).cast("double")
-    known = df.where(F.col(value).isNotNull())
-    counts = known.groupBy(by, number.alias("x")).agg(n_customers(df).alias("n"))
-    span = counts.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high"))).scalar()
+def _shape(counts: DataFrame, by: str) -> DataFrame:
+    """size and bandwidth (Scott; NULL where values don't vary) of each group, from counts per value."""
     means = counts.groupBy(by).agg(F.sum("n").alias("size"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"))
-    # One mean a group.
     squares = F.sum(F.col("n") * F.pow(F.col("x") - F.col("mean"), 2))
-    shape = counts.join(F.broadcast(means), by).groupBy(by, "size").agg(
-        F.sqrt(F.when(F.col("size") > 1, squares / (F.col("size") - 1))).alias("sd")
-    ).withColumn("bandwidth", F.col("sd") * F.pow("size", F.lit(-0.2)))
+    # One mean a group.
+    sd = F.sqrt(F.when(F.col("size") > 1, squares / (F.col("size") - 1)))
+    spread = counts.join(F.broadcast(means), by).groupBy(by, "size").agg(sd.alias("sd"))
+    return spread.withColumn("bandwidth", F.nullif(F.col("sd") * F.pow("size", F.lit(-0.2)), F.lit(0.0)))
+
+
+def _smoothed(masses: DataFrame, shape: DataFrame, span: Column, by: str, points: int) -> DataFrame:
+    """The kernels of masses ``n`` at ``x``, summed on an even grid over the span."""
     spread = (
         # One shape per group, two rows.
-        counts.join(F.broadcast(shape), by)
+        masses.join(F.broadcast(shape), by)
         .withColumn("_span", span)
         .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     )
@@ -198,6 +194,43 @@ def density(df: DataFrame, value: str = "monthly_charges", by: str = "churn", po
     )
 
 
+def density(
+    df: DataFrame, value: str = "monthly_charges", by: str = "churn", points: int = 200, bins: int | None = None
+) -> DataFrame:
+    """Gaussian kernel density per group on an even grid over the whole range (Scott bandwidth).
+
+    The kernel is summed over distinct values weighted by their counts, so the work grows with
+    the number of different charges and not with the number of customers. With ``bins`` each value's mass is first
+    dealt to the two nearest of so many even places, in proportion to how near they are, and the kernel is summed over
+    those: then the work has a fixed bound. A density is off by at most d * d / (8 * sqrt(2 pi) * h ** 3), where d is the
+    distance of places and h the bandwidth.
+    """
+    number = F.col(value).cast("double")
+    known = df.where(F.col(value).isNotNull())
+    counts = known.groupBy(by, number.alias("x")).agg(n_customers(df).alias("n"))
+    span = counts.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high"))).scalar()
+    shape = _shape(counts, by)
+    if bins is None:
+        return _smoothed(counts, shape, span, by, points)
+    step = (F.col("_span.high") - F.col("_span.low")) / (bins - 1)
+    place = F.coalesce((F.col("x") - F.col("_span.low")) / F.nullif(step, F.lit(0.0)), F.lit(0.0))
+    left = F.least(F.floor(place), F.lit(bins - 2)).cast("double")
+    share = place - left
+
+    def at(bin_: Column, mass: Column) -> Column:
+        return F.struct(bin_.alias("bin"), mass.alias("mass"))
+
+    dealt = F.inline(F.array(at(left, F.col("n") * (1 - share)), at(left + 1, F.col("n") * share)))
+    masses = (
+        counts.withColumn("_span", span)
+        .select(by, "_span", dealt)
+        .groupBy(by, "_span", "bin")
+        .agg(F.sum("mass").alias("n"))
+        .select(by, (F.col("_span.low") + F.col("bin") * step).alias("x"), "n")
+    )
+    return _smoothed(masses, shape, span, by, points)
+
+
 def preview(df: DataFrame, rows: int = 5, order: str | None = None) -> DataFrame:
     """A few rows: any, or the first in an order."""
     return (df if order is None else df.orderBy(order)).limit(rows)

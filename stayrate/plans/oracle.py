@@ -229,15 +229,23 @@ def correlations() -> str:
     return " UNION ALL ".join(cells)
 
 
-def density(points: int) -> str:
+def density(points: int, bins: int | None = None) -> str:
+    """Kernels over all values, or over masses dealt to the two nearest of `bins` even places."""
+    dealt = "m AS (SELECT churn, x, 1.0 AS n FROM x)"
+    if bins:
+        place = f"coalesce((x - low) / nullif((high - low) / {bins - 1}, 0), 0)"
+        dealt = f"""p AS (SELECT churn, low, (high - low) / {bins - 1} AS step, {place} AS place, least(floor({place}), {bins - 2}) AS l FROM x, e),
+m AS (SELECT churn, low + l * step AS x, sum(1 - (place - l)) AS n FROM p GROUP BY churn, low, step, l
+  UNION ALL SELECT churn, low + (l + 1) * step, sum(place - l) FROM p GROUP BY churn, low, step, l)"""
     return f"""
 , x AS (SELECT churn, CAST(monthly_charges AS DOUBLE) AS x FROM tidy),
 s AS (SELECT churn, count(*) AS size, stddev_samp(x) * pow(count(*), -0.2) AS h FROM x GROUP BY churn),
 e AS (SELECT min(x) AS low, max(x) AS high FROM x),
+{dealt},
 g AS (SELECT range AS point, low + (high - low) * range / {points - 1} AS grid_value FROM range({points}), e)
-SELECT x.churn, CAST(point AS INT) AS point, round(grid_value, 6) AS grid_value,
-  round(sum(exp(-((grid_value - x) / h) * ((grid_value - x) / h) / 2) / (size * h * sqrt(2 * pi()))), 8) AS density
-FROM x JOIN s ON x.churn = s.churn CROSS JOIN g GROUP BY x.churn, point, grid_value"""
+SELECT m.churn, CAST(point AS INT) AS point, round(grid_value, 6) AS grid_value,
+  round(sum(n * exp(-((grid_value - x) / h) * ((grid_value - x) / h) / 2) / (size * h * sqrt(2 * pi()))), 8) AS density
+FROM m JOIN s ON m.churn = s.churn CROSS JOIN g GROUP BY m.churn, point, grid_value"""
 
 
 _BROKEN = (
@@ -524,6 +532,7 @@ FROM (SELECT churn, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS whol
         "tidy",
     ),
     "e07_boxplots": query(boxes(), "tidy"),
+    "e08_binned_density": query(density(200, 401), "tidy"),
     "e08_density": query(density(200), "tidy"),
     # features
     "f01_tenure_group": query("SELECT customer_id, tenure_group FROM features", "features"),
@@ -647,6 +656,11 @@ FROM (SELECT contract_type, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT)
         "SELECT * FROM recommended WHERE recommended_action = 'Retain' ORDER BY expected_net_benefit DESC, customer_id",
         "recommended",
     ),
+    "d05_page": query(
+        """SELECT *, (rank - 1) // 50 AS page FROM (SELECT *, row_number() OVER (ORDER BY expected_net_benefit DESC NULLS LAST, customer_id) AS rank
+  FROM recommended WHERE recommended_action = 'Retain') WHERE rank BETWEEN 151 AND 200""",
+        "recommended",
+    ),
     "d05_totals": query(
         """SELECT count(*) AS flagged_customers, round(sum(revenue_at_risk), 2) AS revenue_at_risk,
   round(sum(expected_net_benefit), 2) AS expected_net_benefit FROM recommended WHERE recommended_action <> 'No Action'""",

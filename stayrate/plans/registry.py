@@ -243,6 +243,13 @@ def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.customer_dashboard(spark.table(names[0]), spark.table(names[1]))
 
 
+def worklist_page(spark: SparkSession, sf_dir: str, page: int = 3) -> DataFrame:
+    """One page of the offers that pay most, read by its key from the stored worklist."""
+    path = scratch(spark)
+    dashboard.write_pages(recommended(spark, sf_dir), path, {"recommended_action": ["Retain"]}, "expected_net_benefit")
+    return dashboard.read_page(spark, path, page)
+
+
 def features_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark)
     raw_csv.write_csv(featured(spark, sf_dir), path)
@@ -479,6 +486,7 @@ QUERIES: dict[str, Query] = {
     "e05_correlations": lambda s, d: _rounded(eda.correlations(tidy(s, d)), 8, "correlation"),
     "e06_churn_share": churn_shares,
     "e07_boxplots": lambda s, d: _rounded(eda.boxplots(tidy(s, d)), 6, "q1", "median", "q3"),
+    "e08_binned_density": lambda s, d: plain(eda.density(tidy(s, d), bins=401), {"grid_value": 6, "density": 8}),
     "e08_density": lambda s, d: plain(eda.density(tidy(s, d)), {"grid_value": 6, "density": 8}),
     # features
     "f01_tenure_group": _feature("tenure_group", features.add_tenure_group),
@@ -535,5 +543,6 @@ QUERIES: dict[str, Query] = {
     "d05_worklist": _of(
         recommended, dashboard.worklist, {"recommended_action": ["Retain"]}, "expected_net_benefit"
     ),
+    "d05_page": lambda s, d: plain(worklist_page(s, d)),
     "d05_totals": _of(recommended, dashboard.worklist_totals),
 }

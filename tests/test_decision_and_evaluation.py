@@ -144,3 +144,27 @@ def test_auc_is_exact_at_any_scale_of_the_scores(spark, scale):
     labels = draw.random(len(scores)) < 0.4
     rows = spark.createDataFrame([(bool(y), float(s)) for y, s in zip(labels, scores, strict=True)], "churn boolean, churn_probability double")
     assert evaluation.roc_auc(rows).first()["roc_auc"] == pytest.approx(_pairs(labels, scores), abs=1e-12)
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_pages_are_slices_of_the_whole_order(spark, tmp_path, descending):
+    rows = spark.range(1203).select(
+        F.format_string("c%05d", F.pmod(F.xxhash64("id"), F.lit(99_991))).alias("customer_id"),
+        F.when(F.col("id") % 3 == 0, 7.0).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("amount"),
+        F.when(F.col("id") % 2 == 0, "Retain").otherwise("Monitor").alias("recommended_action"),
+    )
+    chosen = {"recommended_action": ["Retain"]}
+    dashboard.write_pages(rows, str(tmp_path), chosen, "amount", descending, page_rows=50)
+    whole = [tuple(r) for r in dashboard.worklist(rows, chosen, "amount", descending).collect()]
+    for page in (0, 3, 12, 13):
+        found = dashboard.read_page(spark, str(tmp_path), page).collect()
+        assert [tuple(r)[:3] for r in found] == whole[50 * page : 50 * page + 50]
+        assert [r["rank"] for r in found] == list(range(50 * page + 1, 50 * page + 1 + len(found)))
+    plan = dashboard.read_page(spark, str(tmp_path), 3)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(page), EqualTo(page,3)]" in plan
+
+
+def test_pages_of_an_empty_worklist(spark, tmp_path):
+    rows = spark.createDataFrame([], "customer_id string, churn_probability double")
+    dashboard.write_pages(rows, str(tmp_path))
+    assert dashboard.read_page(spark, str(tmp_path), 0).count() == 0

@@ -166,3 +166,27 @@ def test_histogram_refuses_inexact_numbers(spark):
 
 def test_preview_in_an_order(spark):
     assert [r["id"] for r in eda.preview(spark.range(9, -1, -1), 3, "id").collect()] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("bins", [21, 101, 801])
+def test_binned_density_stays_within_its_bound(customers, bins):
+    exact = {(r["churn"], r["point"]): r for r in eda.density(customers, points=50).collect()}
+    binned = {(r["churn"], r["point"]): r for r in eda.density(customers, points=50, bins=bins).collect()}
+    frame = customers.select(F.col("monthly_charges").cast("double").alias("x"), "churn").toPandas()
+    apart = (frame["x"].max() - frame["x"].min()) / (bins - 1)
+    assert exact.keys() == binned.keys()
+    for churn, rows in frame.groupby("churn"):
+        bandwidth = rows["x"].std() * len(rows) ** -0.2
+        bound = apart**2 / (8 * np.sqrt(2 * np.pi) * bandwidth**3)
+        missed = [abs(exact[k]["density"] - binned[k]["density"]) for k in exact if k[0] == churn]
+        assert max(missed) <= bound + 1e-12
+        # Mass is dealt, not lost.
+        width = exact[churn, 1]["grid_value"] - exact[churn, 0]["grid_value"]
+        assert abs(sum(exact[k]["density"] - binned[k]["density"] for k in exact if k[0] == churn)) * width < 0.01
+
+
+def test_binned_density_of_equal_values(spark):
+    rows = spark.createDataFrame([(Decimal("5.00"), True)] * 3 + [(Decimal("5.00"), False)], "monthly_charges decimal(8,2), churn boolean")
+    for bins in (None, 10):
+        found = eda.density(rows, points=5, bins=bins).collect()
+        assert len(found) == 10 and all(r["density"] is None for r in found)
