@@ -63,30 +63,40 @@ def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     known = [F.col(a).isNotNull().alias(f"_known_{a}") for a in amounts]
     cells = df.groupBy(*dimensions, *known).agg(*sums)
 
-    def is_known(c: str) -> Column:
-        return F.col(f"_known_{c}") if c in amounts else F.col(c).isNotNull()
-
     def value(c: str) -> Column:
         return F.col(c).cast("int").cast("double")
 
-    def total(*factors: str) -> Column:
-        """The sum over a cell of the product of some columns."""
-        held, given = sorted((c for c in factors if c in amounts), key=amounts.index), [c for c in factors if c in dimensions]
-        out = F.col("_".join(["", *held]) if held else "_n").cast("double")
-        for c in given:
-            out = out * value(c)
-        return out
-
-    def pair(a: str, b: str) -> Column:
-        both = is_known(a) & is_known(b)
-        sums = {"n": total(), "sa": total(a), "sb": total(b), "saa": total(a, a), "sbb": total(b, b), "sab": total(a, b)}
-        return F.struct(
-            F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), *[F.when(both, v).otherwise(0.0).alias(k) for k, v in sums.items()]
-        )
-
-    pairs = cells.select(F.inline(F.array(*[pair(a, b) for a, b in combinations(columns, 2)])))
-    names = ["n", "sa", "sb", "saa", "sbb", "sab"]
-    return pairs.groupBy("column_a", "column_b").agg(*[F.sum(c).alias(c) for c in names])
+    def of(per_dimension, per_amount) -> Column:
+        return F.array(*[per_dimension(c) if c in dimensions else per_amount(c) for c in columns])
+
+    def cross(a: str, b: str) -> Column:
+        both = sorted((c for c in (a, b) if c in amounts), key=amounts.index)
+        return F.col(f"_{both[0]}_{both[1]}").cast("double") if len(both) == 2 else F.lit(None).cast("double")
+
+    n, size = F.col("_n").cast("double"), len(columns)
+    vectors = cells.select(
+        n.alias("_n"),
+        of(lambda c: F.col(c).isNotNull(), lambda c: F.col(f"_known_{c}")).alias("known"),
+        of(value, lambda c: F.lit(None).cast("double")).alias("values"),
+        of(lambda c: value(c) * n, lambda c: F.col(f"_{c}").cast("double")).alias("sums"),
+        of(lambda c: value(c) * value(c) * n, lambda c: F.col(f"_{c}_{c}").cast("double")).alias("squares"),
+        F.array(*[cross(a, b) for a in columns for b in columns]).alias("crosses"),
+    )
+    places = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in combinations(range(size), 2)])
+    pairs = vectors.select("*", F.inline(places))
+    at = lambda name, place: F.get(F.col(name), F.col(place))
+    # A cell's rows share the value of a dimension, so it comes before the other column's sum.
+    products = F.coalesce(
+        at("values", "i") * at("sums", "j"), at("sums", "i") * at("values", "j"), F.get("crosses", F.col("i") * size + F.col("j"))
+    )
+    both = at("known", "i") & at("known", "j")
+    measures = {
+        "n": F.col("_n"), "sa": at("sums", "i"), "sb": at("sums", "j"),
+        "saa": at("squares", "i"), "sbb": at("squares", "j"), "sab": products,
+    }
+    found = pairs.groupBy("i", "j").agg(*[F.sum(F.when(both, v).otherwise(0.0)).alias(k) for k, v in measures.items()])
+    names = F.array(*[F.lit(c) for c in columns])
+    return found.select(F.get(names, F.col("i")).alias("column_a"), F.get(names, F.col("j")).alias("column_b"), *measures)
 
 
 def correlation() -> Column:
