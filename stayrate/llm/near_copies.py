@@ -169,16 +169,29 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> D
 
 
 def _compare(width: int, least: float, matches: int):
-    """Rows of a block, guests first: the pairs of a guest and a host of other parts whose whole sets are similar enough."""
+    """Rows of a block, guests first: links of a guest and a host of other parts whose whole sets are similar enough.
+
+    A link joins two parts. Parts that links of the block have joined are one from then on and are not compared, so
+    a block gives fewer links than it has parts, and no similar pair of parts is left apart.
+    """
     hundredths = round(100 * least)
 
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, names, homes, sets, sketches, sizes = None, [], [], [], [], None
+        joined: dict[int, int] = {}
+
+        def root(part: int) -> int:
+            while (up := joined.get(part, part)) != part:
+                joined[part] = joined.get(up, up)
+                part = up
+            return part
+
         for batch in batches:
             out = []
             for key, host, vertex, part, data, sketch in zip(*(batch[c] for c in ("block", "is_host", "vertex", "part", "data", "sketch"))):
                 if key != block:
                     block, names, homes, sets, sketches, sizes = key, [], [], [], [], None
+                    joined.clear()
                 own = shingles(words_of(data), width)
                 if not host:
                     names.append(vertex)
@@ -193,9 +206,13 @@ def _compare(width: int, least: float, matches: int):
                 alike &= 100 * np.minimum(sizes, len(own)) >= hundredths * np.maximum(sizes, len(own))
                 alike &= home != part
                 for k in np.flatnonzero(alike):
+                    one, other = root(part), root(homes[k])
+                    if one == other:
+                        continue
                     both = np.intersect1d(own, sets[k], assume_unique=True).size
                     if 100 * both >= hundredths * (len(own) + len(sets[k]) - both):
                         out.append((min(vertex, names[k]), max(vertex, names[k])))
+                        joined[max(one, other)] = min(one, other)
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return over
