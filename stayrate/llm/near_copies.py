@@ -19,7 +19,7 @@ from stayrate.llm.words import Words, blocks, grams, mix
 
 SIGNED = "doc_id long, n_shingles long, set_id binary, left array<long>, right array<long>"
 #: In how many different orders the members of buckets are tried as hubs.
-ORDERS = 8
+ORDERS = 3
 #: Sides of the blocks in which the members of neighbouring groups are compared.
 HOSTS, GUESTS = 256, 512
 
