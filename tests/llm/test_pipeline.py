@@ -36,10 +36,11 @@ def test_the_run_equals_its_stages_on_what_survives(spark, small_dir):
 
 def test_registered_with_contract_columns():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near-dedup", "decontamination", "secrets", "packing"]
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+# op12 returns a row for each negative, not for each row of its table.
+@pytest.mark.parametrize("name", sorted(q for q in queries.QUERIES if not q.startswith("op12_")))
 def test_one_row_for_each_row_of_the_table(spark, small_dir, name):
     out = queries.QUERIES[name](spark, small_dir)
     n = out.count()
