@@ -8,7 +8,7 @@ import string
 from stayrate.llm.chat import CLOSE, CONTROL, OPEN
 from stayrate.llm.hard_negatives import LARGEST, Mining
 from stayrate.llm.queries import PROBE
-from stayrate.llm.secret_scan import ACCESS, ACCESS_LENGTH, ASSIGN, ASSIGN_LENGTH, CANDIDATE, HEX, HEX_LENGTH, KINDS, Entropy
+from stayrate.llm.secret_scan import ACCESS, ACCESS_LENGTH, ASSIGN, ASSIGN_LENGTH, CANDIDATE, HEX, HEX_LENGTH, KINDS, PATH, Entropy
 
 LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 SPACED = r"[^\x20\x09-\x0D]+"
@@ -127,11 +127,14 @@ known AS (SELECT doc_id, CAST(stop - length(m) AS BIGINT) AS start, CAST(stop AS
 slid AS (SELECT doc_id, m, stop - length(m) AS start, unnest(range(1, length(m) - {_E.width} + 2)) AS i FROM candidate),
 letters AS (SELECT doc_id, m, start, i, unnest(string_split(substring(m, i, {_E.width}), '')) AS c FROM slid),
 counted AS (SELECT doc_id, m, start, i, c, count(*) AS n FROM letters GROUP BY ALL),
-measured AS (SELECT doc_id, m, start, i, regexp_full_match(m, '[0-9a-fA-F]+') AS is_hex,
-  -sum(n / {_E.width}.0 * log2(n / {_E.width}.0)) AS bits FROM counted GROUP BY ALL),
+measured AS (SELECT doc_id, m, start, i, substring(m, i, {_E.width}) AS w, -sum(n / {_E.width}.0 * log2(n / {_E.width}.0)) AS bits
+  FROM counted GROUP BY ALL),
 hot AS (SELECT doc_id, CAST(start + min(i) - 1 AS BIGINT) AS start, CAST(start + max(i) - 1 + {_E.width} AS BIGINT) AS stop,
-  CASE WHEN is_hex THEN 3 ELSE 4 END AS kind FROM measured
-  WHERE bits >= CASE WHEN is_hex THEN {_E.hex_bits} ELSE {_E.base64_bits} END GROUP BY doc_id, measured.start, m, is_hex),
+  CASE WHEN regexp_full_match(m, '[0-9a-fA-F]+') THEN 3 ELSE 4 END AS kind FROM measured
+  WHERE length(regexp_replace(w, '[^0-9]', '', 'g')) >= {_E.digits} AND regexp_matches(w, '[A-Za-z]')
+    AND bits >= CASE WHEN regexp_full_match(w, '[0-9a-fA-F]+') THEN {_E.hex_bits}
+      WHEN regexp_matches(w, '[A-Z]') AND regexp_matches(w, '[a-z]') THEN {_E.mixed_bits} ELSE {_E.one_case_bits} END
+  GROUP BY doc_id, measured.start, m HAVING NOT regexp_matches(m, {quoted(PATH)}) OR count(*) FILTER (NOT contains(w, '/')) > 0),
 new AS (SELECT * FROM hot WHERE NOT EXISTS (
   SELECT 1 FROM known k WHERE k.doc_id = hot.doc_id AND k.start <= hot.start AND hot.stop <= k.stop)),
 listed AS (SELECT *, (['{"', '".join(KINDS)}'])[kind + 1] || ':' || start || ':' || stop AS span FROM (SELECT * FROM known UNION ALL SELECT * FROM new))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+import math
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,10 @@ ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 
 #: Runs that may be a random string.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-#: Strings with three slashes. Long base64 has them too, so only op10, whose SQL lists it, leaves them out.
+#: Strings with three slashes: paths, but long base64 has them too.
 PATH = r"/[^/]*/[^/]*/"
+#: A candidate is read in stretches of so many characters, so that memory for it stays bounded.
+STRETCH = 4096
 KINDS = ["assign", "access", "hex", "entropy_hex", "entropy_base64"]
 
 
@@ -25,28 +28,28 @@ KINDS = ["assign", "access", "hex", "entropy_hex", "entropy_base64"]
 class Entropy:
     """When a candidate string counts as random.
 
-    A window of `width` characters slides over the candidate; a window is hot if its Shannon entropy
-    in bits a character reaches the bound of the candidate's class. Hexadecimal candidates can
-    reach 4 bits, others log2(width). Candidates without a digit or without a letter, and those
-    that an allow-list pattern matches (placeholders, counting sequences, UUIDs, paths), are none.
+    A window of `width` characters slides over the candidate. Each window is judged by the class of
+    its own characters: hexadecimal, other strings with letters of one case (base32, lower case and
+    digits), and mixed ones. It is hot if it holds `digits` digits and a letter, and its Shannon entropy
+    in bits a character reaches the bound of the class. Bounds lie where about nine of ten random strings
+    of 24 characters of the class have a hot window. A string with three slashes is taken for a path
+    unless a hot window lies between two of its slashes. Candidates that an allow-list
+    pattern matches (placeholders, counting sequences, UUIDs) are none.
     """
 
     width: int = 20
-    hex_bits: float = 3.2
-    base64_bits: float = 3.9
+    digits: int = 2
+    hex_bits: float = 3.1
+    one_case_bits: float = 3.55
+    mixed_bits: float = 3.7
     allow: list[str] = field(
         default_factory=lambda: [
             r"(?i)example|sample|placeholder|changeme|dummy|xxxxxx",
             r"(?i)0123456789|abcdefghij|qwertyuiop",
             r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-            PATH,
         ]
     )
 
-    def with_paths(self) -> Entropy:
-        """The same, but for paths: a string with slashes is judged by its windows as any other is."""
-        return replace(self, allow=[pattern for pattern in self.allow if pattern != PATH])
-
 
 def _found(text: Column, pattern: str, keep, parts: Column | None = None) -> Column:
     """Spans (start, end, match) of the leftmost non-overlapping matches that `keep` accepts.
@@ -73,49 +76,104 @@ def _found(text: Column, pattern: str, keep, parts: Column | None = None) -> Col
     return F.when(text.rlike(pattern), total).otherwise(nothing)
 
 
-def _entropy_bits(width: int) -> str:
-    """SQL for an array of c log2 c, for c from 0 to width."""
-    return f"transform(sequence(0, {width}), c -> if(c < 2, 0D, c * log2(c)))"
+def _characters(text: Column) -> Column:
+    """For each character: the long and the byte in it that hold its count, and its class."""
+
+    def of(char: Column) -> Column:
+        code = F.ascii(char)
+        place = code - F.lit(40)
+        digit, upper, lower = code.between(48, 57), code.between(65, 90), code.between(97, 122)
+        return F.struct(
+            code.alias("code"),
+            F.floor(place / 8).cast("int").alias("word"),
+            F.pmod(place, F.lit(8)).alias("byte"),
+            digit.cast("int").alias("digit"),
+            upper.cast("int").alias("upper"),
+            lower.cast("int").alias("lower"),
+            (~(digit | code.between(65, 70) | code.between(97, 102))).cast("int").alias("beyond"),
+            (code == 47).cast("int").alias("slash"),
+        )
+
+    return F.transform(F.split(text, ""), of)
+
 
+_TALLIES = ["digit", "upper", "lower", "beyond", "slash"]
+_WORDS = 11  # of eight counts each, for the characters from ( to DEL
 
-def hot_stretch(match: Column, bits: Column, width: int) -> Column:
-    """(first, last): the 1-based end positions of the first and last hot window; 0 without one.
 
-    Counts per character and the sum of c log2 c over them are carried from window to window: the
-    character that comes in and the one that goes change two counts and four terms of the sum.
+def hot_stretch(match: Column, entropy: Entropy) -> Column:
+    """(first, last, inside): the 1-based end positions of the first and last hot window, 0 without one, and whether
+    a hot window holds no slash.
+
+    Counts for each character, eight to a long, tallies for each class and the sum of c log2 c are carried from window
+    to window: the character that comes in and the one that goes change one count and one term each. The sum
+    is kept in billionths as a whole number, so a window's entropy does not depend on where it stands.
+    The match is read in stretches, each with the `width` characters before it, so time is linear.
     """
-    terms = F.expr(_entropy_bits(width))
-    start = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("first"), F.lit(0).alias("last")
-    )
+    width, scale = entropy.width, 10**9
+    if not 1 < width < 127:
+        raise ValueError("a window has 2 to 126 characters")
+    term = [0 if c < 2 else round(scale * c * math.log2(c)) for c in range(width + 2)]
+    gain = F.array(*[F.lit(term[c + 1] - term[c]).cast("long") for c in range(width + 1)])
+    units = F.array(*[F.lit(1 << (8 * k)).cast("long") for k in range(8)])
+
+    def most(bits: float) -> Column:
+        """The largest sum of c log2 c that a window of this entropy has."""
+        return F.lit(math.floor(scale * width * (math.log2(width) - bits) + 0.5)).cast("long")
+
+    def seen(state: Column) -> list[Column]:
+        bound = (
+            F.when(state["beyond"] == 0, most(entropy.hex_bits))
+            .when((state["upper"] > 0) & (state["lower"] > 0), most(entropy.mixed_bits))
+            .otherwise(most(entropy.one_case_bits))
+        )
+        hot = (
+            (state["at"] >= width)
+            & (state["sum"] <= bound)
+            & (state["digit"] >= entropy.digits)
+            & (state["upper"] + state["lower"] > 0)
+        )
+        return [
+            F.when((state["first"] == 0) & hot, state["at"]).otherwise(state["first"]).alias("first"),
+            F.when(hot, state["at"]).otherwise(state["last"]).alias("last"),
+            (state["inside"] | ((state["slash"] == 0) & hot)).alias("inside"),
+        ]
 
-    def term(n: Column) -> Column:
-        return F.element_at(terms, n + 1)
-
-    def slide(so_far: Column, i: Column) -> Column:
-        comes = F.ascii(F.substring(match, i, F.lit(1)))
-        goes = F.when(i > width, F.ascii(F.substring(match, i - width, F.lit(1)))).otherwise(F.lit(-1))
-        n_in = F.element_at(so_far["counts"], comes + 1)
-        n_out = F.when(goes >= 0, F.element_at(so_far["counts"], F.greatest(goes, F.lit(0)) + 1)).otherwise(F.lit(1))
-        change = F.when(
-            comes != goes,
-            term(F.least(n_in + 1, F.lit(width))) - term(n_in) + term(F.greatest(n_out - 1, F.lit(0))) - term(n_out),
-        ).otherwise(F.lit(0.0))
-        counts = F.transform(
-            so_far["counts"], lambda c, k: c + F.when(k == comes, 1).otherwise(0) - F.when(k == goes, 1).otherwise(0)
+    def slide(state: Column, step: Column) -> Column:
+        comes, goes = step["comes"], step["goes"]
+        full = state["at"] >= width
+
+        def count(x: Column) -> Column:
+            word = F.element_at(state["counts"], x["word"] + 1)
+            return F.call_function("shiftright", word, x["byte"] * 8).bitwiseAND(F.lit(255)).cast("int")
+
+        added = F.element_at(units, comes["byte"] + 1)
+        taken = F.element_at(units, goes["byte"] + 1)
+        change = F.when(full & (comes["code"] == goes["code"]), F.lit(0).cast("long")).otherwise(
+            F.element_at(gain, count(comes) + 1) - F.when(full, F.element_at(gain, count(goes))).otherwise(F.lit(0).cast("long"))
         )
-        total = so_far["sum"] + change
-        hot = (i >= width) & (F.log2(F.lit(float(width))) - total / width >= bits)
-        return F.struct(
-            counts.alias("counts"),
-            total.alias("sum"),
-            F.when(hot & (so_far["first"] == 0), i).otherwise(so_far["first"]).alias("first"),
-            F.when(hot, i).otherwise(so_far["last"]).alias("last"),
+        counts = F.transform(
+            state["counts"],
+            lambda w, k: w + F.when(k == comes["word"], added).otherwise(F.lit(0)) - F.when(full & (k == goes["word"]), taken).otherwise(F.lit(0)),
         )
+        tallies = [(state[t] + comes[t] - F.when(full, goes[t]).otherwise(F.lit(0))).alias(t) for t in _TALLIES]
+        return F.struct((state["at"] + 1).alias("at"), counts.alias("counts"), (state["sum"] + change).alias("sum"), *tallies, *seen(state))
 
-    return F.aggregate(
-        F.sequence(F.lit(1), F.length(match)), start, slide, lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"))
+    start = F.struct(
+        F.lit(0).alias("at"), F.array_repeat(F.lit(0).cast("long"), _WORDS).alias("counts"), F.lit(0).cast("long").alias("sum"),
+        *[F.lit(0).alias(t) for t in _TALLIES], F.lit(0).alias("first"), F.lit(0).alias("last"), F.lit(False).alias("inside"),
     )
+    parts = F.regexp_extract_all(match, F.lit(f".{{1,{STRETCH}}}"), F.lit(0))
+    # Before the first stretch stand characters that no window holds.
+    before = F.concat(F.array(F.lit("(" * width)), F.transform(parts, lambda x: F.right(x, F.lit(width))))
+
+    def through(state: Column, part: Column) -> Column:
+        leaving = F.left(F.concat(part["before"], part["part"]), F.length(part["part"]))
+        steps = F.arrays_zip(_characters(part["part"]).alias("comes"), _characters(leaving).alias("goes"))
+        return F.aggregate(steps, state, slide)
+
+    stretches = F.arrays_zip(F.slice(before, F.lit(1), F.size(parts)).alias("before"), parts.alias("part"))
+    return F.aggregate(stretches, start, through, lambda state: F.struct(*seen(state)))
 
 
 def _scanned(documents: DataFrame, entropy: Entropy) -> DataFrame:
@@ -145,13 +203,20 @@ def _scanned(documents: DataFrame, entropy: Entropy) -> DataFrame:
     )
 
     def stretch(found: Column) -> Column:
-        is_hex = found["match"].rlike("^[0-9a-fA-F]+$")
-        bits = F.when(is_hex, F.lit(entropy.hex_bits)).otherwise(F.lit(entropy.base64_bits))
-        hot = hot_stretch(found["match"], bits, entropy.width)
         return F.struct(
-            (found["start"] + hot["first"] - entropy.width).cast("int").alias("start"),
-            F.when(hot["last"] > 0, found["start"] + hot["last"]).otherwise(F.lit(-1)).cast("int").alias("end"),
-            F.when(is_hex, 3).otherwise(4).alias("kind"),
+            found["start"].alias("from"),
+            hot_stretch(found["match"], entropy).alias("hot"),
+            found["match"].rlike(PATH).alias("path"),
+            F.when(found["match"].rlike("^[0-9a-fA-F]+$"), 3).otherwise(4).alias("kind"),
+        )
+
+    def placed(found: Column) -> Column:
+        hot = found["hot"]
+        taken = (hot["last"] > 0) & (~found["path"] | hot["inside"])
+        return F.struct(
+            (found["from"] + hot["first"] - entropy.width).cast("int").alias("start"),
+            F.when(taken, found["from"] + hot["last"]).otherwise(F.lit(-1)).cast("int").alias("end"),
+            found["kind"].alias("kind"),
         )
 
     def labelled(column: str, kind: int) -> Column:
@@ -160,7 +225,7 @@ def _scanned(documents: DataFrame, entropy: Entropy) -> DataFrame:
     known = base.select(
         "row",
         F.concat(labelled("assign", 0), labelled("access", 1), labelled("hex", 2)).alias("known"),
-        F.transform("candidates", stretch).alias("stretches"),
+        F.transform(F.transform("candidates", stretch), placed).alias("stretches"),
     )
     new = F.filter(
         "stretches",
@@ -190,8 +255,8 @@ def secret_spans(documents: DataFrame, entropy: Entropy | None = None) -> DataFr
     of candidate strings (see Entropy), unless a pattern's span holds them already; the allow-list
     never takes away a pattern's span.
 
-    Null and empty texts have no spans. Every row is handled by itself, repeated or not. Other
-    columns are not read.
+    Null and empty texts have no spans. Every row is handled by itself, repeated or not. A candidate of any length is
+    read once, in stretches. Other columns are not read. Without documents there are no rows.
     """
     found = _scanned(documents.select("doc_id", "text"), entropy or Entropy())
 
