@@ -17,7 +17,7 @@ from stayrate.llm.decontaminate import benchmark_hits
 from stayrate.llm.near_copies import near_copies
 from stayrate.llm.packing import packed_documents
 from stayrate.llm.scratch import written
-from stayrate.llm.secret_scan import Entropy, masked
+from stayrate.llm.secret_scan import masked
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 STAGE = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -54,8 +54,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their secrets replaced by a mark, also those that have slashes or stand in a path."""
-    return _with_text(masked(docs.select(*COLUMNS), entropy=Entropy().with_paths()))
+    """All documents, with their secrets replaced by a mark; the rule is that of op10."""
+    return _with_text(masked(docs.select(*COLUMNS)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
