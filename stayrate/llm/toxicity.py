@@ -8,10 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayrate.llm.scratch import in_small_batches
+from stayrate.llm.scratch import in_small_batches, written
 from stayrate.llm.words import Words, blocks, grams, mix, powers
 
 #: Lower-cases A-Z and makes every other ASCII character but digits and letters a space.
@@ -26,8 +26,9 @@ SCORED = "doc_id long, score double, predicted int, spans array<struct<start:lon
 class Training:
     """How the field is fitted.
 
-    most_toxic, most_clean: bounds on the labelled rows it is fitted on, drawn by a hash of their id; the only
-    bounded sample here. length: words in a sequence; longer texts are several. buckets: hashed
+    most_toxic, most_clean: bounds on the labelled rows it is fitted on, drawn by a hash of their id; most_bytes: a
+    bound on their texts in all, for each label. This is the only bounded sample here. The fit holds the texts and
+    24 bytes for each word, under 0.5 GB in its one task. length: words in a sequence; longer texts are several. buckets: hashed
     features. odds: how many times likelier a word or prefix must be in toxic texts for it to be
     taken for a toxic token there, in natural log; evidence: how unlikely its counts must be if it had nothing
     to do with the label, in natural log too, so that rare words don't qualify by chance.
@@ -35,6 +36,7 @@ class Training:
 
     most_toxic: int = 1500
     most_clean: int = 4500
+    most_bytes: int = 32_000_000
     length: int = 32
     buckets: int = 1 << 19
     odds: float = 3.0
@@ -271,7 +273,9 @@ def fitted(documents: DataFrame, labels: DataFrame, how: Training | None = None)
 
     A bounded sample of labelled documents (see Training) meets in one task, which fits the field; the
     share of toxic labels is taken over all of them. Labels of unknown documents and null
-    labels are left out; a document labelled both ways is toxic. Without labels of both kinds
+    labels are left out; a document labelled both ways is toxic. Of the rows of one id, that of the least text is
+    drawn. In the order of the draw, texts are taken whole as long as they fit the sample's bytes; one
+    larger than these is never taken. Without labels of both kinds, in all or in the sample,
     every score is the share of toxic labels, or 0 without any.
     """
     how = how or Training()
@@ -286,7 +290,13 @@ def fitted(documents: DataFrame, labels: DataFrame, how: Training | None = None)
     ]
     # The sample's size is bounded by the parameters.
     sample = F.broadcast(drawn[0].unionByName(drawn[1]))
-    rows = in_small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(sample, "doc_id")
+    rows = written(rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "sample")
+    # Only ids and sizes of the drawn rows are put in order.
+    sizes = rows.select("doc_id", "toxic", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
+    so_far = F.sum("size").over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    taken = sizes.where(F.col("size") <= how.most_bytes).withColumn("so_far", so_far).where(F.col("so_far") <= how.most_bytes)
+    rows = in_small_batches(rows.join(F.broadcast(taken.select("doc_id")), "doc_id", "left_semi"))
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         every = [b[["doc_id", "text", "toxic"]] for b in batches]

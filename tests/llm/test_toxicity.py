@@ -107,3 +107,30 @@ def test_a_much_copied_toxic_text_does_not_make_its_words_toxic(spark, documents
     model = fitted(frame, spark.createDataFrame(labels, "doc_id long, toxic int"), Training(buckets=1 << 16))
     out = rows_by_id(scored(documents_of([(1, " ".join(words[:30])), (2, " ".join([*words[:30], "idiot"]))]), model))
     assert (out[1]["predicted"], out[2]["predicted"]) == (0, 1)
+
+
+def test_the_sample_is_bounded_in_bytes_and_takes_a_row_for_each_id(spark, documents_of, monkeypatch):
+    rows, labels = corpus(200, 3)
+    draw = random.Random(7)
+    rows += [(90_000 + i, " ".join(draw.choice(["calm", "river", "stone"]) for _ in range(20_000))) for i in range(30)]
+    rows += [(90_100, "w " * 300_000), (30_001, "zz " * 1000), (30_001, "zz " * 1000), (None, "no id")]
+    labels += [(90_000 + i, i % 2) for i in range(30)] + [(90_100, 1)]
+    sizes = {}
+    kept = lambda texts, toxic, share, how: sizes.update(
+        {"toxic": sum(len(t) for t, x in zip(texts, toxic) if x), "clean": sum(len(t) for t, x in zip(texts, toxic) if not x), "n": len(texts)}
+    )
+    seen = []
+    real = toxicity.Model
+
+    def recorded(*args):
+        kept(*args)
+        return real(float(sizes["n"]), None, float(sizes["toxic"]), np.array([sizes["clean"]]))
+
+    monkeypatch.setattr(toxicity, "fit", recorded)
+    df, table = documents_of(rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    for most in (200_000, 32_000_000):
+        model = fitted(df, table, Training(most_bytes=most))
+        seen.append((model.prior, model.start, model.moves[0]))
+    assert seen[0][1] <= 200_000 and seen[0][2] <= 200_000 and seen[0][0] < seen[1][0]
+    assert seen[1][0] == len(labels)
+    assert seen[1][1] + seen[1][2] == sum(min(len(t.encode()) for d, t in rows if d == i) for i, _ in labels)
