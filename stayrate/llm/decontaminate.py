@@ -9,10 +9,13 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import parquet
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayrate.llm.scratch import in_small_batches
+from stayrate.llm.scratch import in_small_batches, written
 
 #: Bytes that part words: all of ASCII but letters and digits.
 _PARTING = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -44,19 +47,48 @@ class Windows:
     items: list[list[str]]
 
 
-def windows_of(items: list[tuple[object, str | None]], width: int) -> Windows:
-    """All windows of `width` consecutive words; an item with fewer words is one window."""
-    found: dict[bytes, tuple[int, set[str]]] = {}
-    for item, text in items:
-        words = normal_words(text)
-        for i in range(max(1, len(words) - width + 1) if words else 0):
-            part = words[i : i + width]
-            found.setdefault(b" ".join(part), (len(part), set()))[1].add(str(item))
-    return Windows(
-        [f" {w.decode('utf-8', 'surrogatepass')} " for w in found],
-        [n for n, _ in found.values()],
-        [sorted(x) for _, x in found.values()],
-    )
+def _cut(width: int):
+    """Rows (window, size, item): all windows of `width` consecutive words; an item with fewer words is one window."""
+
+    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for item, text in zip(batch["item"], batch["text"]):
+                words = normal_words(text)
+                found = {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1) if words else 0)}
+                if found:
+                    yield pd.DataFrame({"window": sorted(found), "size": min(width, len(words)), "item": item})
+
+    return over
+
+
+@dataclass
+class Stored:
+    """A written table of windows, dealt to parts by a hash of the window; each part makes one automaton."""
+
+    files: list[str]
+    parts: int
+
+    def windows(self, part: int) -> Windows:
+        """The windows of a part, read by the task that needs them."""
+        found: dict[bytes, tuple[int, list[str]]] = {}
+        for file in self.files:
+            system, path = FileSystem.from_uri(file.replace("s3a://", "s3://", 1))
+            rows = parquet.read_table(path, filesystem=system, filters=[("part", "=", part)])
+            for window, size, item in zip(*(rows[c].to_pylist() for c in ("window", "size", "item"))):
+                found.setdefault(window, (size, []))[1].append(item)
+        return Windows(
+            [f" {w.decode('utf-8', 'surrogatepass')} " for w in found], [n for n, _ in found.values()], [x for _, x in found.values()]
+        )
+
+
+def stored_windows(benchmark: DataFrame, width: int, most_bytes: int) -> Stored:
+    """The distinct windows of the items, written to the shared folder in parts of about `most_bytes` bytes."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("None")).alias("item"), F.col("text").cast("string").alias("text"))
+    rows = written(in_small_batches(items).mapInPandas(_cut(width), "window binary, size int, item string").distinct(), "windows")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("window")), F.lit(0))).first()[0]
+    parts = max(1, -(-size // most_bytes))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("window"), F.lit(parts)).cast("int"))
+    return Stored(written(dealt.repartition(parts, "part"), "window-parts").inputFiles(), parts)
 
 
 def automaton_of(windows: Windows) -> ahocorasick.Automaton | None:
@@ -105,10 +137,11 @@ def original_spans(text: str, runs: list[tuple[int, int]]) -> list[dict]:
     return [{"start": places[a][0], "end": places[b - 1][1]} for a, b in runs]
 
 
-def _pass(windows: Windows):
-    """One pass over the documents: adds the runs and items of these windows to those so far."""
+def _pass(stored: Stored, part: int):
+    """One pass over the documents: adds the runs and items of a part's windows to those so far."""
 
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        windows = stored.windows(part)
         automaton = automaton_of(windows)
         for batch in batches:
             rows = []
@@ -137,22 +170,44 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, width: int = 10,
     any occurrence), items (ids of items with an occurring window, as sorted strings) and
     spans (the hit stretches as code point offsets in the original text).
 
-    The items are compiled into one automaton, which each task builds once and which scans every
-    text once. Its size is measured first: items of more than `most_bytes` bytes are dealt to as many
-    automata as needed, and the documents pass through one after the other, without a shuffle.
+    The windows are made by tasks and written to the shared folder, which has to be one that pyarrow can open too; nothing
+    of them passes through the driver. Tasks compile them into one automaton, which scans
+    every text once, without a shuffle. Windows of more than `most_bytes` bytes are dealt to as many automata as
+    needed; the documents pass through one after the other and are written in between, so that a
+    task holds one automaton, whose size the bytes bound.
 
     Null and empty texts have no words and no hits; null and empty items have no windows; an
     item id may be null ("None"). Items with the same text are all reported. Repeated documents are
-    scanned one by one. Other columns are not read. Without documents there are no rows; without
+    scanned one by one, very long ones whole. Other columns are not read. Without documents there are no rows; without
     items nothing is hit.
     """
-    items = benchmark.select("item_id", "text")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = max(1, -(-size // most_bytes))
+    stored = stored_windows(benchmark, width, most_bytes)
     runs = F.array().cast("array<struct<start:long,end:long>>").alias("runs")
     out = in_small_batches(documents).select("doc_id", "text", runs, F.array().cast("array<string>").alias("items"))
-    for k in range(parts):
-        part = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
-        windows = windows_of([(r[0], r[1]) for r in part.collect()], width)
-        out = out.select("doc_id", "text", "runs", "items").mapInPandas(_pass(windows), PASSED)
+    for k in range(stored.parts):
+        out = written(out, "scanned") if k else out
+        out = out.select("doc_id", "text", "runs", "items").mapInPandas(_pass(stored, k), PASSED)
     return out.mapInPandas(_finish, HITS)
+
+
+def without_hits(documents: DataFrame, benchmark: DataFrame, width: int = 10, most_bytes: int = 8_000_000) -> DataFrame:
+    """The documents, with all their columns, in whose text no window of the benchmark occurs (see benchmark_hits).
+
+    Each row is judged by its own text, whether its id is null or repeated. Null and empty texts stay.
+    """
+    stored = stored_windows(benchmark, width, most_bytes)
+
+    def over(part: int):
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            windows = stored.windows(part)
+            automaton = automaton_of(windows)
+            for batch in batches:
+                keep = [not scan(text.as_py(), automaton, windows)[1] for text in batch["text"]]
+                yield batch.filter(pa.array(keep, pa.bool_()))
+
+        return clean
+
+    for k in range(stored.parts):
+        documents = written(documents, "clean") if k else documents
+        documents = in_small_batches(documents).mapInArrow(over(k), documents.schema)
+    return documents

@@ -6,7 +6,7 @@ import re
 import pytest
 from llm.conftest import rows_by_id
 
-from stayrate.llm.decontaminate import benchmark_hits
+from stayrate.llm.decontaminate import benchmark_hits, stored_windows, without_hits
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -54,3 +54,34 @@ def test_no_items_and_no_documents(spark, documents_of):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r["n_hit"] for r in benchmark_hits(documents_of([(1, "a b")]), none).collect()] == [0]
     assert benchmark_hits(documents_of([]), none).count() == 0
+
+
+def test_windows_in_parts_are_read_by_tasks(spark, documents_of):
+    draw = random.Random(8)
+    text = lambda n: " ".join(draw.choice(["a", "b", "c1", "d"]) for _ in range(n))
+    items = [(i, text(draw.randint(1, 12))) for i in range(30)]
+    rows = [(draw.choice([None, 1, i]), text(draw.randint(0, 30))) for i in range(50)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    stored = stored_windows(bench, 5, 600)
+    assert stored.parts > 1
+    made = [w for k in range(stored.parts) for w in zip(*(lambda x: (x.texts, x.sizes, map(sorted, x.items)))(stored.windows(k)))]
+    want = {}
+    for item, t in items:
+        w = t.split()
+        for i in range(max(1, len(w) - 4)):
+            want.setdefault((f" {' '.join(w[i : i + 5])} ", len(w[i : i + 5])), set()).add(str(item))
+    assert {(t, n): i for t, n, i in made} == {k: sorted(v) for k, v in want.items()} and len(made) == len(want)
+    documents = documents_of(rows)
+    clean = without_hits(documents, bench, 5, 600)
+    assert clean.columns == documents.columns
+    hit = {t: brute([(0, t)], items, 5)[0][1] for _, t in rows}
+    assert sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=str) == sorted(((d, t) for d, t in rows if not hit[t]), key=str)
+    assert 0 < sum(1 for _, t in rows if hit[t]) < len(rows)
+
+
+def test_repeated_and_very_long_documents(spark, documents_of):
+    item = "one two three four five six"
+    long = "word " * 300_000 + item
+    bench = spark.createDataFrame([(1, item), (2, item)], "item_id long, text string")
+    out = benchmark_hits(documents_of([(1, long), (4, item), (4, item)]), bench, width=5).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in out) == [(1, 300_006, 6, ["1", "2"]), (4, 6, 6, ["1", "2"]), (4, 6, 6, ["1", "2"])]

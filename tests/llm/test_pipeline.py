@@ -64,3 +64,38 @@ def test_secrets_with_slashes_are_masked(spark):
     text = {r["doc_id"]: r["text"] for r in corpus_pipeline.mask_secrets(spark, docs, "").collect()}
     assert all("[secret]" in text[i] and x[-24:] not in text[i] for i, x in enumerate(strings))
     assert all(x in text[len(strings) + i] for i, x in enumerate(paths))
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _rows(spark, pairs):
+    return spark.createDataFrame([(i, t, "en", "s", 0) for i, t in pairs], SCHEMA)
+
+
+def _left(df):
+    assert df.columns == corpus_pipeline.COLUMNS
+    return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+
+
+def test_near_copies_of_null_and_repeated_ids_go(spark):
+    draw = random.Random(3)
+    words = lambda n: " ".join("".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    one, two, three = words(60), words(60), words(60)
+    near = one + " tail"
+    pairs = [(5, one), (None, near), (2, near), (7, two), (7, three), (7, two), (None, three), (None, words(60)), (8, None), (None, ""), (8, "")]
+    out = _left(corpus_pipeline.drop_near_copies(spark, _rows(spark, pairs), ""))
+    assert out == sorted([(2, near), (7, two), (7, three), pairs[7], (8, None), (None, ""), (8, "")], key=str)
+
+
+def test_benchmark_passages_are_judged_row_by_row(spark, tmp_path):
+    item = "what is the name of the tallest tower in the old town"
+    spark.createDataFrame([(1, item), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    pairs = [(None, f"so: {item}!"), (3, item.upper()), (3, "clean"), (4, None), (None, "clean too"), (2**60 + 1, "x " * 100_000)]
+    out = _left(corpus_pipeline.drop_contaminated(spark, _rows(spark, pairs), str(tmp_path)))
+    assert out == sorted(pairs[2:], key=str)
+
+
+def test_stages_take_an_empty_table(spark, small_dir):
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, _rows(spark, []), small_dir).count() == 0
