@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayrate.llm import queries, toxicity
-from stayrate.llm.decontaminate import benchmark_hits
+from stayrate.llm.decontaminate import without_hits
 from stayrate.llm.near_copies import near_copies
 from stayrate.llm.packing import packed_documents
 from stayrate.llm.scratch import written
@@ -26,11 +26,6 @@ STAGE = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not among ids; a null id stays."""
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
-
-
 def _with_text(docs: DataFrame) -> DataFrame:
     """n_chars made to fit the text."""
     return docs.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
@@ -42,15 +37,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies (five words, 0.8)."""
-    groups = near_copies(docs, width=5, least=0.8)
-    return _without(docs, written(groups.where("not kept").select("doc_id"), "near"))
+    """One document of each group of near copies (five words, 0.8): the row of the smallest id, nulls last.
+
+    Rows are numbered in a written table and judged by that number, so null and repeated ids are like others: of rows
+    that are near copies one stays, whatever their ids, and of rows of one id those with texts of their own stay.
+    """
+    rows = written(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()), "rows")
+    groups = near_copies(rows.select(F.col("row_key").alias("doc_id"), "text"), width=5, least=0.8)
+    placed = groups.select(F.col("doc_id").alias("row_key"), "component_id").join(rows.select("row_key", F.col("doc_id").alias("id")), "row_key")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "row_key")).alias("first")
+    kept = written(placed.groupBy("component_id").agg(first).select("first.row_key"), "kept")
+    return rows.join(kept, "row_key", "left_semi").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of ten words of a benchmark item."""
-    hits = benchmark_hits(docs, queries.table(spark, sf_dir, "benchmark"), width=10)
-    return _without(docs, written(hits.where("n_hit > 0").select("doc_id"), "contaminated"))
+    return without_hits(docs.select(*COLUMNS), queries.table(spark, sf_dir, "benchmark"), width=10)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
