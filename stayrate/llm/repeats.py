@@ -149,7 +149,9 @@ def _passages(how: Anchors):
 class Phrases:
     """An automaton of blocks of passages, and what is needed to extend an occurrence of a block.
 
-    A passage is cut into blocks of half a window, so every window inside it holds a whole block.
+    A passage is cut into blocks of half a window, so every window inside it holds a whole block. Of the places of a block
+    in one passage that have the same words around them, as far as a window reaches, one is kept: a passage that
+    repeats a word or a phrase has few.
     """
 
     def __init__(self, how: Anchors):
@@ -161,7 +163,12 @@ class Phrases:
     def add(self, words: list[bytes]) -> int:
         """Takes a passage in and gives its number."""
         size = max(1, self.how.window // 2)
+        reach, seen = self.how.window - size, set()
         for at in range(0, len(words) - size + 1, size):
+            around = (min(at, reach), *words[max(0, at - reach) : at + size + reach])
+            if around in seen:
+                continue
+            seen.add(around)
             block = f" {b' '.join(words[at : at + size]).decode('utf-8', 'surrogatepass')} "
             self.blocks.setdefault(block, []).append((len(self.passages), at))
         self.passages.append(words)
@@ -175,32 +182,39 @@ class Phrases:
         self.blocks = {}
 
     def covered(self, words: list[bytes], allowed: set[int]) -> np.ndarray:
-        """Which words lie in a window that an allowed passage holds too."""
+        """Which words lie in a window that an allowed passage holds too.
+
+        A match is extended only as far as windows that hold it reach, and not at all if these are known already.
+        """
         hit = np.zeros(len(words), dtype=bool)
         if self.blocks:
             self.compile()
         if self.automaton is None or not allowed or len(words) < self.how.window:
             return hit
-        size = max(1, self.how.window // 2)
+        window, size = self.how.window, max(1, self.how.window // 2)
+        reach = window - size
         line = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
         ends = np.flatnonzero(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype="<u4") == 0x20)[1:]
-        done: dict[tuple[int, int], int] = {}
+        # 1 for each word with which a window starts that an allowed passage holds.
+        known = bytearray(len(words) - window + 1)
         for end, places in self.automaton.iter(line):
             last = int(np.searchsorted(ends, end)) + 1
+            first = last - size
+            low, high = max(0, first - reach), min(first, len(words) - window)
             for passage, at in places:
-                # On one diagonal, what a match has covered needs no second look.
-                diagonal = last - size - at
-                if passage not in allowed or done.get((passage, diagonal), 0) >= last:
+                if known.find(0, low, high + 1) < 0:
+                    break
+                if passage not in allowed:
                     continue
                 other = self.passages[passage]
-                i, j = last - size, at
-                while i and j and words[i - 1] == other[j - 1]:
+                i, j, least = first, at, first - reach
+                while i > max(0, least) and j and words[i - 1] == other[j - 1]:
                     i, j = i - 1, j - 1
-                p, q = last, at + size
-                while p < len(words) and q < len(other) and words[p] == other[q]:
+                p, q, most = last, at + size, min(len(words), last + reach)
+                while p < most and q < len(other) and words[p] == other[q]:
                     p, q = p + 1, q + 1
-                done[passage, diagonal] = p
-                if p - i >= self.how.window:
+                if p - i >= window:
+                    known[i : p - window + 1] = b"\x01" * (p - window + 1 - i)
                     hit[i:p] = True
         return hit
 

@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 from llm.conftest import rows_by_id
 
-from stayrate.llm.repeats import without_repeats
+from stayrate.llm.repeats import Anchors, Phrases, without_repeats
 
 
 def brute(rows, window):
@@ -66,3 +67,40 @@ def test_rows_without_id_and_empty_table(documents_of):
     out = without_repeats(documents_of([(None, text), (None, text), (1, text)])).collect()
     assert [r["n_removed"] for r in out] == [0, 0, 0]
     assert without_repeats(documents_of([])).count() == 0
+
+
+def _held(words, passages, window):
+    """Words in a window that some passage holds, by looking at every window."""
+    every = {tuple(p[i : i + window]) for p in passages for i in range(len(p) - window + 1)}
+    hit = [False] * len(words)
+    for i in range(len(words) - window + 1):
+        if tuple(words[i : i + window]) in every:
+            hit[i : i + window] = [True] * window
+    return hit
+
+
+def test_coverage_is_that_of_all_windows():
+    draw = random.Random(12)
+    for trial in range(300):
+        window = draw.choice([2, 3, 5, 6, 9])
+        phrase = [draw.choice([b"a", b"b"]) for _ in range(draw.randint(1, 4))]
+        some = lambda n: draw.choice([[draw.choice([b"a", b"b"]) for _ in range(n)], (phrase * n)[:n], [b"a"] * n])
+        passages = [some(draw.randint(window, 40)) for _ in range(draw.randint(1, 4))]
+        phrases = Phrases(Anchors(window))
+        numbers = [phrases.add(p) for p in passages]
+        allowed = {n for n in numbers if draw.random() < 0.8}
+        words = sum((draw.choice([some(draw.randint(0, 20)), draw.choice(passages)[draw.randint(0, 5) :]]) for _ in range(draw.randint(0, 5))), [])
+        want = _held(words, [passages[n] for n in allowed], window)
+        assert phrases.covered(words, allowed).tolist() == want, (trial, window, passages, words)
+
+
+def test_one_word_repeated_takes_linear_time():
+    for text, passage, covered in (
+        ([b"w"] * 100_000, [b"w"] * 50_000, 100_000),
+        (([b"w"] * 49 + [b"x"]) * 2_000, [b"w"] * 50_000, 0),
+        ([b"w", b"x"] * 50_000, [b"w", b"x"] * 25_000, 100_000),
+    ):
+        phrases = Phrases(Anchors(50))
+        start = time.process_time()
+        assert phrases.covered(text, {phrases.add(passage)}).sum() == covered
+        assert time.process_time() - start < 20
