@@ -23,6 +23,20 @@ SEED = 42
 ID = "customer_id"
 #: Candidate cuts of a number in the tree models.
 MAX_BINS = 256
+#: Rows from which a fit's task pays, and the most that one task holds.
+TASK_ROWS, MOST_TASK_ROWS = 16_384, 524_288
+
+
+def spread(df: DataFrame, rows: int, side_by_side: int = 1) -> DataFrame:
+    """``df`` of so many rows dealt evenly, in a task for each core and more if these get long; few rows stay as they are.
+
+    A dataset that was written in a few files is read by as many tasks, whatever the number of cores. Fits that run
+    ``side_by_side`` share the cores, which spares each of them the stages that add up the sums of many tasks.
+    """
+    cores = -(-df.sparkSession.sparkContext.defaultParallelism // side_by_side)
+    tasks = max(min(cores, rows // TASK_ROWS), -(-rows // MOST_TASK_ROWS))
+    return df.repartition(tasks) if tasks > 1 else df
+
 
 # --- model input and split -------------------------------------------------
 

@@ -25,7 +25,7 @@ from stayrate.operators.modeling import (
     Candidate,
     draw_settings,
     encoding_stages,
-    fit_model,
+    spread,
     stratified_folds,
 )
 from stayrate.sources import store
@@ -162,7 +162,29 @@ def journaled_search(
     return journal
 
 
+def fitted_on(encoder: PipelineModel, encoded: DataFrame, candidate: Candidate, settings: dict[str, object]) -> PipelineModel:
+    """The encoder and a classifier fitted on what it encoded."""
+    weight_sum = float(encoded.agg(F.sum(candidate.make().getWeightCol())).first()[0])
+    classifier = candidate.make(**candidate.params(settings, weight_sum)).fit(encoded)
+    return PipelineModel([*encoder.stages, classifier])
+
+
 def refitted(training: DataFrame, candidate: Candidate, settings: dict[str, object]) -> PipelineModel:
     """A model with these settings, fitted on all training rows."""
-    weight_sum = float(training.agg(F.sum(candidate.make().getWeightCol())).first()[0])
-    return fit_model(training, candidate.make(**candidate.params(settings, weight_sum)))
+    return refitted_all(training, {candidate.name: settings})[candidate.name]
+
+
+def refitted_all(training: DataFrame, settings: Mapping[str, dict[str, object]]) -> dict[str, PipelineModel]:
+    """A model for each name and its settings, fitted side by side on all training rows, which are encoded once."""
+    encoder = Pipeline(stages=encoding_stages()).fit(training)
+    encoded = encoder.transform(spread(training, training.count())).select("features", "label", *WEIGHTS).persist()
+
+    def fit(name: str) -> PipelineModel:
+        return fitted_on(encoder, encoded, CANDIDATES[name], settings[name])
+
+    try:
+        with ThreadPool(max(1, len(settings))) as pool:
+            models = pool.map(inheritable_thread_target(training.sparkSession)(fit), settings, chunksize=1)
+    finally:
+        encoded.unpersist()
+    return dict(zip(settings, models, strict=True))

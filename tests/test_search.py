@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayrate.operators import cleaning, features, modeling, search
+from stayrate.plans import registry
 
 SMALL = {
     "logistic_regression": {"maxIter": 5},
@@ -91,3 +92,39 @@ def test_folds_are_encoded_on_their_training_rows(training, tmp_path):
     held = [set(r[0] for r in journal.fold(k).where("held").select("customer_id").collect()) for k in range(2)]
     assert not held[0] & held[1] and len(held[0] | held[1]) == training.count()
     assert journal.fold(0).columns == ["customer_id", "held", "features", "label", "balanced_weight", "positive_weight"]
+
+
+def test_many_rows_are_dealt_evenly_and_few_stay(spark):
+    one = spark.range(0, 300_000, 1, 1)
+    sizes = lambda df: [len(list(p)) for p in df.rdd.glom().collect()]
+    dealt = sizes(modeling.spread(one, 300_000))
+    assert len(dealt) == 8 and max(dealt) < 1.1 * min(dealt)
+    assert len(sizes(modeling.spread(one, 300_000, side_by_side=4))) == 2
+    assert modeling.spread(one, 6_000_000, side_by_side=4).rdd.getNumPartitions() == 12
+    assert modeling.spread(one, 20_000).rdd.getNumPartitions() == 1
+
+
+def test_models_refitted_together_are_those_of_a_pipeline(training, monkeypatch):
+    encoded, fit = [], search.Pipeline.fit
+    settings = {"logistic_regression": {"C": 1.0, "maxIter": 5}, "boosted_trees": {"maxIter": 3, "maxDepth": 2}}
+    wanted = {}
+    for name, chosen in settings.items():
+        candidate = modeling.CANDIDATES[name]
+        weight = float(training.agg(F.sum(candidate.make().getWeightCol())).first()[0])
+        wanted[name] = modeling.fit_model(training, candidate.make(**candidate.params(chosen, weight)))
+    monkeypatch.setattr(search.Pipeline, "fit", lambda self, rows: encoded.append(1) or fit(self, rows))
+    for name, model in search.refitted_all(training, settings).items():
+        a, b = (modeling.predict(m, training).select("customer_id", "churn_probability") for m in (model, wanted[name]))
+        far = a.join(b.withColumnRenamed("churn_probability", "p"), "customer_id").where("abs(p - churn_probability) > 1e-9")
+        assert far.count() == 0
+    assert encoded == [1]
+
+
+def test_held_out_customers_are_scored_once(spark, small_dir, monkeypatch):
+    scored, predict = [], modeling.predict
+    monkeypatch.setattr(modeling, "predict", lambda *a, **k: scored.append(1) or predict(*a, **k))
+    registry._scores_path.cache_clear()
+    first, again = (registry.held_out_scores(spark, small_dir, "logistic_regression") for _ in range(2))
+    assert scored == [1] and first.exceptAll(again).count() == 0 and first.count() > 0
+    held = registry.split_features(spark, small_dir, "test").select("customer_id")
+    assert held.exceptAll(first.select("customer_id")).count() == 0
