@@ -104,6 +104,15 @@ def test_many_rows_are_dealt_evenly_and_few_stay(spark):
     assert modeling.spread(one, 20_000).rdd.getNumPartitions() == 1
 
 
+def test_fits_of_a_fold_share_the_cores(training, tmp_path, monkeypatch):
+    """A fold that was written as one file is fitted by several tasks."""
+    seen, fit = [], modeling.LogisticRegression.fit
+    monkeypatch.setattr(modeling, "TASK_ROWS", 100)
+    monkeypatch.setattr(modeling.LogisticRegression, "fit", lambda self, rows: seen.append(rows.rdd.getNumPartitions()) or fit(self, rows))
+    search.journaled_search(training.coalesce(1), str(tmp_path), ["logistic_regression"], 2, 2, parallelism=2, fixed=SMALL)
+    assert seen == [4] * 4
+
+
 def test_models_refitted_together_are_those_of_a_pipeline(training, monkeypatch):
     encoded, fit = [], search.Pipeline.fit
     settings = {"logistic_regression": {"C": 1.0, "maxIter": 5}, "boosted_trees": {"maxIter": 3, "maxDepth": 2}}
@@ -120,6 +129,14 @@ def test_models_refitted_together_are_those_of_a_pipeline(training, monkeypatch)
     assert encoded == [1]
 
 
+def test_a_score_is_noted_without_rows_from_python(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: pytest.fail("rows from Python"))
+    journal = search.SearchJournal(spark, str(tmp_path), 2)
+    journal.add("logistic_regression", 0, 1, '{"C": 1.0}', 0.1 + 0.2)
+    assert journal.has("logistic_regression", 0, 1, '{"C": 1.0}')
+    assert [tuple(r) for r in journal.scores().collect()] == [("logistic_regression", 0, 1, '{"C": 1.0}', 0.1 + 0.2)]
+
+
 def test_held_out_customers_are_scored_once(spark, small_dir, monkeypatch):
     scored, predict = [], modeling.predict
     monkeypatch.setattr(modeling, "predict", lambda *a, **k: scored.append(1) or predict(*a, **k))
