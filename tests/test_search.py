@@ -145,3 +145,13 @@ def test_held_out_customers_are_scored_once(spark, small_dir, monkeypatch):
     assert scored == [1] and first.exceptAll(again).count() == 0 and first.count() > 0
     held = registry.split_features(spark, small_dir, "test").select("customer_id")
     assert held.exceptAll(first.select("customer_id")).count() == 0
+
+
+def test_scoring_is_dealt_to_all_cores(spark, small_dir, monkeypatch):
+    monkeypatch.setattr(modeling, "TASK_ROWS", 10)
+    stored = registry.saved_model_scores(spark, small_dir)
+    advised = registry.model_recommendations(spark, small_dir, "logistic_regression")
+    assert stored.rdd.getNumPartitions() > 1 and advised.rdd.getNumPartitions() == 8
+    rows = registry.store.read_dataset(spark, registry._split_path(spark.sparkContext.applicationId, small_dir))
+    active = rows.where("not churn").select("customer_id")
+    assert active.exceptAll(advised.select("customer_id")).count() == 0 and advised.count() == active.count()
