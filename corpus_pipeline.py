@@ -18,6 +18,7 @@ from stayrate.llm.near_copies import near_copies
 from stayrate.llm.packing import packed_documents
 from stayrate.llm.scratch import written
 from stayrate.llm.secret_scan import masked
+from stayrate.llm.sieve import sifted
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 STAGE = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -45,9 +46,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows = written(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()), "rows")
     groups = near_copies(rows.select(F.col("row_key").alias("doc_id"), "text"), width=5, least=0.8)
     placed = groups.select(F.col("doc_id").alias("row_key"), "component_id").join(rows.select("row_key", F.col("doc_id").alias("id")), "row_key")
+    placed = written(placed, "placed")
     first = F.min(F.struct(F.col("id").isNull(), "id", "row_key")).alias("first")
-    kept = written(placed.groupBy("component_id").agg(first).select("first.row_key"), "kept")
-    return rows.join(kept, "row_key", "left_semi").select(*COLUMNS)
+    firsts = placed.groupBy("component_id").agg(first).select("first.row_key")
+    dropped = written(placed.join(firsts, "row_key", "left_anti").select("row_key"), "dropped")
+    # Texts are moved of rows that may be dropped only; the others are kept where they lie.
+    rows = sifted(rows, "row_key", dropped, "row_key")
+    asked = rows.where("maybe").join(dropped, "row_key", "left_anti")
+    return rows.where("not maybe").unionByName(asked.select(*rows.columns)).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stayrate.llm.compact import compact, words_of
 from stayrate.llm.components import connected_components
 from stayrate.llm.scratch import in_small_batches, written
+from stayrate.llm.sieve import sifted
 from stayrate.llm.words import Words, blocks, grams, mix
 
 SIGNED = "doc_id long, n_shingles long, set_id binary, left array<long>, right array<long>"
@@ -169,15 +170,17 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> D
 
 
 def _compare(width: int, least: float, matches: int):
-    """Rows of a block, guests first: links of a guest and a host of other parts whose whole sets are similar enough.
+    """Rows of a block, mere guests first and mere hosts last: links of a guest and a host of other parts whose whole sets are similar enough.
 
-    A link joins two parts. Parts that links of the block have joined are one from then on and are not compared, so
-    a block gives fewer links than it has parts, and no similar pair of parts is left apart.
+    A row that is both is compared with the guests before it, and so is each later one with it. A link joins two parts.
+    Parts that links of the block have joined are one from then on and are not compared, so a block gives fewer links
+    than it has parts, and no similar pair of parts is left apart.
     """
     hundredths = round(100 * least)
 
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, names, homes, sets, sketches, sizes = None, [], [], [], [], None
+        block, names, sets = None, [], []
+        sizes, home, table = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty((0, 0), dtype=np.int8)
         joined: dict[int, int] = {}
 
         def root(part: int) -> int:
@@ -188,36 +191,55 @@ def _compare(width: int, least: float, matches: int):
 
         for batch in batches:
             out = []
-            for key, host, vertex, part, data, sketch in zip(*(batch[c] for c in ("block", "is_host", "vertex", "part", "data", "sketch"))):
+            for key, guest, host, vertex, part, data, sketch in zip(*(batch[c] for c in ("block", "is_guest", "is_host", "vertex", "part", "data", "sketch"))):
                 if key != block:
-                    block, names, homes, sets, sketches, sizes = key, [], [], [], [], None
+                    block, names, sets = key, [], []
                     joined.clear()
-                own = shingles(words_of(data), width)
-                if not host:
+                own, sketch, n = shingles(words_of(data), width), np.asarray(sketch, dtype=np.int8), len(names)
+                if host and n:
+                    alike = (table[:n] == sketch).sum(axis=1) >= matches
+                    alike &= 100 * np.minimum(sizes[:n], len(own)) >= hundredths * np.maximum(sizes[:n], len(own))
+                    alike &= home[:n] != part
+                    for k in np.flatnonzero(alike):
+                        one, other = root(part), root(int(home[k]))
+                        if one == other:
+                            continue
+                        both = np.intersect1d(own, sets[k], assume_unique=True).size
+                        if 100 * both >= hundredths * (len(own) + len(sets[k]) - both):
+                            out.append((min(vertex, names[k]), max(vertex, names[k])))
+                            joined[max(one, other)] = min(one, other)
+                if guest:
+                    if n == len(sizes) or table.shape[1] != len(sketch):
+                        more = max(64, 2 * n)
+                        sizes, home = np.resize(sizes, more), np.resize(home, more)
+                        table = np.concatenate([table[:n].reshape(n, len(sketch)), np.empty((more - n, len(sketch)), dtype=np.int8)])
+                    sizes[n], home[n], table[n] = len(own), part, sketch
                     names.append(vertex)
-                    homes.append(part)
                     sets.append(own)
-                    sketches.append(np.asarray(sketch, dtype=np.int8))
-                    continue
-                if sizes is None:
-                    sizes, home = np.array([len(s) for s in sets]), np.array(homes)
-                    table = np.stack(sketches) if sketches else np.empty((0, len(sketch)), dtype=np.int8)
-                alike = (table == np.asarray(sketch, dtype=np.int8)).sum(axis=1) >= matches
-                alike &= 100 * np.minimum(sizes, len(own)) >= hundredths * np.maximum(sizes, len(own))
-                alike &= home != part
-                for k in np.flatnonzero(alike):
-                    one, other = root(part), root(homes[k])
-                    if one == other:
-                        continue
-                    both = np.intersect1d(own, sets[k], assume_unique=True).size
-                    if 100 * both >= hundredths * (len(own) + len(sets[k]) - both):
-                        out.append((min(vertex, names[k]), max(vertex, names[k])))
-                        joined[max(one, other)] = min(one, other)
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return over
 
 
+def block_rows(visits: DataFrame, parts: DataFrame) -> DataFrame:
+    """(block, vertex, is_guest, is_host): in which blocks each vertex is compared, once for each. visits: host, vertex; parts: vertex, part.
+
+    Only ids are dealt here: members and guests to chunks by hash; each pair of chunks is a block.
+    """
+    sizes = parts.groupBy(F.col("part").alias("host")).agg(F.count(F.lit(1)).alias("n"))
+    plans = visits.groupBy("host").agg(F.count(F.lit(1)).alias("n_guest")).join(sizes, "host").select(
+        "host", F.ceil((F.col("n") + F.col("n_guest")) / HOSTS).alias("host_chunks"), F.ceil(F.col("n_guest") / GUESTS).alias("guest_chunks")
+    )
+    own = parts.select(F.col("part").alias("host"), "vertex").join(plans, "host")
+    guests = visits.select("host", "vertex").join(plans, "host")
+    every = [F.sequence(F.lit(0).cast("long"), F.col(c) - 1) for c in ("host_chunks", "guest_chunks")]
+    chunk = [F.pmod(F.xxhash64("vertex"), F.col(c)) for c in ("host_chunks", "guest_chunks")]
+    as_guest = guests.select("host", "vertex", F.lit(True).alias("is_guest"), F.explode(every[0]).alias("h"), chunk[1].alias("g"))
+    as_host = own.unionByName(guests).select("host", "vertex", F.lit(False).alias("is_guest"), chunk[0].alias("h"), F.explode(every[1]).alias("g"))
+    rows = as_guest.unionByName(as_host).withColumn("block", F.xxhash64("host", "h", "g"))
+    return rows.groupBy("block", "vertex").agg(F.max("is_guest").alias("is_guest"), F.max(~F.col("is_guest")).alias("is_host"))
+
+
 def between_neighbours(met: DataFrame, texts: DataFrame, parts: DataFrame, width: int, least: float, matches: int) -> DataFrame:
     """Links (a, b) between groups that meet in some table, though no link was found so far.
 
@@ -226,25 +248,13 @@ def between_neighbours(met: DataFrame, texts: DataFrame, parts: DataFrame, width
     and with each other, so of two vertices in one bucket no pair is left out: each is the hub, of its group or its
     guest. This is done in blocks of bounded size: members and guests are dealt to chunks by hash, each pair of
     chunks is a block, and in a block only those of other groups with enough half keys in common are looked at.
+    A text goes to a block once, whether as guest, as host or as both, and only when all blocks are known.
     """
     open_ = _across(met, parts, "a", "b", "a_hub", "b_hub")
     side = [F.when(F.col(f"{h}_hub"), F.struct(F.col(f"part_{h}").alias("host"), F.col(g).alias("vertex"))) for h, g in ("ab", "ba")]
     visits = written(open_.select(F.explode(F.array_compact(F.array(*side))).alias("of")).select("of.*").distinct(), "visits")
-    sizes = parts.groupBy(F.col("part").alias("host")).agg(F.count(F.lit(1)).alias("n"))
-    plans = visits.groupBy("host").agg(F.count(F.lit(1)).alias("n_guest")).join(sizes, "host").select(
-        "host", F.ceil((F.col("n") + F.col("n_guest")) / HOSTS).alias("host_chunks"), F.ceil(F.col("n_guest") / GUESTS).alias("guest_chunks")
-    )
-    members = texts.join(parts, "vertex")
-    guests = members.join(visits, "vertex").join(plans, "host")
-    own = members.withColumn("host", F.col("part")).join(plans, "host")
-    hosts = own.unionByName(guests)
-    every = [F.sequence(F.lit(0).cast("long"), F.col(c) - 1) for c in ("host_chunks", "guest_chunks")]
-    chunk = [F.pmod(F.xxhash64("vertex"), F.col(c)) for c in ("host_chunks", "guest_chunks")]
-    carried = ["vertex", "part", "data", "sketch"]
-    as_guest = guests.select("host", F.lit(False).alias("is_host"), *carried, F.explode(every[0]).alias("h"), chunk[1].alias("g"))
-    as_host = hosts.select("host", F.lit(True).alias("is_host"), *carried, chunk[0].alias("h"), F.explode(every[1]).alias("g"))
-    rows = as_guest.unionByName(as_host).withColumn("block", F.xxhash64("host", "h", "g")).drop("host", "h", "g")
-    dealt = rows.repartition("block").sortWithinPartitions("block", "is_host")
+    rows = block_rows(visits, parts).join(parts, "vertex").join(texts.select("vertex", "data", "sketch"), "vertex")
+    dealt = rows.repartition("block").sortWithinPartitions("block", "is_host", F.desc("is_guest"))
     return dealt.mapInPandas(_compare(width, least, matches), "a long, b long").distinct()
 
 
@@ -308,7 +318,8 @@ def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, bandin
     )
     pairs = met.where("fits")
     involved = met.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
-    texts = compact(rows).withColumnRenamed("doc_id", "vertex")
+    # Only texts that may be involved are moved.
+    texts = compact(sifted(rows, "doc_id", involved, "vertex").where("maybe")).withColumnRenamed("doc_id", "vertex")
     # What is involved grows with the documents, so it is never broadcast.
     texts = texts.join(involved.hint("merge"), "vertex").join(sketches.hint("merge"), "vertex")
     texts = written(texts.select("vertex", "data", "sketch"), "texts")
