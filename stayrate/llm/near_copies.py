@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from math import comb
 
 import numpy as np
@@ -23,6 +24,12 @@ SIGNED = "doc_id long, n_shingles long, set_id binary, left array<long>, right a
 ORDERS = 3
 #: Sides of the blocks in which the members of neighbouring groups are compared.
 HOSTS, GUESTS = 256, 512
+#: Cells by which shingles are counted, whatever the tables: 1 MB.
+CELLS = 1 << 20
+#: Of the rows that share a rare shingle, how many are looked at by pairs at once, and how many pairs for each row are taken.
+SIDE, PAIRS = 512, 4
+#: How many times the members of crowds are linked with their most likely partners, at most.
+TURNS = 8
 
 
 @dataclass(frozen=True)
@@ -221,14 +228,185 @@ def _compare(width: int, least: float, matches: int):
     return over
 
 
+def _cells(shingles_: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return (shingles_ % np.uint64(len(counts))).astype(np.int64)
+
+
+def _count_cells(width: int):
+    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(CELLS, dtype=np.int64)
+        for batch in batches:
+            for data in batch["data"]:
+                np.add.at(counts, _cells(shingles(words_of(data), width), counts), 1)
+        cell = np.flatnonzero(counts)
+        yield pd.DataFrame({"cell": cell, "n": counts[cell]})
+
+    return over
+
+
+def shingle_levels(texts: DataFrame, width: int) -> np.ndarray:
+    """For each cell of shingles, how many times the texts (data) have it, as a byte: 0 for at most once, else 1 + 4 * log2, rounded down."""
+    counts = texts.select("data").mapInPandas(_count_cells(width), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    often = counts.where("n > 1").select("cell", F.least(F.floor(1 + 4 * F.log2("n")), F.lit(255)).cast("int").alias("level")).toPandas()
+    levels = np.zeros(CELLS, dtype=np.uint8)
+    levels[often["cell"].to_numpy(dtype=np.int64)] = often["level"].to_numpy(dtype=np.uint8)
+    return levels
+
+
+def _rank(width: int, least: float, levels: np.ndarray):
+    """Rows (vertex, data, sketch) to the rarest shingles of each, and how many are left from each on."""
+    hundredths = round(100 * least)
+
+    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes, keys, rests = [], [], []
+            for data in batch["data"]:
+                own = shingles(words_of(data), width)
+                level, n = levels[_cells(own, levels)], len(own)
+                first = np.lexsort((own, level))[: n + hundredths * n // -100 + 1]
+                often = level[first] > 0
+                sizes.append(n)
+                keys.append(own[first].view(np.int64)[often])
+                rests.append((n - np.arange(len(first), dtype=np.int32))[often])
+            yield pd.DataFrame({"vertex": batch["vertex"], "sketch": batch["sketch"], "size": sizes, "key": keys, "rest": rests})
+
+    return over
+
+
+def _common(size, other, hundredths: int):
+    """How many shingles sets of these sizes have in common at least if they are similar enough; else more than either has."""
+    common = -(-hundredths * (size + other) // (100 + hundredths))
+    return np.where(100 * np.minimum(size, other) >= hundredths * np.maximum(size, other), common, size + other)
+
+
+def _may_have_partners(part: np.ndarray, size: np.ndarray, rest: np.ndarray, hundredths: int) -> np.ndarray:
+    """Which rows of one key fit some row of another part in size and rest, without looking at pairs."""
+    sizes, at = np.unique(size, return_inverse=True)
+    order = np.lexsort((-rest, at))
+    top = order[np.searchsorted(at[order], np.arange(len(sizes)))]
+    first, home, second = rest[top], part[top], np.full(len(sizes), -1, dtype=np.int64)
+    other = part != home[at]
+    np.maximum.at(second, at[other], rest[other])
+    out = np.zeros(len(part), dtype=bool)
+    step = max(1, (1 << 20) // len(sizes))
+    for k in range(0, len(part), step):
+        here = slice(k, k + step)
+        theirs = np.where(part[here, None] == home, second, first)
+        out[here] = (np.minimum(rest[here, None], theirs) >= _common(size[here, None], sizes, hundredths)).any(axis=1)
+    return out
+
+
+def _partners(least: float, matches: int):
+    """Rows sorted by key: pairs (a, b, agree, done) of different parts that have a key and may be similar enough.
+
+    Of a key with few such pairs, these are all (done). Of others, each row that may have partners is given once,
+    with the most likely of some of them or with null.
+    """
+    hundredths = round(100 * least)
+
+    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for batch in chain(batches, [None]):
+            rows = batch if kept is None else kept if batch is None else pd.concat([kept, batch], ignore_index=True)
+            if rows is None or not len(rows):
+                continue
+            key, vertex, part, size, rest = (rows[c].to_numpy(dtype=np.int64) for c in ("key", "vertex", "part", "size", "rest"))
+            sketch = np.array(rows["sketch"].tolist(), dtype=np.int8)
+            begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            # The last key may go on in the next batch.
+            last = begins[-1] if batch is not None else len(key)
+            kept = rows.iloc[last:]
+
+            def agreeing(some: np.ndarray, others: np.ndarray) -> np.ndarray:
+                agree = (sketch[some, None] == sketch[others]).sum(axis=2)
+                fits = np.minimum(rest[some, None], rest[others]) >= _common(size[some, None], size[others], hundredths)
+                return np.where(fits & (part[some, None] != part[others]) & (agree >= matches), agree, 0)
+
+            pairs, rest_of = [], []
+            for lo, hi in zip(begins, np.append(begins[1:], len(key))):
+                if lo == last or part[lo:hi].min() == part[lo:hi].max():
+                    continue
+                may = np.arange(lo, hi)
+                if len(may) > SIDE:
+                    may = may[_may_have_partners(part[lo:hi], size[lo:hi], rest[lo:hi], hundredths)]
+                # What is too much for one task is left to blocks.
+                found, n = [], 0 if len(may) <= 16 * SIDE else PAIRS * len(may) + 1
+                for k in range(0, len(may) if n == 0 else 0, SIDE):
+                    for j in range(0, k + 1, SIDE):
+                        agree = agreeing(may[k : k + SIDE], may[j : j + SIDE])
+                        x, y = np.nonzero(np.tril(agree, -1) if j == k else agree)
+                        found.append((vertex[may[k + x]], vertex[may[j + y]], agree[x, y]))
+                        n += len(x)
+                    if n > PAIRS * len(may):
+                        break
+                if n <= PAIRS * len(may):
+                    pairs += found
+                    continue
+                for k in range(0, len(may), SIDE):
+                    some = may[k : k + SIDE]
+                    agree = agreeing(some, some)
+                    best = agree.max(axis=1)
+                    rest_of.append((vertex[some], vertex[some[agree.argmax(axis=1)]], best))
+            for done, told in ((True, pairs), (False, rest_of)):
+                if told:
+                    a, b, agree = (np.concatenate(c) for c in zip(*told))
+                    out = pd.DataFrame({"a": a, "b": pd.array(b, dtype="Int64"), "agree": agree, "done": done})
+                    out.loc[out["agree"] == 0, "b"] = pd.NA
+                    yield out
+
+    return over
+
+
+def partners(ranked: DataFrame, parts: DataFrame, least: float, matches: int, turn: int = 0) -> DataFrame:
+    """(a, b, agree, done): pairs of vertices of different parts that may be similar enough.
+
+    A vertex is in no pair with any that it is not given with, unless it is an a that is not done. ranked: vertex, sketch, size, key, rest;
+    parts: vertex, part. If two sets are similar enough and the shingles of both are put in one order, they share one of
+    their first few; in an order by frequency these are rare, so few others have them.
+    """
+    each = F.explode(F.arrays_zip("key", "rest")).alias("of")
+    rows = ranked.join(parts, "vertex").select("vertex", "part", "size", "sketch", each).select("of.*", "vertex", "part", "size", "sketch")
+    dealt = rows.repartition("key").sortWithinPartitions("key", F.xxhash64("vertex", F.lit(turn)))
+    told = dealt.mapInPandas(_partners(least, matches), "a long, b long, agree int, done boolean")
+    return told.groupBy("a", "b", "done").agg(F.max("agree").alias("agree"))
+
+
+def settled(crowd: DataFrame, parts: DataFrame, width: int, least: float, matches: int) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """The parts after links within a crowd (vertex, data, sketch), these links (a, b), and which vertices may have others still.
+
+    Pairs of keys that have few are confirmed, and of the others' vertices each with its most likely partner of another
+    part. This is done TURNS times at most; it makes no more pairs than some for each key of each vertex, however many
+    are alike. Nothing is decided on vertices that are left: all their pairs are still to be compared.
+    """
+    shape = "vertex long, sketch array<tinyint>, size int, key array<long>, rest array<int>"
+    ranked = written(crowd.mapInPandas(_rank(width, least, shingle_levels(crowd, width)), shape), "ranked")
+    links = tried = None
+    for turn in range(TURNS):
+        told = written(partners(ranked, parts, least, matches, turn), "partners")
+        best = told.where("not done and b is not null").groupBy("a").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", "best.b")
+        pairs = told.where("done").select("a", "b").unionByName(best)
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = written(confirmed(pairs, crowd.select("vertex", "data"), width, least), "links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        left = told.where("not done").select(F.col("a").alias("vertex")).distinct()
+        if left.isEmpty():
+            break
+        parts = written(_joined(parts, found), "parts")
+    return parts, links, left
+
+
 def block_rows(visits: DataFrame, parts: DataFrame) -> DataFrame:
     """(block, vertex, is_guest, is_host): in which blocks each vertex is compared, once for each. visits: host, vertex; parts: vertex, part.
 
     Only ids are dealt here: members and guests to chunks by hash; each pair of chunks is a block.
     """
     sizes = parts.groupBy(F.col("part").alias("host")).agg(F.count(F.lit(1)).alias("n"))
-    plans = visits.groupBy("host").agg(F.count(F.lit(1)).alias("n_guest")).join(sizes, "host").select(
-        "host", F.ceil((F.col("n") + F.col("n_guest")) / HOSTS).alias("host_chunks"), F.ceil(F.col("n_guest") / GUESTS).alias("guest_chunks")
+    plans = visits.groupBy("host").agg(F.count(F.lit(1)).alias("n_guest")).join(sizes, "host", "left").select(
+        "host",
+        F.ceil((F.coalesce("n", F.lit(0)) + F.col("n_guest")) / HOSTS).alias("host_chunks"),
+        F.ceil(F.col("n_guest") / GUESTS).alias("guest_chunks"),
     )
     own = parts.select(F.col("part").alias("host"), "vertex").join(plans, "host")
     guests = visits.select("host", "vertex").join(plans, "host")
@@ -249,13 +427,33 @@ def between_neighbours(met: DataFrame, texts: DataFrame, parts: DataFrame, width
     guest. This is done in blocks of bounded size: members and guests are dealt to chunks by hash, each pair of
     chunks is a block, and in a block only those of other groups with enough half keys in common are looked at.
     A text goes to a block once, whether as guest, as host or as both, and only when all blocks are known.
+
+    Where a group and its guests need more than one block, blocks grow with the square of their number. So of these
+    only such go to blocks that share a rare shingle with one of another group, after likely partners have been linked
+    (see settled); of the others, none has a similar one among them.
     """
     open_ = _across(met, parts, "a", "b", "a_hub", "b_hub")
     side = [F.when(F.col(f"{h}_hub"), F.struct(F.col(f"part_{h}").alias("host"), F.col(g).alias("vertex"))) for h, g in ("ab", "ba")]
     visits = written(open_.select(F.explode(F.array_compact(F.array(*side))).alias("of")).select("of.*").distinct(), "visits")
-    rows = block_rows(visits, parts).join(parts, "vertex").join(texts.select("vertex", "data", "sketch"), "vertex")
+    texts = texts.select("vertex", "data", "sketch")
+    members = parts.select(F.col("part").alias("host"), "vertex")
+    there = visits.select("host", F.lit(1).alias("g")).unionByName(members.select("host", F.lit(0).alias("g")))
+    crowded = there.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("g").alias("g")).where((F.col("g") > 0) & (F.col("n") > HOSTS))
+    crowded = written(crowded.select("host"), "crowded")
+    hosts, links = parts, None
+    if not crowded.isEmpty():
+        crowd = visits.unionByName(members).join(crowded, "host", "left_semi").select("vertex").distinct()
+        parts, links, left = settled(written(texts.join(crowd, "vertex"), "crowd"), parts, width, least, matches)
+        crowded, left = crowded.withColumn("crowded", F.lit(True)), left.withColumn("left", F.lit(True))
+        visits, members = (
+            each.join(crowded, "host", "left").join(left, "vertex", "left").where("crowded is null or left").select("host", "vertex")
+            for each in (visits, members)
+        )
+        visits, hosts = written(visits, "visits"), members.withColumnRenamed("host", "part")
+    rows = block_rows(visits, hosts).join(parts, "vertex").join(texts, "vertex")
     dealt = rows.repartition("block").sortWithinPartitions("block", "is_host", F.desc("is_guest"))
-    return dealt.mapInPandas(_compare(width, least, matches), "a long, b long").distinct()
+    found = dealt.mapInPandas(_compare(width, least, matches), "a long, b long")
+    return (found if links is None else found.unionByName(links)).distinct()
 
 
 def _across(pairs: DataFrame, parts: DataFrame, *columns: str) -> DataFrame:
