@@ -371,17 +371,17 @@ def partners(ranked: DataFrame, parts: DataFrame, least: float, matches: int, tu
     return told.groupBy("a", "b", "done").agg(F.max("agree").alias("agree"))
 
 
-def settled(crowd: DataFrame, parts: DataFrame, width: int, least: float, matches: int) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+def settled(crowd: DataFrame, parts: DataFrame, width: int, least: float, matches: int, turns: int) -> tuple[DataFrame, DataFrame | None, DataFrame]:
     """The parts after links within a crowd (vertex, data, sketch), these links (a, b), and which vertices may have others still.
 
     Pairs of keys that have few are confirmed, and of the others' vertices each with its most likely partner of another
-    part. This is done TURNS times at most; it makes no more pairs than some for each key of each vertex, however many
+    part. This is done `turns` times at most; it makes no more pairs than some for each key of each vertex, however many
     are alike. Nothing is decided on vertices that are left: all their pairs are still to be compared.
     """
     shape = "vertex long, sketch array<tinyint>, size int, key array<long>, rest array<int>"
     ranked = written(crowd.mapInPandas(_rank(width, least, shingle_levels(crowd, width)), shape), "ranked")
     links = tried = None
-    for turn in range(TURNS):
+    for turn in range(turns):
         told = written(partners(ranked, parts, least, matches, turn), "partners")
         best = told.where("not done and b is not null").groupBy("a").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", "best.b")
         pairs = told.where("done").select("a", "b").unionByName(best)
@@ -418,7 +418,7 @@ def block_rows(visits: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.groupBy("block", "vertex").agg(F.max("is_guest").alias("is_guest"), F.max(~F.col("is_guest")).alias("is_host"))
 
 
-def between_neighbours(met: DataFrame, texts: DataFrame, parts: DataFrame, width: int, least: float, matches: int) -> DataFrame:
+def between_neighbours(met: DataFrame, texts: DataFrame, parts: DataFrame, width: int, least: float, matches: int, turns: int = 0) -> DataFrame:
     """Links (a, b) between groups that meet in some table, though no link was found so far.
 
     met: a, b, a_hub, b_hub; texts: vertex, data, sketch; parts: vertex, part. Whoever meets a hub of another group is
@@ -428,7 +428,7 @@ def between_neighbours(met: DataFrame, texts: DataFrame, parts: DataFrame, width
     chunks is a block, and in a block only those of other groups with enough half keys in common are looked at.
     A text goes to a block once, whether as guest, as host or as both, and only when all blocks are known.
 
-    Where a group and its guests need more than one block, blocks grow with the square of their number. So of these
+    Where a group and its guests need more than one block and there are turns, blocks grow with the square of their number. So of these
     only such go to blocks that share a rare shingle with one of another group, after likely partners have been linked
     (see settled); of the others, none has a similar one among them.
     """
@@ -441,9 +441,9 @@ def between_neighbours(met: DataFrame, texts: DataFrame, parts: DataFrame, width
     crowded = there.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("g").alias("g")).where((F.col("g") > 0) & (F.col("n") > HOSTS))
     crowded = written(crowded.select("host"), "crowded")
     hosts, links = parts, None
-    if not crowded.isEmpty():
+    if turns and not crowded.isEmpty():
         crowd = visits.unionByName(members).join(crowded, "host", "left_semi").select("vertex").distinct()
-        parts, links, left = settled(written(texts.join(crowd, "vertex"), "crowd"), parts, width, least, matches)
+        parts, links, left = settled(written(texts.join(crowd, "vertex"), "crowd"), parts, width, least, matches, turns)
         crowded, left = crowded.withColumn("crowded", F.lit(True)), left.withColumn("left", F.lit(True))
         visits, members = (
             each.join(crowded, "host", "left").join(left, "vertex", "left").where("crowded is null or left").select("host", "vertex")
@@ -469,7 +469,7 @@ def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
     return parts.join(merged, "part", "left").select("vertex", F.coalesce("found", "part").alias("part"))
 
 
-def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, banding: Banding | None = None) -> DataFrame:
+def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, banding: Banding | None = None, turns: int | None = None) -> DataFrame:
     """Groups of near copies among documents (doc_id, text).
 
     A document's set is its distinct runs of `width` words, lower-cased A-Z (all words as one run if
@@ -481,7 +481,7 @@ def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, bandin
     Documents with equal sets form one vertex, so copies make neither keys nor pairs. Of the
     candidates, each vertex's pair met in most tables is confirmed first, then each group's. Pairs that these links
     have joined already need no look. Where a hub was met by other groups, these are compared with its own and with each other
-    (see between_neighbours).
+    (see between_neighbours); `turns`, unless given TURNS, are taken before large groups are, without changing the result.
 
     Null texts and texts without words are linked with nothing. Rows with the same doc_id are the same
     document. A null doc_id keeps the component of its equal texts, if those have an id, and else is
@@ -539,7 +539,7 @@ def near_copies(documents: DataFrame, width: int = 5, least: float = 0.8, bandin
     )
     links = written(confirmed(next_best.select("best.a", "best.b").distinct(), texts.select("vertex", "data"), width, least), "links")
     parts = written(_joined(parts, links), "parts")
-    found = _joined(parts, between_neighbours(met, texts, parts, width, least, banding.sure_matches(least)))
+    found = _joined(parts, between_neighbours(met, texts, parts, width, least, banding.sure_matches(least), TURNS if turns is None else turns))
     found = found.withColumnRenamed("part", "found")
     groups = classes.select("set_id", "vertex").join(found, "vertex", "left").select(
         "set_id", F.coalesce("found", "vertex").alias("component")
