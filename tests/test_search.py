@@ -155,3 +155,32 @@ def test_scoring_is_dealt_to_all_cores(spark, small_dir, monkeypatch):
     rows = registry.store.read_dataset(spark, registry._split_path(spark.sparkContext.applicationId, small_dir))
     active = rows.where("not churn").select("customer_id")
     assert active.exceptAll(advised.select("customer_id")).count() == 0 and advised.count() == active.count()
+
+
+@pytest.fixture
+def small_registered_search(spark, monkeypatch):
+    """The registered search over rows of its own, with one setting of few rounds for each model and two folds."""
+    pick = lambda values, every: F.get(F.array(*[F.lit(v) for v in values]), (F.col("id") / every).cast("int") % len(values))
+    rows = spark.range(160, numPartitions=1).select(
+        F.format_string("C%04d", "id").alias("customer_id"),
+        *[pick(["a", "b", "c"], i + 1).alias(c) for i, c in enumerate(registry.CATEGORICAL_FEATURES)],
+        *[((F.col("id") / (i + 1)).cast("int") % 2 == 0).alias(c) for i, c in enumerate(registry.BOOLEAN_FEATURES)],
+        *[(F.col("id") * (i + 3) % 37).alias(c) for i, c in enumerate(modeling.NUMERIC_FEATURES) if c != "monthly_charges"],
+        (F.col("id") % 41).cast("decimal(8,2)").alias("monthly_charges"),
+        (F.col("id") % 41 + F.col("id") % 7 > 30).alias("churn"),
+    )
+    run = search.journaled_search
+    monkeypatch.setattr(registry, "training_rows", lambda *a: modeling.training_matrix(rows))
+    monkeypatch.setattr(search, "journaled_search", lambda *a: run(*a, n_iter=1, folds=2, fixed=SMALL))
+    registry._journal.cache_clear()
+    yield
+    registry._journal.cache_clear()
+
+
+def test_the_registered_journal_holds_every_model(spark, small_registered_search):
+    """Also where no folder of the journal is set."""
+    assert spark.conf.get(registry.JOURNAL_CONF, None) is None
+    rows = registry.QUERIES["m10_search_journal"](spark, "own").collect()
+    assert sorted((r["model"], r["candidate"], r["fold"]) for r in rows) == [(m, 0, k) for m in sorted(modeling.CANDIDATES) for k in range(2)]
+    chosen = registry.QUERIES["m10_tune_model"](spark, "own").where("chosen").collect()
+    assert sorted(r["model"] for r in chosen) == sorted(modeling.CANDIDATES)
