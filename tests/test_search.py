@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from stayrate.operators import cleaning, features, modeling, search
-from stayrate.plans import registry
+from stayrate.plans import invariants, registry
 
 SMALL = {
     "logistic_regression": {"maxIter": 5},
@@ -184,3 +185,12 @@ def test_the_registered_journal_holds_every_model(spark, small_registered_search
     assert sorted((r["model"], r["candidate"], r["fold"]) for r in rows) == [(m, 0, k) for m in sorted(modeling.CANDIDATES) for k in range(2)]
     chosen = registry.QUERIES["m10_tune_model"](spark, "own").where("chosen").collect()
     assert sorted(r["model"] for r in chosen) == sorted(modeling.CANDIDATES)
+
+
+def test_a_whole_search_is_one_of_every_model(spark, small_registered_search):
+    """The check shows all three models, and its SQL asks for them."""
+    rows = invariants.QUERIES["m10_search_is_whole"](spark, "own").collect()
+    wanted = duckdb.sql(invariants.ORACLE["m10_search_is_whole"]).fetchall()
+    assert sorted(r["model"] for r in rows) == sorted(r[0] for r in wanted) == sorted(modeling.CANDIDATES)
+    assert all((r["fits"], r["candidates"], r["chosen"], r["best_chosen"]) == (2, 1, 1, True) for r in rows)
+    assert all(r[1:] == (75, 15, True, 1, True, True) for r in wanted)
